@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 
 from dealgauge.functions import blank
 
-# Primary key of each table, and the "at most one per lead" rules.
+# Primary key of each table, and the "at most one per lead" rules. The raw tables
+# are listed too: their violations are what cleaning has to remove.
 PRIMARY_KEYS = {
+    "raw_leads": ["lead_id"], "raw_opportunities": ["opportunity_id"], "raw_activities": ["activity_id"],
+    "raw_campaign_touches": ["touch_id"],
     "leads_clean": ["lead_id"], "opportunities_clean": ["opportunity_id"],
     "activities_clean": ["activity_id"], "campaign_touches_clean": ["touch_id"],
     "dim_time": ["date_id"], "dim_leads": ["lead_id"], "fact_activities": ["activity_id"],
@@ -25,6 +28,7 @@ PRIMARY_KEYS = {
 }
 ONE_PER_LEAD = ["opportunities_clean", "campaign_touches_clean"]
 LEAD_REFERENCES = [
+    "raw_opportunities", "raw_activities", "raw_campaign_touches",
     "opportunities_clean", "activities_clean", "campaign_touches_clean",
     "fact_opportunities", "fact_activities", "fact_campaign_touches",
 ]

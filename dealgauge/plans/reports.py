@@ -19,8 +19,13 @@ STATUS_RISK = {
 }
 UNKNOWN_STATUS_RISK = 0.5
 
-_CONVERTED = F.col("status") == "Converted"
-_ROWS = F.count(F.lit(1))
+
+def _converted() -> Column:
+    return F.col("status") == "Converted"
+
+
+def _rows() -> Column:
+    return F.count(F.lit(1))
 
 
 def percentage(part: Column, whole: Column) -> Column:
@@ -55,7 +60,7 @@ def search(rows: DataFrame, pattern: str) -> DataFrame:
 
 def customer_kpis(rows: DataFrame) -> DataFrame:
     return rows.agg(
-        _ROWS.alias("total_customers"), F.count_if(_CONVERTED).alias("converted"),
+        _rows().alias("total_customers"), F.count_if(_converted()).alias("converted"),
         F.coalesce(F.sum("deal_value"), F.lit(0.0)).alias("pipeline_value"),
     ).withColumn("conversion_rate", percentage(F.col("converted"), F.col("total_customers")))
 
@@ -80,8 +85,8 @@ def funnel(rows: DataFrame) -> DataFrame:
 
 
 def funnel_exits(rows: DataFrame) -> DataFrame:
-    total = rows.agg(_ROWS).scalar()
-    return rows.filter(F.col("status").isin(*EXITS)).groupBy("status").agg(_ROWS.alias("leads")).withColumn(
+    total = rows.agg(_rows()).scalar()
+    return rows.filter(F.col("status").isin(*EXITS)).groupBy("status").agg(_rows().alias("leads")).withColumn(
         "share", F.col("leads") / total)
 
 
@@ -104,11 +109,10 @@ def activity_and_duration_ranks(rows: DataFrame) -> DataFrame:
 def proxy_risk(rows: DataFrame) -> DataFrame:
     """Risk from status, inverse activity rank, duration rank and a missing campaign response."""
     ranked = activity_and_duration_ranks(rows)
-    values = rows.agg(F.count_distinct(F.coalesce("total_activities", F.lit(0)))).scalar()
     status = F.lit(UNKNOWN_STATUS_RISK)
     for name, weight in STATUS_RISK.items():
         status = F.when(F.col("status") == name, weight).otherwise(status)
-    inactivity = F.when(values <= 1, 0.5).otherwise(1 - F.col("activity_rank"))
+    inactivity = 1 - F.col("activity_rank")
     silent = F.col("campaign_response").isNull() | F.col("campaign_response").isin("No Response", "None")
     ignored = F.when(F.coalesce("received_campaign", F.lit(False)) & silent, 1.0).otherwise(0.0)
     score = 0.45 * status + 0.20 * inactivity + 0.20 * F.col("duration_rank") + 0.15 * ignored
@@ -124,7 +128,7 @@ def proxy_risk(rows: DataFrame) -> DataFrame:
 
 def risk_kpis(risks: DataFrame) -> DataFrame:
     return risks.agg(
-        _ROWS.alias("total_customers"), F.count_if(F.col("risk_tier") == "High").alias("high_risk"),
+        _rows().alias("total_customers"), F.count_if(F.col("risk_tier") == "High").alias("high_risk"),
         F.coalesce(F.sum("exposure"), F.lit(0.0)).alias("total_exposure"),
         F.coalesce(F.sum("expected_loss"), F.lit(0.0)).alias("total_expected_loss"),
         F.coalesce(F.avg("risk_score"), F.lit(0.0)).alias("avg_risk_score"),
@@ -139,7 +143,7 @@ def histogram(rows: DataFrame, value: str, bins: int, colour: str | None = None)
     if colour:
         keys.append(F.col(colour))
     width = (span["high"] - span["low"]) / bins
-    return known.groupBy(*keys).agg(_ROWS.alias("leads")).withColumn(
+    return known.groupBy(*keys).agg(_rows().alias("leads")).withColumn(
         "bin_start", span["low"] + F.col("bin") * width)
 
 
@@ -165,7 +169,7 @@ def campaign_rows(rows: DataFrame) -> DataFrame:
 def intervention_summary(rows: DataFrame) -> DataFrame:
     won = F.when(F.col("opportunity_stage") == "Closed-Won", F.col("deal_value")).otherwise(0.0)
     return campaign_rows(rows).groupBy("treatment_group").agg(
-        F.count("lead_id").alias("leads"), F.count_if(_CONVERTED).alias("conversions"),
+        F.count("lead_id").alias("leads"), F.count_if(_converted()).alias("conversions"),
         F.sum(won).alias("won_revenue"),
     ).withColumn("conversion_rate", percentage(F.col("conversions"), F.col("leads")))
 
@@ -191,7 +195,7 @@ def response_by_arm(rows: DataFrame) -> DataFrame:
 
 def uplift_by_source(rows: DataFrame) -> DataFrame:
     """Conversion rate per source and arm side by side, sources with both arms only."""
-    rate = percentage(F.count_if(_CONVERTED), F.count("lead_id"))
+    rate = percentage(F.count_if(_converted()), F.count("lead_id"))
     wide = campaign_rows(rows).filter("lead_source is not null").groupBy("lead_source").pivot(
         "treatment_group", ["Control", "Treatment"]).agg(rate)
     return wide.select(
@@ -214,7 +218,7 @@ def scored_leads(scores: DataFrame, summary: DataFrame) -> DataFrame:
 
 def score_kpis(scored: DataFrame) -> DataFrame:
     return scored.agg(
-        _ROWS.alias("leads"), F.avg("conversion_probability").alias("mean_probability"),
+        _rows().alias("leads"), F.avg("conversion_probability").alias("mean_probability"),
         F.sum("expected_loss").alias("total_expected_loss"), F.avg("event_converted").alias("actual_rate"))
 
 
@@ -257,7 +261,7 @@ def country_metrics(summary: DataFrame, scores: DataFrame, values: DataFrame) ->
         .join(scores.select("lead_id", "risk_tier"), "lead_id", "left")
         .join(values.select("lead_id", "clv_discounted"), "lead_id", "left")
         .groupBy("country", "region").agg(
-            _ROWS.alias("total_leads"), F.count_if(event).alias("conversions"),
+            _rows().alias("total_leads"), F.count_if(event).alias("conversions"),
             F.avg(F.when(event, 1.0).otherwise(0.0)).alias("conversion_rate"),
             F.avg("deal_value").alias("avg_deal_value"), F.sum("deal_value").alias("total_deal_value"),
             F.count_if(F.col("risk_tier") == "High").alias("high_risk_count"),
@@ -297,7 +301,7 @@ def dashboard_kpis(risks: DataFrame, checks: DataFrame) -> DataFrame:
         F.col("missing_lead_ids") + F.col("missing_company_names") + F.col("missing_regions")
         + F.col("missing_statuses") + F.col("negative_deal_values")).alias("i")).scalar()
     return risks.agg(
-        _ROWS.alias("total_leads"), F.count_if(_CONVERTED).alias("converted"),
+        _rows().alias("total_leads"), F.count_if(_converted()).alias("converted"),
         F.coalesce(F.sum(F.when(F.col("opportunity_stage") == "Closed-Won", F.col("deal_value"))), F.lit(0.0)).alias("won_revenue"),
         F.count_if(F.col("status").isin(*EXITS)).alias("at_risk"),
         F.count_if(F.col("risk_tier") == "High").alias("high_risk"),
@@ -307,7 +311,7 @@ def dashboard_kpis(risks: DataFrame, checks: DataFrame) -> DataFrame:
 
 def conversion_by(rows: DataFrame, key: str) -> DataFrame:
     return rows.filter(F.col(key).isNotNull()).groupBy(key).agg(
-        F.count("lead_id").alias("leads"), F.count_if(_CONVERTED).alias("conversions"),
+        F.count("lead_id").alias("leads"), F.count_if(_converted()).alias("conversions"),
     ).withColumn("conversion_rate", percentage(F.col("conversions"), F.col("leads"))).orderBy(
         F.desc("conversion_rate"), key)
 
@@ -315,7 +319,7 @@ def conversion_by(rows: DataFrame, key: str) -> DataFrame:
 def overview_kpis(rows: DataFrame) -> DataFrame:
     won = F.when(F.col("opportunity_stage") == "Closed-Won", F.col("deal_value"))
     return rows.agg(
-        _ROWS.alias("total_leads"), F.count_if(_CONVERTED).alias("converted"),
+        _rows().alias("total_leads"), F.count_if(_converted()).alias("converted"),
         F.count_if(F.col("status").isin(*EXITS)).alias("at_risk"),
         F.coalesce(F.sum(won), F.lit(0.0)).alias("won_revenue"), F.coalesce(F.avg(won), F.lit(0.0)).alias("avg_won_deal"),
         F.coalesce(F.sum("deal_value"), F.lit(0.0)).alias("exposure"),
@@ -326,7 +330,7 @@ def overview_kpis(rows: DataFrame) -> DataFrame:
 def monthly_trend(rows: DataFrame, months: int = 12) -> DataFrame:
     """Leads and conversions of the latest months in time order."""
     monthly = rows.groupBy(F.trunc("created_date", "month").alias("month_start")).agg(
-        F.count("lead_id").alias("leads"), F.count_if(_CONVERTED).alias("converted"))
+        F.count("lead_id").alias("leads"), F.count_if(_converted()).alias("converted"))
     latest = monthly.filter("month_start is not null").orderBy(F.desc("month_start")).limit(months)
     return latest.select(
         "month_start", F.date_format("month_start", "MMM yyyy").alias("month"), "leads", "converted",
@@ -358,7 +362,7 @@ def conversion_profile(summary: DataFrame) -> DataFrame:
         F.struct(F.lit("industry").alias("profile"), F.col("industry").alias("value")),
         F.struct(F.lit("received_campaign").alias("profile"), F.col("received_campaign").cast("string").alias("value"))))
     return summary.select("event_converted", entries.alias("e")).filter("e.value is not null").groupBy(
-        "e.profile", "e.value").agg(F.round(F.avg("event_converted"), 3).alias("conversion_rate"), _ROWS.alias("leads"))
+        "e.profile", "e.value").agg(F.round(F.avg("event_converted"), 3).alias("conversion_rate"), _rows().alias("leads"))
 
 
 def fastest_leads(predictions: DataFrame, summary: DataFrame, n: int = 10) -> DataFrame:
