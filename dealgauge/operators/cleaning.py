@@ -68,6 +68,18 @@ def reject_activities(raw_activities: DataFrame, leads: DataFrame) -> DataFrame:
     return orphans.select(*ACTIVITY_COLUMNS, F.lit(ORPHAN_REASON).alias("rejection_reason"))
 
 
+def check_activities(raw_activities: DataFrame, leads: DataFrame) -> DataFrame:
+    """First copies of all activities with their rejection reason, null for valid ones.
+
+    Valid and rejected rows come out of one pass; written partitioned by the reason, each side
+    is then a folder of its own.
+    """
+    known = leads.select("lead_id").filter("lead_id is not null").distinct().withColumn("known", F.lit(True))
+    checked = keep_first(raw_activities, "activity_id").join(known, "lead_id", "left")
+    reason = F.when(F.col("known").isNull(), ORPHAN_REASON)
+    return checked.select(*ACTIVITY_COLUMNS, reason.alias("rejection_reason"))
+
+
 def clean_touches(raw_touches: DataFrame, leads: DataFrame) -> DataFrame:
     return with_known_lead(keep_first(raw_touches, "touch_id"), leads).select(TOUCH_COLUMNS)
 

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from dealgauge.functions import nullable_div
 
-_DIGIT_BITS = 4
-_DIGITS = 8
+_DIGIT_BITS = 2
+_DIGITS = 16
 _BASE = 1 << _DIGIT_BITS
 
 
@@ -23,7 +23,7 @@ def concordance_pairs(rows: DataFrame, score: str, day: str = "duration_days", e
     """Comparable, concordant and tied pairs, without forming any pair.
 
     A pair is comparable when one lead has an event and the other leaves later, or on the same
-    day without an event. Two different score codes differ first in exactly one hexadecimal
+    day without an event. Two different score codes differ first in exactly one base-four
     digit. So rows are counted per (prefix of the code, day, next digit); inside one prefix a
     running sum over later days gives, for every event, the rows with a lower digit that are
     still there. Windows see one row per distinct day, never the leads themselves.

@@ -22,7 +22,7 @@ CATEGORICAL = ["lead_source", "industry", "region"]
 DAY, EVENT = "duration_days", "event_converted"
 
 # A category column with more values than this is no category; the fit refuses it.
-MAX_CATEGORIES = 200
+MAX_CATEGORIES = 100
 MAX_DAYS = 200_000
 
 
@@ -106,69 +106,85 @@ def tie_sums(total: float, dying: float, deaths: int, exact: int = 4096) -> tupl
 
 
 class _DayTable:
-    """Per-day weighted sums at one beta, brought to the driver."""
+    """Per-day weighted sums at one beta, brought to the driver.
+
+    The rows are summed once per cell (categories, day, event). Grouping sets over the cells then
+    give the sums per day alone, per day and category, and per day and pair of categories: all
+    entries of the first and second moments, with ten sums per row instead of one per matrix entry.
+    """
 
     def __init__(self, rows: DataFrame, numeric: Sequence[str], levels: dict[str, list[str]], beta: np.ndarray):
         q = len(numeric)
-        dummies = [(c, v) for c, vs in levels.items() for v in vs]
-        p = q + len(dummies)
+        factors = list(levels)
+        place = {(c, v): q + k for k, (c, v) in enumerate((c, v) for c, vs in levels.items() for v in vs)}
+        p = q + len(place)
         x = [F.col(c) for c in numeric]
         eta = sum((F.lit(float(b)) * v for b, v in zip(beta[:q], x)), F.lit(0.0))
         for c, values in levels.items():
             offset = F.lit(0.0)
-            for i, (column, value) in enumerate(dummies):
-                if column == c:
-                    offset = F.when(F.col(c) == value, float(beta[q + i])).otherwise(offset)
+            for value in values:
+                offset = F.when(F.col(c) == value, float(beta[place[c, value]])).otherwise(offset)
             eta = eta + offset
         weighted = rows.withColumn("w", F.exp(eta))
+        pairs = [(i, j) for i in range(q) for j in range(i, q)]
         first = [F.sum("w").alias("w")]
         first += [F.sum(F.col("w") * x[i]).alias(f"w{i}") for i in range(q)]
-        first += [F.sum(F.col("w") * x[i] * x[j]).alias(f"w{i}_{j}") for i in range(q) for j in range(i, q)]
-        cells = weighted.groupBy(*levels, DAY, EVENT).agg(F.count(F.lit(1)).alias("n"), *first)
-
-        def has(i: int) -> Column:
-            return F.col(dummies[i][0]) == dummies[i][1]
-
-        sums = {("n",): F.sum("n"), (): F.sum("w")}
-        for i in range(p):
-            sums[(i,)] = F.sum(f"w{i}") if i < q else F.sum(F.when(has(i - q), F.col("w")).otherwise(0.0))
-            for j in range(i, p):
-                if j < q:
-                    sums[(i, j)] = F.sum(f"w{i}_{j}")
-                elif i < q:
-                    sums[(i, j)] = F.sum(F.when(has(j - q), F.col(f"w{i}")).otherwise(0.0))
-                elif dummies[i - q][0] != dummies[j - q][0]:
-                    sums[(i, j)] = F.sum(F.when(has(i - q) & has(j - q), F.col("w")).otherwise(0.0))
-        keys = list(sums)
-        table = cells.groupBy(DAY, EVENT).agg(*[expr.alias(f"s{k}") for k, expr in enumerate(sums.values())]).toPandas()
-        table = table.sort_values([DAY, EVENT])
-        self.days = np.unique(table[DAY].to_numpy(float))
-        where = np.searchsorted(self.days, table[DAY].to_numpy(float))
-        is_event = table[EVENT].to_numpy(int) == 1
-        self.n = np.zeros(len(self.days))
-        self.deaths = np.zeros(len(self.days))
+        first += [F.sum(F.col("w") * x[i] * x[j]).alias(f"w{i}_{j}") for i, j in pairs]
+        cells = weighted.groupBy(*factors, DAY, EVENT).agg(F.count(F.lit(1)).alias("n"), *first)
+        measures = ["n", "w", *[f"w{i}" for i in range(q)], *[f"w{i}_{j}" for i, j in pairs]]
+        sets = [[], *[[c] for c in factors], *[[a, b] for k, a in enumerate(factors) for b in factors[k + 1:]]]
+        table = cells.groupingSets([[DAY, EVENT, *s] for s in sets], DAY, EVENT, *factors).agg(
+            *[F.sum(m).alias(m) for m in measures]).toArrow()
+        # Rolled-up categories are null; missing ones were filled before.
+        day = table.column(DAY).to_numpy()
+        self.days = np.unique(day)
+        where = np.searchsorted(self.days, day)
+        is_event = table.column(EVENT).to_numpy() == 1
+        value = {m: table.column(m).to_numpy().astype(float) for m in measures}
+        column = {c: self._places(table.column(c), c, place) for c in factors}
+        self.n, self.deaths = np.zeros(len(self.days)), np.zeros(len(self.days))
         s0, s1, s2 = (np.zeros((2, len(self.days), *shape)) for shape in ((), (p,), (p, p)))
-        for k, key in enumerate(keys):
-            values = table[f"s{k}"].to_numpy(float)
-            if key == ("n",):
-                np.add.at(self.n, where, values)
-                np.add.at(self.deaths, where[is_event], values[is_event])
-                continue
-            for part, mask in ((0, np.ones(len(values), bool)), (1, is_event)):
-                if key == ():
-                    np.add.at(s0[part], where[mask], values[mask])
-                elif len(key) == 1:
-                    np.add.at(s1[part], (where[mask], key[0]), values[mask])
-                else:
-                    np.add.at(s2[part], (where[mask], key[0], key[1]), values[mask])
+
+        def add(target: np.ndarray, mask: np.ndarray, index: tuple, amounts: np.ndarray) -> None:
+            for part, rows_of in ((0, mask), (1, mask & is_event)):
+                np.add.at(target[part], (where[rows_of], *[i[rows_of] if np.ndim(i) else i for i in index]), amounts[rows_of])
+
+        for s in sets:
+            mask = np.ones(len(day), bool)
+            for c in factors:
+                mask &= (column[c] != -1) == (c in s)
+            if not s:
+                np.add.at(self.n, where[mask], value["n"][mask])
+                np.add.at(self.deaths, where[mask & is_event], value["n"][mask & is_event])
+                add(s0, mask, (), value["w"])
+                for i in range(q):
+                    add(s1, mask, (i,), value[f"w{i}"])
+                for i, j in pairs:
+                    add(s2, mask, (i, j), value[f"w{i}_{j}"])
+            elif len(s) == 1:
+                k = column[s[0]]
+                mask &= k >= 0
+                add(s1, mask, (k,), value["w"])
+                add(s2, mask, (k, k), value["w"])
+                for i in range(q):
+                    add(s2, mask, (i, k), value[f"w{i}"])
+            else:
+                a, b = column[s[0]], column[s[1]]
+                mask &= (a >= 0) & (b >= 0)
+                add(s2, mask, (a, b), value["w"])
+        lower = np.tril_indices(p, -1)
         for part in (0, 1):
-            for i in range(q, p):
-                s2[part][:, i, i] = s1[part][:, i]
-            lower = np.tril_indices(p, -1)
             s2[part][:, lower[0], lower[1]] = s2[part][:, lower[1], lower[0]]
         self.risk0, self.risk1, self.risk2 = (np.cumsum(s[0][::-1], axis=0)[::-1] for s in (s0, s1, s2))
         self.dying0, self.dying1, self.dying2 = s0[1], s1[1], s2[1]
 
+    @staticmethod
+    def _places(values, factor: str, place: dict) -> np.ndarray:
+        """Design column of each category; -1 for rolled up, -2 for the baseline or missing."""
+        coded = values.combine_chunks().dictionary_encode()
+        lookup = np.array([place.get((factor, v.as_py()), -2) for v in coded.dictionary] + [-1])
+        return lookup[coded.indices.fill_null(len(lookup) - 1).to_numpy(zero_copy_only=False)]
+
     def derivatives(self, event_sum: np.ndarray, beta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
         """Log partial likelihood, its gradient and its Hessian (without penalty)."""
         value, gradient = float(event_sum @ beta), event_sum.astype(float).copy()
@@ -216,7 +232,7 @@ def fit(
     # The numeric columns are standardised in Spark, the 0/1 columns on the summed tables.
     shift, scale = np.where(np.arange(p) < q, 0.0, means), np.where(np.arange(p) < q, 1.0, sds)
     prepared = rows.select(
-        *categorical, DAY, F.col(EVENT).cast("int").alias(EVENT),
+        *[F.coalesce(c, F.lit("")).alias(c) for c in categorical], DAY, F.col(EVENT).cast("int").alias(EVENT),
         *[((columns[c] - float(means[i])) / float(sds[i])).alias(c) for i, c in enumerate(numeric)])
 
     def evaluate(beta: np.ndarray):

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -42,6 +44,15 @@ class ModelSettings:
 SMALL_MODELS = ModelSettings(forest_trees=20, forest_depth=6, boost_rounds=8, arm_rounds=5)
 
 
+def fit_together(fits: Sequence[Callable[[], object]]) -> list[object]:
+    """Runs independent fits at the same time; their jobs share the cluster.
+
+    A boosted model is a long chain of short jobs, one chain alone leaves most executors idle.
+    """
+    with ThreadPoolExecutor(max_workers=len(fits)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(fit)) for fit in fits]]
+
+
 def preprocessing(numeric: Sequence[str], categorical: Sequence[str]) -> list:
     """Median fill and standardisation; null categories as 'Unknown'; one-hot with unseen as all 0.
 
@@ -135,8 +146,10 @@ def train_scoring(
     held = prepared.transform(test).select("lead_id", "features", TARGET).persist()
     rows, best, reports = [], None, {}
     try:
-        for name, learner in _classifiers(settings, n).items():
-            fitted = PipelineModel(stages=[*prepared.stages, learner.fit(ready)])
+        learners = _classifiers(settings, n)
+        models = fit_together([lambda learner=learner: learner.fit(ready) for learner in learners.values()])
+        for name, model in zip(learners, models):
+            fitted = PipelineModel(stages=[*prepared.stages, model])
             scored = _with_probability(PipelineModel(stages=fitted.stages[-1:]), held, "conversion_probability")
             counts = confusion_metrics(scored).first()
             quality = {
@@ -200,22 +213,23 @@ def train_two_arms(
     numbers = cohort.select(
         "lead_id", "treatment_group", *categorical, F.col(TARGET).cast("int").alias(TARGET),
         *[F.col(c).cast("double").alias(c) for c in numeric])
-    arms, rows = {}, []
-    for arm in ARMS:
-        of_arm = numbers.filter(F.col("treatment_group") == arm)
-        train, test = stratified_split(of_arm, settings.test_part, settings.seed)
-
-        def learner() -> Pipeline:
-            boosted = GBTClassifier(
-                featuresCol="features", labelCol=TARGET, maxIter=settings.arm_rounds, maxDepth=settings.arm_depth,
-                stepSize=settings.step, seed=settings.seed)
-            return Pipeline(stages=[*preprocessing(numeric, categorical), boosted])
-
-        trial = _with_probability(learner().fit(train), test, "conversion_probability")
-        rows.append((arm, float(auc(trial)), test.count()))
-        arms[arm] = learner().fit(of_arm)
+
+    def fit(rows: DataFrame) -> PipelineModel:
+        boosted = GBTClassifier(
+            featuresCol="features", labelCol=TARGET, maxIter=settings.arm_rounds, maxDepth=settings.arm_depth,
+            stepSize=settings.step, seed=settings.seed)
+        return Pipeline(stages=[*preprocessing(numeric, categorical), boosted]).fit(rows)
+
+    whole = {arm: numbers.filter(F.col("treatment_group") == arm) for arm in ARMS}
+    parts = {arm: stratified_split(rows, settings.test_part, settings.seed) for arm, rows in whole.items()}
+    fitted = fit_together(
+        [lambda arm=arm: fit(parts[arm][0]) for arm in ARMS] + [lambda arm=arm: fit(whole[arm]) for arm in ARMS])
+    rows = []
+    for arm, trial in zip(ARMS, fitted):
+        scored = _with_probability(trial, parts[arm][1], "conversion_probability")
+        rows.append((arm, float(auc(scored)), scored.count()))
     metrics = cohort.sparkSession.createDataFrame(rows, "treatment_group string, auc double, holdout long")
-    return UpliftRun(arms, metrics)
+    return UpliftRun(dict(zip(ARMS, fitted[len(ARMS):])), metrics)
 
 
 def score_two_arms(run: UpliftRun, cohort: DataFrame) -> DataFrame:

@@ -540,7 +540,7 @@ _SELECTS: dict[str, str] = {
         FROM risks WHERE region IN ('ASIA', 'EUROPE') AND risk_tier IN ('Low', 'Medium')""",
     "risk_histogram": _histogram("risks", "risk_score", 25),
     "score_histogram": _histogram("rule_outputs", "conversion_probability", 40, "risk_tier"),
-    "clv_histogram": _histogram("clv", "clv_discounted", 60, "clv_tier"),
+    "clv_histogram": _histogram("(SELECT * FROM clv WHERE clv_discounted > 0)", "clv_discounted", 60, "clv_tier"),
     "uplift_histogram": _histogram("uplift_seg", "uplift", 60, "uplift_segment"),
     "risk_tier_breakdown": _tiers("risks", "risk_tier", ["Low", "Medium", "High"]),
     "uplift_segment_counts": _tiers("uplift_seg", "uplift_segment", ["Persuadable", "Sure Thing", "Lost Cause", "Do Not Disturb"]),
