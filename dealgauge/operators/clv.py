@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dealgauge.operators.ranks import quantiles
+from dealgauge.sources.stages import measured
 
 DISCOUNT_RATE = 0.10
 FALLBACK_YEARS = 5.0
@@ -32,7 +33,7 @@ def lifetime_values(
         summary.select("lead_id", "industry", "lead_source", "region", "deal_value")
         .join(scores.select("lead_id", "conversion_probability"), "lead_id", "left")
         .join(medians.select("lead_id", "predicted_median_days"), "lead_id", "left")
-        .join(deal_medians(summary), "industry", "left")
+        .join(measured(deal_medians(summary)), "industry", "left")
     )
     positive = F.col("deal_value") > 0
     segment_deal = F.coalesce("segment_median", global_deal_median(summary).scalar())

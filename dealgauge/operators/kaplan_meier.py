@@ -48,8 +48,9 @@ def medians(curves: DataFrame, segment: str) -> DataFrame:
 
 
 def by_segment(rows: DataFrame, segment: str, n: int) -> DataFrame:
-    kept = rows.join(largest_segments(rows, segment, n).select(segment), segment, "left_semi")
-    return medians(curve(kept, segment), segment)
+    """Medians of the n largest segments. The curve has one row per segment and day: filter that."""
+    largest = largest_segments(rows, segment, n).select(segment)
+    return medians(curve(rows, segment).join(largest, segment, "left_semi"), segment)
 
 
 def report(segment_medians: DataFrame) -> DataFrame:

@@ -12,13 +12,14 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealgauge.operators.ranks import quantiles
 from dealgauge.operators.scoring import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET, confusion_metrics
 from dealgauge.operators.uplift import ARMS, with_uplift
 from dealgauge.session import shared_dir
+from dealgauge.sources.stages import measured
 
 UPLIFT_NUMERIC = ["total_activities", "company_size"]
 UPLIFT_CATEGORICAL = ["industry", "lead_source", "region", "job_title"]
@@ -44,13 +45,13 @@ class ModelSettings:
 SMALL_MODELS = ModelSettings(forest_trees=20, forest_depth=6, boost_rounds=8, arm_rounds=5)
 
 
-def fit_together(fits: Sequence[Callable[[], object]]) -> list[object]:
+def fit_together(spark: SparkSession, fits: Sequence[Callable[[], object]]) -> list[object]:
     """Runs independent fits at the same time; their jobs share the cluster.
 
     A boosted model is a long chain of short jobs, one chain alone leaves most executors idle.
     """
     with ThreadPoolExecutor(max_workers=len(fits)) as pool:
-        return [f.result() for f in [pool.submit(inheritable_thread_target(fit)) for fit in fits]]
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(fit)) for fit in fits]]
 
 
 def preprocessing(numeric: Sequence[str], categorical: Sequence[str]) -> list:
@@ -82,7 +83,7 @@ def stratified_split(rows: DataFrame, part: float, seed: int, target: str = TARG
     """
     spread = F.pmod(F.xxhash64("lead_id", F.lit(seed)), F.lit(1 << 53)) / F.lit(float(1 << 53))
     drawn = rows.withColumn("draw", spread)
-    cuts = quantiles(drawn, "draw", {"cut": part}, by=[target])
+    cuts = measured(quantiles(drawn, "draw", {"cut": part}, by=[target]))
     marked = drawn.join(cuts.withColumnRenamed(target, "class"), F.col(target) == F.col("class")).drop("class")
     train = marked.filter("draw > cut").drop("draw", "cut")
     test = marked.filter("draw <= cut").drop("draw", "cut")
@@ -147,7 +148,7 @@ def train_scoring(
     rows, best, reports = [], None, {}
     try:
         learners = _classifiers(settings, n)
-        models = fit_together([lambda learner=learner: learner.fit(ready) for learner in learners.values()])
+        models = fit_together(spark, [lambda learner=learner: learner.fit(ready) for learner in learners.values()])
         for name, model in zip(learners, models):
             fitted = PipelineModel(stages=[*prepared.stages, model])
             scored = _with_probability(PipelineModel(stages=fitted.stages[-1:]), held, "conversion_probability")
@@ -223,6 +224,7 @@ def train_two_arms(
     whole = {arm: numbers.filter(F.col("treatment_group") == arm) for arm in ARMS}
     parts = {arm: stratified_split(rows, settings.test_part, settings.seed) for arm, rows in whole.items()}
     fitted = fit_together(
+        cohort.sparkSession,
         [lambda arm=arm: fit(parts[arm][0]) for arm in ARMS] + [lambda arm=arm: fit(whole[arm]) for arm in ARMS])
     rows = []
     for arm, trial in zip(ARMS, fitted):

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dealgauge.session import shared_dir
+from dealgauge.sources.stages import measured
 
 # Up to this many rows one task sorts or one aggregation buffer holds the values.
 SINGLE_TASK_ROWS = 1_000_000
@@ -20,19 +20,17 @@ def running_total(
     """Adds ``running``: the sum of ``measure`` over all rows up to and including this one.
 
     The order must be unique over the rows. Beyond ``limit`` rows the data is range-partitioned
-    and written with its slice number; the totals of the slices (one row each) give every slice
-    its starting value, and the window then runs inside the slices only.
+    into slices of about that size and written with its slice number; the totals of the slices
+    (one row each) give every slice its starting value, and the window runs inside the slices only.
     """
-    local = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    if rows.count() <= limit:
-        return rows.withColumn("running", F.sum(measure).over(local))
-    spark = rows.sparkSession
-    path = f"{shared_dir(spark)}/slices/{uuid.uuid4().hex}"
-    sliced = rows.repartitionByRange(*order).withColumn("slice", F.spark_partition_id())
-    sliced.write.parquet(path)
-    sliced = spark.read.schema(sliced.schema).parquet(path)
+    size = rows.count()
+    if size <= limit:
+        whole = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return rows.withColumn("running", F.sum(measure).over(whole))
+    slices = math.ceil(size / limit)
+    sliced = measured(rows.repartitionByRange(slices, *order).withColumn("slice", F.spark_partition_id()))
     earlier = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
+    starts = measured(
         sliced.groupBy("slice").agg(F.sum(measure).alias("slice_total"))
         .select("slice", F.coalesce(F.sum("slice_total").over(earlier), F.lit(0)).alias("slice_start"))
     )
@@ -56,11 +54,11 @@ def quantiles(
     known = rows.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("v"))
     if known.count() <= limit:
         return known.groupBy(*by).agg(*[F.percentile("v", p).alias(name) for name, p in probs.items()])
-    counts = known.groupBy(*by, "v").agg(F.count(F.lit(1)).alias("n"))
+    counts = measured(known.groupBy(*by, "v").agg(F.count(F.lit(1)).alias("n")))
     placed = running_total(counts, [F.col(c) for c in [*by, "v"]], "n", limit)
     first = F.col("running") - F.col("n")
     if by:
-        spans = placed.groupBy(*by).agg(F.min(first).alias("start"), F.sum("n").alias("total"))
+        spans = measured(placed.groupBy(*by).agg(F.min(first).alias("start"), F.sum("n").alias("total")))
         placed = placed.join(spans, [placed[c].eqNullSafe(spans[c]) for c in by]).drop(*[spans[c] for c in by])
     else:
         placed = placed.withColumn("start", F.lit(0)).withColumn("total", counts.agg(F.sum("n")).scalar())
@@ -88,10 +86,10 @@ def percent_rank_average(rows: DataFrame, value: str, out: str, limit: int = SIN
     With at most one distinct value every row gets 0.5. Ranks are found on counts per distinct
     value and joined back, so the rows themselves are never globally sorted.
     """
-    counts = rows.groupBy(F.col(value).alias("rank_value")).agg(F.count(F.lit(1)).alias("n"))
+    counts = measured(rows.groupBy(F.col(value).alias("rank_value")).agg(F.count(F.lit(1)).alias("n")))
     placed = running_total(counts, [F.col("rank_value").asc_nulls_last()], "n", limit)
     totals = counts.agg(F.struct(F.sum("n").alias("rows"), F.count("rank_value").alias("values")).alias("t"))
     total = totals.scalar()
     rank = (F.col("running") - F.col("n") + (F.col("n") + 1) / 2) / total["rows"]
-    ranks = placed.select("rank_value", F.when(total["values"] <= 1, 0.5).otherwise(rank).alias(out))
+    ranks = measured(placed.select("rank_value", F.when(total["values"] <= 1, 0.5).otherwise(rank).alias(out)))
     return rows.join(ranks, rows[value].eqNullSafe(ranks["rank_value"]), "left").drop("rank_value")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from dealgauge.functions import nullable_div, right_closed_bins
 from dealgauge.operators.ranks import quantiles
+from dealgauge.sources.stages import measured
 
 NUMERIC_FEATURES = ["total_activities", "company_size", "received_campaign"]
 CATEGORICAL_FEATURES = ["industry", "lead_source", "region", "job_title", "treatment_group", "campaign_response"]
@@ -70,8 +71,8 @@ def class_weights(features: DataFrame) -> DataFrame:
 
 def rule_scores(summary: DataFrame) -> DataFrame:
     """Conversion rate of the lead's (source, industry) group: a score that plain SQL can follow."""
-    rates = summary.groupBy("lead_source", "industry").agg(
-        F.round(F.sum("event_converted") / F.count(F.lit(1)), 6).alias("conversion_probability"))
+    rates = measured(summary.groupBy("lead_source", "industry").agg(
+        F.round(F.sum("event_converted") / F.count(F.lit(1)), 6).alias("conversion_probability")))
     same_group = summary["lead_source"].eqNullSafe(rates["lead_source"]) & summary["industry"].eqNullSafe(rates["industry"])
     return summary.join(rates, same_group, "left").select(
         summary["lead_id"], "conversion_probability",

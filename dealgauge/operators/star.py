@@ -94,11 +94,8 @@ def _duration(snapshot: dt.date) -> Column:
 def lead_summary(
     leads: DataFrame, activities: DataFrame, opportunities: DataFrame, touches: DataFrame, snapshot: dt.date,
 ) -> DataFrame:
-    """One row per lead: all joins are on lead_id, so the lead side is shuffled once at most.
-
-    The left joins start from the known leads and so drop orphans by themselves; the callers may
-    pass the frames before the semi join that the cleaned tables need.
-    """
+    """One row per lead. All joins are on lead_id, so the lead side is shuffled once at most, and
+    the activities are counted per lead before they are joined."""
     stats = activity_stats(activities)
     opp = opportunities.select(
         "lead_id", F.lit(True).alias("opp_match"), "opportunity_id",

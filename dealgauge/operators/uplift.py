@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from dealgauge.functions import share
 from dealgauge.operators.ranks import SINGLE_TASK_ROWS, quantiles, running_total
+from dealgauge.sources.stages import measured
 
 ARMS = ["Treatment", "Control"]
 SEGMENTS = ["Persuadable", "Sure Thing", "Lost Cause", "Do Not Disturb"]
@@ -38,7 +39,7 @@ def segment_rate_scores(cohort: DataFrame, prior_weight: int = 10) -> DataFrame:
         tag = arm[0].lower()
         return [F.count_if(of_arm).alias(f"n_{tag}"), F.sum(F.when(of_arm, F.col("event_converted")).otherwise(0)).alias(f"y_{tag}")]
 
-    cells = cohort.groupBy("lead_source", "industry").agg(*arm_sums("Treatment"), *arm_sums("Control"))
+    cells = measured(cohort.groupBy("lead_source", "industry").agg(*arm_sums("Treatment"), *arm_sums("Control")))
     arms = cells.agg(F.struct(
         (F.sum("y_t") / F.sum("n_t")).alias("t"), (F.sum("y_c") / F.sum("n_c")).alias("c")).alias("r")).scalar()
 
@@ -46,7 +47,8 @@ def segment_rate_scores(cohort: DataFrame, prior_weight: int = 10) -> DataFrame:
         rate = (F.col(f"y_{tag}") + prior_weight * arms[tag]) / (F.col(f"n_{tag}") + prior_weight)
         return F.round(rate, 6)
 
-    rated = cells.select("lead_source", "industry", smoothed("t").alias("p_treatment"), smoothed("c").alias("p_control"))
+    rated = measured(
+        cells.select("lead_source", "industry", smoothed("t").alias("p_treatment"), smoothed("c").alias("p_control")))
     same_group = cohort["lead_source"].eqNullSafe(rated["lead_source"]) & cohort["industry"].eqNullSafe(rated["industry"])
     return with_uplift(cohort.join(rated, same_group, "left").drop(rated["lead_source"], rated["industry"]))
 

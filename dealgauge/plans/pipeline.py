@@ -138,7 +138,7 @@ class Pipeline:
         timed("load_bronze", raw)
         for stage in ("clean_to_silver", "build_gold"):
             timed(stage)
-        lead_models.fit_together([
+        lead_models.fit_together(self.spark, [
             lambda stage=stage: timed(stage) for stage in ("train_ml_models", "survival_analysis", "uplift_modeling")])
         timed("clv_modeling")
         return seconds

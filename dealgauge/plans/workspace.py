@@ -13,20 +13,11 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealgauge.operators import clv, concordance, cox, kaplan_meier, lead_models, scoring, star, uplift
-from dealgauge.operators.cleaning import (
-    clean_activities,
-    clean_leads,
-    clean_opportunities,
-    clean_touches,
-    flag_outliers,
-    keep_first,
-    reject_activities,
-)
+from dealgauge.operators import cleaning, clv, concordance, cox, kaplan_meier, lead_models, scoring, star, uplift
 from dealgauge.operators.lead_models import ModelSettings
 from dealgauge.plans import reports
 from dealgauge.sources.order_book import OrderBook
-from dealgauge.sources.stages import StageStore
+from dealgauge.sources.stages import StageStore, measured
 
 
 @dataclass(frozen=True)
@@ -60,22 +51,43 @@ class Workspace:
 
     # ---- cleaned tables -------------------------------------------------------------------
 
+    # Each cleaned table is the last step of its job, so an orphan id that holds a large part of
+    # the rows can be split at run time, and the later joins on lead_id see known leads only.
+
     @cached_property
     def leads(self) -> DataFrame:
-        return clean_leads(self.raw["raw_leads"])
+        return self.stages.table("leads_clean", lambda: cleaning.clean_leads(self.raw["raw_leads"]))
 
     @cached_property
-    def clean(self) -> dict[str, DataFrame]:
-        return {
-            "leads_clean": self.leads,
-            "opportunities_clean": clean_opportunities(self.raw["raw_opportunities"], self.leads),
-            "activities_clean": clean_activities(self.raw["raw_activities"], self.leads),
-            "campaign_touches_clean": clean_touches(self.raw["raw_campaign_touches"], self.leads),
-        }
+    def opportunities(self) -> DataFrame:
+        return self.stages.table(
+            "opportunities_clean", lambda: cleaning.clean_opportunities(self.raw["raw_opportunities"], self.leads))
+
+    @cached_property
+    def touches(self) -> DataFrame:
+        return self.stages.table(
+            "campaign_touches_clean", lambda: cleaning.clean_touches(self.raw["raw_campaign_touches"], self.leads))
+
+    @cached_property
+    def checked_activities(self) -> DataFrame:
+        return self.stages.table(
+            "activities_checked", lambda: cleaning.check_activities(self.raw["raw_activities"], self.leads),
+            partition_by=["rejection_reason"])
+
+    @cached_property
+    def activities(self) -> DataFrame:
+        return self.checked_activities.filter("rejection_reason is null").select(cleaning.ACTIVITY_COLUMNS)
 
     @cached_property
     def rejected(self) -> DataFrame:
-        return reject_activities(self.raw["raw_activities"], self.leads)
+        return self.checked_activities.filter("rejection_reason is not null")
+
+    @cached_property
+    def clean(self) -> dict[str, DataFrame]:
+        return {
+            "leads_clean": self.leads, "opportunities_clean": self.opportunities,
+            "activities_clean": self.activities, "campaign_touches_clean": self.touches,
+        }
 
     # ---- star schema ----------------------------------------------------------------------
 
@@ -105,11 +117,7 @@ class Workspace:
     @cached_property
     def summary(self) -> DataFrame:
         return self.stages.table("lead_summary", lambda: star.lead_summary(
-            self.leads,
-            keep_first(self.raw["raw_activities"], "activity_id"),
-            flag_outliers(self.raw["raw_opportunities"]),
-            keep_first(self.raw["raw_campaign_touches"], "touch_id"),
-            self.parameters.snapshot))
+            self.leads, self.activities, self.opportunities, self.touches, self.parameters.snapshot))
 
     @cached_property
     def portfolio(self) -> DataFrame:
@@ -142,7 +150,8 @@ class Workspace:
         """Survival median of the lead's source in place of a model prediction."""
         medians = kaplan_meier.by_segment(self.survival, "lead_source", self.parameters.largest_sources)
         return self.survival.select("lead_id", "lead_source").join(
-            medians.select("lead_source", F.col("median_days").alias("predicted_median_days")), "lead_source", "left")
+            measured(medians.select("lead_source", F.col("median_days").alias("predicted_median_days"))),
+            "lead_source", "left")
 
     @cached_property
     def values(self) -> DataFrame:

@@ -3,13 +3,30 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from dealgauge.session import shared_dir
 
 
+def _shared_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/stages/{spark.sparkContext.applicationId}"
+
+
+def measured(rows: DataFrame) -> DataFrame:
+    """The rows as a written table, so that Catalyst knows their true size.
+
+    Without it an aggregate is planned at the size of its input: a join with a handful of group
+    rates would shuffle all leads onto those few keys. With the true size a small table is
+    broadcast under spark.sql.autoBroadcastJoinThreshold, and a large one is shuffled.
+    """
+    path = f"{_shared_root(rows.sparkSession)}/measured/{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 class StageStore:
     """Written tables of one application for one input folder.
 
@@ -23,12 +40,13 @@ class StageStore:
     def __init__(self, spark: SparkSession, scope: str):
         self._spark = spark
         digest = hashlib.sha1(scope.encode()).hexdigest()[:12]
-        self._root = f"{shared_dir(spark)}/stages/{spark.sparkContext.applicationId}/{digest}"
+        self._root = f"{_shared_root(spark)}/{digest}"
 
-    def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    def table(self, name: str, build: Callable[[], DataFrame], partition_by: Sequence[str] = ()) -> DataFrame:
+        """Partition columns must come last in the built frame, as they do when it is read back."""
         path = f"{self._root}/{name}"
         if path not in self._schemas:
             rows = build()
-            rows.write.mode("overwrite").parquet(path)
+            rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
             self._schemas[path] = rows.schema
         return self._spark.read.schema(self._schemas[path]).parquet(path)

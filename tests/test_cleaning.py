@@ -69,5 +69,5 @@ def test_valid_and_rejected_make_up_the_distinct_input(given):
 
 
 def test_repeated_key_is_limited_before_the_shuffle(given):
-    plan = given.clean["activities_clean"]._jdf.queryExecution().executedPlan().toString()
+    plan = cleaning.clean_activities(given.raw["raw_activities"], given.leads)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan

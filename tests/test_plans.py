@@ -33,11 +33,9 @@ def test_point_lookup_is_pushed_down(spark):
 
 
 def test_summary_joins_only_on_the_lead(given):
-    from dealgauge.operators import cleaning, star
+    from dealgauge.operators import star
 
-    rows = star.lead_summary(
-        given.leads, cleaning.keep_first(given.raw["raw_activities"], "activity_id"),
-        cleaning.flag_outliers(given.raw["raw_opportunities"]),
-        cleaning.keep_first(given.raw["raw_campaign_touches"], "touch_id"), given.parameters.snapshot)
+    rows = star.lead_summary(given.leads, given.activities, given.opportunities, given.touches, given.parameters.snapshot)
     plan = plan_of(rows)
-    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint>" in plan
+    assert "ReadSchema: struct<lead_id:string,activity_date:date>" in plan
+    assert "PartitionFilters: [isnull(rejection_reason" in plan
