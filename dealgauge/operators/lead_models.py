@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealgauge.operators.ranks import quantiles
+from dealgauge.operators.ranks import SINGLE_TASK_ROWS, quantiles
 from dealgauge.operators.scoring import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET, confusion_metrics
 from dealgauge.operators.uplift import ARMS, with_uplift
 from dealgauge.session import shared_dir
@@ -23,6 +23,7 @@ from dealgauge.sources.stages import measured
 
 UPLIFT_NUMERIC = ["total_activities", "company_size"]
 UPLIFT_CATEGORICAL = ["industry", "lead_source", "region", "job_title"]
+ROWS_PER_TASK = 2000
 METRICS = ["auc", "accuracy", "f1", "precision", "recall"]
 
 
@@ -143,7 +144,11 @@ def train_scoring(
     train, n = _weighted(train)
     prepared = Pipeline(stages=preprocessing(numeric, categorical)).fit(train)
     # All learners share the prepared rows; without memory they spill, a lost part is recomputed.
-    ready = prepared.transform(train).select("features", TARGET, "balanced_weight", "boosting_weight").persist()
+    ready = prepared.transform(train).select("features", TARGET, "balanced_weight", "boosting_weight")
+    if n <= SINGLE_TASK_ROWS:
+        # A small table may be one file and so one task; large ones keep their many partitions.
+        ready = ready.repartition(min(spark.sparkContext.defaultParallelism, n // ROWS_PER_TASK + 1))
+    ready = ready.persist()
     held = prepared.transform(test).select("lead_id", "features", TARGET).persist()
     rows, best, reports = [], None, {}
     try:
