@@ -30,6 +30,7 @@ class Parameters:
     quadrant_min_leads: int = 100
     largest_sources: int = 6
     largest_industries: int = 7
+    rows_per_bucket: int = 2_000_000
     models: ModelSettings = ModelSettings()
 
 
@@ -42,8 +43,14 @@ class Workspace:
     def __init__(self, spark: SparkSession, folder: str, parameters: Parameters = GIVEN_TABLES):
         self.spark = spark
         self.parameters = parameters
-        self.stages = StageStore(spark, f"{folder}|{parameters}")
         book = OrderBook(spark, folder)
+        # Lead-grain stages share one bucketing, so that joins on lead_id are co-located. Small
+        # inputs are not bucketed: Catalyst broadcasts one side anyway. With fewer buckets than
+        # shuffle partitions Catalyst would shuffle both sides again for parallelism.
+        buckets = book.lead_count() // parameters.rows_per_bucket
+        if buckets:
+            buckets = max(buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        self.stages = StageStore(spark, f"{folder}|{parameters}", buckets)
         self.raw = {
             "raw_leads": book.raw_leads(), "raw_opportunities": book.raw_opportunities(),
             "raw_activities": book.raw_activities(), "raw_campaign_touches": book.raw_campaign_touches(),
@@ -56,17 +63,17 @@ class Workspace:
 
     @cached_property
     def leads(self) -> DataFrame:
-        return self.stages.table("leads_clean", lambda: cleaning.clean_leads(self.raw["raw_leads"]))
+        return self.stages.table("leads_clean", lambda: cleaning.clean_leads(self.raw["raw_leads"]), key="lead_id")
 
     @cached_property
     def opportunities(self) -> DataFrame:
         return self.stages.table(
-            "opportunities_clean", lambda: cleaning.clean_opportunities(self.raw["raw_opportunities"], self.leads))
+            "opportunities_clean", lambda: cleaning.clean_opportunities(self.raw["raw_opportunities"], self.leads), key="lead_id")
 
     @cached_property
     def touches(self) -> DataFrame:
         return self.stages.table(
-            "campaign_touches_clean", lambda: cleaning.clean_touches(self.raw["raw_campaign_touches"], self.leads))
+            "campaign_touches_clean", lambda: cleaning.clean_touches(self.raw["raw_campaign_touches"], self.leads), key="lead_id")
 
     @cached_property
     def checked_activities(self) -> DataFrame:
@@ -117,7 +124,7 @@ class Workspace:
     @cached_property
     def summary(self) -> DataFrame:
         return self.stages.table("lead_summary", lambda: star.lead_summary(
-            self.leads, self.activities, self.opportunities, self.touches, self.parameters.snapshot))
+            self.leads, self.activities, self.opportunities, self.touches, self.parameters.snapshot), key="lead_id")
 
     @cached_property
     def portfolio(self) -> DataFrame:
@@ -129,7 +136,7 @@ class Workspace:
 
     @cached_property
     def risks(self) -> DataFrame:
-        return self.stages.table("proxy_risk", lambda: reports.proxy_risk(self.portfolio))
+        return self.stages.table("proxy_risk", lambda: reports.proxy_risk(self.portfolio), key="lead_id")
 
     # ---- predictions that plain SQL can follow --------------------------------------------
 
@@ -139,11 +146,11 @@ class Workspace:
 
     @cached_property
     def rule_scores(self) -> DataFrame:
-        return self.stages.table("rule_scores", lambda: scoring.rule_scores(self.summary))
+        return self.stages.table("rule_scores", lambda: scoring.rule_scores(self.summary), key="lead_id")
 
     @cached_property
     def rule_outputs(self) -> DataFrame:
-        return self.stages.table("rule_outputs", lambda: scoring.business_outputs(self.rule_scores))
+        return self.stages.table("rule_outputs", lambda: scoring.business_outputs(self.rule_scores), key="lead_id")
 
     @cached_property
     def rule_medians(self) -> DataFrame:
@@ -156,7 +163,7 @@ class Workspace:
     @cached_property
     def values(self) -> DataFrame:
         priced = self.stages.table(
-            "clv_values", lambda: clv.lifetime_values(self.summary, self.rule_outputs, self.rule_medians))
+            "clv_values", lambda: clv.lifetime_values(self.summary, self.rule_outputs, self.rule_medians), key="lead_id")
         return clv.with_value_tier(priced)
 
     @cached_property
@@ -169,7 +176,7 @@ class Workspace:
 
     @cached_property
     def uplift_rates(self) -> DataFrame:
-        return self.stages.table("uplift_rates", lambda: uplift.segment_rate_scores(self.cohort))
+        return self.stages.table("uplift_rates", lambda: uplift.segment_rate_scores(self.cohort), key="lead_id")
 
     @cached_property
     def uplift_segments(self) -> DataFrame:
@@ -197,11 +204,11 @@ class Workspace:
     def model_scores(self) -> DataFrame:
         def build() -> DataFrame:
             return lead_models.score_all(self.scoring_run.best_model, self.features)
-        return self.stages.table("model_scores", build)
+        return self.stages.table("model_scores", build, key="lead_id")
 
     @cached_property
     def model_outputs(self) -> DataFrame:
-        return self.stages.table("model_outputs", lambda: scoring.business_outputs(self.model_scores))
+        return self.stages.table("model_outputs", lambda: scoring.business_outputs(self.model_scores), key="lead_id")
 
     @cached_property
     def cox_model(self) -> cox.CoxModel:
@@ -210,7 +217,7 @@ class Workspace:
     @cached_property
     def survival_predictions(self) -> DataFrame:
         return self.stages.table(
-            "survival_predictions", lambda: cox.predicted_medians(self.survival, self.cox_model))
+            "survival_predictions", lambda: cox.predicted_medians(self.survival, self.cox_model), key="lead_id")
 
     @cached_property
     def cox_concordance(self) -> DataFrame:
@@ -220,7 +227,7 @@ class Workspace:
     @cached_property
     def model_values(self) -> DataFrame:
         priced = self.stages.table("model_clv_values", lambda: clv.lifetime_values(
-            self.summary, self.model_outputs, self.survival_predictions))
+            self.summary, self.model_outputs, self.survival_predictions), key="lead_id")
         return clv.with_value_tier(priced)
 
     @cached_property
@@ -231,7 +238,7 @@ class Workspace:
     @cached_property
     def model_uplift(self) -> DataFrame:
         scored = self.stages.table(
-            "model_uplift", lambda: lead_models.score_two_arms(self.uplift_run, self.cohort))
+            "model_uplift", lambda: lead_models.score_two_arms(self.uplift_run, self.cohort), key="lead_id")
         return uplift.with_segment(scored)
 
 
