@@ -53,17 +53,12 @@ class CoxModel:
 
 def category_levels(rows: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
     """Sorted categories without the first one, which is the baseline."""
-    found = rows.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in columns]) if _few(rows, columns) else None
-    first = found.first()
-    return {c: list(first[c])[1:] for c in columns}
-
-
-def _few(rows: DataFrame, columns: Sequence[str]) -> bool:
     sizes = rows.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
     wide = [c for c in columns if sizes[c] > MAX_CATEGORIES]
     if wide:
         raise ValueError(f"too many categories: {wide}")
-    return True
+    found = rows.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in columns]).first()
+    return {c: list(found[c])[1:] for c in columns}
 
 
 def _design_columns(numeric: Sequence[str], levels: dict[str, list[str]], fill: dict[str, float]) -> list[Column]:

@@ -200,8 +200,10 @@ QUERIES: dict[str, Query] = {
     "clv_by_source": lambda w: reports.clv_by(w.values, "lead_source"),
     "best_clv_segments": lambda w: reports.best_clv_segments(w.values),
     "map_kpis": lambda w: reports.map_kpis(w.countries),
-    "top_countries": lambda w: reports.top_countries(w.countries, "total_leads"),
-    "top_countries_by_rate": lambda w: reports.top_countries(w.countries, "conversion_rate"),
+    "top_countries": lambda w: reports.top_countries(w.countries, "Leads"),
+    "top_countries_by_rate": lambda w: reports.top_countries(w.countries, "Conversion Rate"),
+    "top_countries_by_value": lambda w: reports.top_countries(w.countries, "CLV"),
+    "top_countries_by_risk": lambda w: reports.top_countries(w.countries, "Risk"),
     "region_rollup": lambda w: reports.region_rollup(w.countries),
     "country_drilldown": lambda w: reports.country_drilldown(w.countries, "NATION_3"),
     "dashboard_kpis": lambda w: reports.dashboard_kpis(w.risks, quality.quality_checks(w.summary)),

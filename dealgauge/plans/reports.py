@@ -18,6 +18,9 @@ STATUS_RISK = {
     "Lost": 1.0, "Unqualified": 0.85, "New": 0.55, "Contacted": 0.45, "Qualified": 0.30, "Converted": 0.10,
 }
 UNKNOWN_STATUS_RISK = 0.5
+MAP_METRICS = {
+    "Leads": "total_leads", "Conversion Rate": "conversion_rate", "CLV": "total_clv", "Risk": "high_risk_count",
+}
 
 
 def _converted() -> Column:
@@ -279,8 +282,9 @@ def map_kpis(countries: DataFrame) -> DataFrame:
 
 
 def top_countries(countries: DataFrame, metric: str, n: int = 10) -> DataFrame:
-    return countries.filter(F.col(metric).isNotNull()).orderBy(F.desc(metric), "country").limit(n).select(
-        "country", F.col(metric).alias("value"))
+    """Best countries by one of the map metrics."""
+    metric = MAP_METRICS[metric]
+    return countries.filter(F.col(metric).isNotNull()).orderBy(F.desc(metric), "country").limit(n).select("country", metric)
 
 
 def region_rollup(countries: DataFrame) -> DataFrame:

@@ -36,10 +36,6 @@ LEAD = (
     "lead_id, contact_name, company_name, industry, company_size, company_size_missing, lead_source, "
     "job_title, country, region, status, created_date"
 )
-OPP = (
-    "opportunity_id, lead_id, deal_value, deal_value_outlier, stage, owner, open_date, expected_close_date, "
-    "actual_close_date"
-)
 ACT = "activity_id, lead_id, activity_date, activity_type, channel, outcome"
 TOUCH = "touch_id, lead_id, campaign_id, touch_date, response, treatment_group"
 
@@ -383,7 +379,6 @@ _RISK = (
     f"lead_id, company_name, industry, region, status, total_activities, duration_days, risk_score, risk_tier, "
     f"{_r2('expected_loss')} AS expected_loss"
 )
-_Z = "(x - (SELECT avg(x) FROM f)) / (SELECT stddev_pop(x) FROM f)"
 
 
 def _scaled(column: str) -> str:
@@ -581,8 +576,10 @@ _SELECTS: dict[str, str] = {
     "map_kpis": f"""
         SELECT {_n('count(*) FILTER (WHERE total_leads > 0)')} AS countries, {_n('sum(total_leads)')} AS total_leads, {_n('sum(conversions)')} AS conversions,
                {_r2('coalesce(sum(total_clv), 0)')} AS total_clv, {_r6('sum(conversions) / CAST(sum(total_leads) AS DOUBLE)')} AS global_conversion FROM countries""",
-    "top_countries": "SELECT country, total_leads AS value FROM countries ORDER BY total_leads DESC, country LIMIT 10",
-    "top_countries_by_rate": f"SELECT country, {_r6('conversion_rate')} AS value FROM countries ORDER BY conversion_rate DESC, country LIMIT 10",
+    "top_countries": "SELECT country, total_leads FROM countries ORDER BY total_leads DESC, country LIMIT 10",
+    "top_countries_by_rate": f"SELECT country, {_r6('conversion_rate')} AS conversion_rate FROM countries ORDER BY countries.conversion_rate DESC, country LIMIT 10",
+    "top_countries_by_value": f"SELECT country, {_r2('total_clv')} AS total_clv FROM countries ORDER BY countries.total_clv DESC, country LIMIT 10",
+    "top_countries_by_risk": "SELECT country, high_risk_count FROM countries ORDER BY high_risk_count DESC, country LIMIT 10",
     "region_rollup": f"""
         SELECT region, {_n('sum(total_leads)')} AS total_leads, {_n('sum(conversions)')} AS conversions,
                {_r6('sum(conversions) / CAST(sum(total_leads) AS DOUBLE)')} AS conversion_rate FROM countries GROUP BY region""",
