@@ -10,10 +10,12 @@ import time
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from dealgauge.operators import cleaning, clv, concordance, cox, kaplan_meier, lead_models, scoring, star, uplift
 from dealgauge.plans.workspace import Parameters
 from dealgauge.sources.files import PUBLISHED_TABLES, load_raw_folder, overwrite, publish, stamp, write_summary
+from dealgauge.sources.schemas import RAW_ACTIVITIES
 
 CHECKED = "activities_checked"
 
@@ -26,13 +28,13 @@ class Pipeline:
 
     def table(self, name: str) -> DataFrame:
         """A written table. Valid and rejected activities are two partitions of one folder."""
-        if name == "activities_clean":
-            return self._stored(CHECKED).filter("rejection_reason is null").select(cleaning.ACTIVITY_COLUMNS)
-        if name == "activities_rejected":
-            return self._stored(CHECKED).filter("rejection_reason is not null")
-        return self._stored(name)
-
-    def _stored(self, name: str) -> DataFrame:
+        if name in ("activities_clean", "activities_rejected"):
+            # The schema is given: a folder without any row, or without rejects, cannot tell it.
+            schema = T.StructType([*RAW_ACTIVITIES.fields, T.StructField("rejection_reason", T.StringType())])
+            checked = self.spark.read.schema(schema).parquet(f"{self.target}/{CHECKED}")
+            if name == "activities_rejected":
+                return checked.filter("rejection_reason is not null")
+            return checked.filter("rejection_reason is null").select(cleaning.ACTIVITY_COLUMNS)
         return self.spark.read.parquet(f"{self.target}/{name}")
 
     def _write(self, name: str, rows: DataFrame) -> None:

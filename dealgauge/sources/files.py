@@ -30,15 +30,21 @@ def read_raw_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
 
 
 def load_raw_folder(spark: SparkSession, folder: str, target: str) -> dict[str, str]:
-    """Reload every raw table from ``<folder>/<table>.csv``; a missing file is skipped."""
+    """Reload every raw table from ``<folder>/<table>.csv``.
+
+    All tables are emptied by a reload, so a table whose file is missing ends up empty.
+    """
     outcome = {}
-    for table in RAW_TABLES:
+    for table, schema in RAW_TABLES.items():
         try:
             rows = read_raw_csv(spark, f"{folder}/{table}.csv", table)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             outcome[table] = "skipped"
+            nothing = spark.createDataFrame([], schema)
+            rows = nothing.withColumn("ingest_seq", F.lit(None).cast("long"))
+            overwrite(rows, f"{target}/{table}")
             continue
         overwrite(rows, f"{target}/{table}")
         outcome[table] = "loaded"

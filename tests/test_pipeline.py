@@ -42,6 +42,30 @@ def test_views(finished, spark):
     assert spark.table("vw_lead_summary_scored").filter("risk_tier is null").count() == 0
 
 
+def test_from_csv_with_missing_files(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "raw_leads.csv").write_text(
+        "lead_id,contact_name,company_name,industry,company_size,lead_source,job_title,country,region,status,created_date\n"
+        "L1,A,Acme,SaaS,163 emp,Referral,CEO,France,Europe,Converted,2020-01-01\n")
+    pipeline = Pipeline(spark, str(tmp_path / "tables"))
+    pipeline.load_bronze(str(raw))
+    pipeline.clean_to_silver()
+    pipeline.build_gold()
+    row = pipeline.table("lead_summary").first()
+    assert (row["company_size"], row["total_activities"], row["duration_days"], row["has_opportunity"]) == (163, 0, 2440, False)
+    assert pipeline.table("activities_rejected").count() == 0
+
+    # one valid activity, no rejects
+    (raw / "raw_activities.csv").write_text(
+        "activity_id,lead_id,activity_date,activity_type,channel,outcome\nT1,L1,2020-01-02,call,Phone,Neutral\n")
+    pipeline.load_bronze(str(raw))
+    pipeline.clean_to_silver()
+    pipeline.build_gold()
+    assert pipeline.table("lead_summary").first()["total_activities"] == 1
+    assert pipeline.table("activities_rejected").count() == 0 and pipeline.table("fact_activities").count() == 1
+
+
 def test_publish(finished, spark, tmp_path):
     assert finished[0].publish(str(tmp_path)) == PUBLISHED_TABLES
     assert spark.read.parquet(str(tmp_path / "activities_clean")).count() == finished[0].table("activities_clean").count()
