@@ -28,7 +28,7 @@ BUCKET_DIGITS = 4
 
 def words(text: Column) -> Column:
     """Words of a text as an array; null has none."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), WHITE_SPACE), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), WHITE_SPACE), "")
 
 
 def word_count(text: Column) -> Column:

@@ -7,7 +7,7 @@ Documents whose squared Mahalanobis distance of transformed statistics is above
 rejected. Every step is one aggregate over all rows; only estimates (one row per group) are joined back.
 
 A covariance gets `RIDGE` added on its diagonal, so that statistics that are constant in a group do not
-break its inverse. Groups of at most `SMALL_GROUP` rows use the estimate over all rows. Documents that
+break its inverse. Sources with fewer than `SMALL_GROUP` clean rows in a language share one estimate of that language. Documents that
 fail a base rule take no part in the estimates and are not kept. Null text has no words; null lang or source is
 a group of its own; repeated rows count as often as they occur; an empty table gives an empty result.
 """
@@ -18,63 +18,72 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from dealgauge.llm.mixing import word_count, words
+from dealgauge.llm.mixing import words
 from dealgauge.llm.scratch import Scratch
 
 #: Transformed statistics: log length, mean word length, symbol rate, repeated share.
 FEATURES = ("f_length", "f_word", "f_symbols", "f_repeat")
-STEPS = 4
-RIDGE = (0.02, 0.01, 0.02, 0.002)
-SMALL_GROUP = 40
+STEPS = 3
+#: Deviations that clean texts may show in any group, even where the half sample shows none.
+RIDGE = (1.0, 0.1, 0.5, 0.04)
+SMALL_GROUP = 60
 #: 1 - 1e-5 quantile of chi-square with four degrees of freedom, on the consistent scale of the half sample.
 CUT = 28.47
 #: Median of chi-square with four degrees of freedom.
 HALF = 3.357
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
+SPACES = " \t\n\x0b\f\r"
+
+
+def let(value: Column, body) -> Column:
+    """`body(value)` with the value computed once, however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
 
 
 def repeated_words(hashes: Column) -> Column:
     """Words covered by windows of eight word hashes that occur twice or more in the array."""
     n = F.size(hashes) - (WINDOW - 1)
-    windows = F.when(n >= 2, F.transform(
-        F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-        lambda i: F.struct(F.xxhash64(F.slice(hashes, i, WINDOW)).alias("h"), i.alias("i"))))
-    ordered = F.array_sort(windows)
-    return _covered(_repeats(ordered))
+    windows = F.transform(F.sequence(F.lit(1), n), lambda i: F.xxhash64(F.slice(hashes, i, WINDOW)))
+    # most texts repeat no window: only the others are sorted
+    some = let(windows, lambda w: F.when(F.size(F.array_distinct(w)) == F.size(w), F.lit(0)).otherwise(_covered(_repeats(w))))
+    return F.when(n >= 2, some).otherwise(0).cast("long")
+
 
+def _repeats(windows: Column) -> Column:
+    """Positions of windows whose hash is that of a neighbour in the sorted array, in order."""
+    ordered = F.array_sort(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
 
-def _repeats(ordered: Column) -> Column:
-    """Positions of windows whose hash is that of a neighbour in the sorted array."""
-    previous = F.concat(F.array(F.lit(None).cast("struct<h:bigint,i:int>")), F.slice(ordered, 1, F.greatest(F.size(ordered) - 1, F.lit(0))))
-    following = F.concat(F.slice(ordered, 2, F.greatest(F.size(ordered), F.lit(1))), F.array(F.lit(None).cast("struct<h:bigint,i:int>")))
-    both = F.arrays_zip(ordered.alias("a"), previous.alias("p"), following.alias("n"))
-    kept = F.filter(both, lambda x: (x["a"]["h"] == x["p"]["h"]) | (x["a"]["h"] == x["n"]["h"]))
-    return F.array_sort(F.transform(kept, lambda x: x["a"]["i"]))
+    def equal_neighbours(o: Column) -> Column:
+        following = F.slice(o, 2, F.size(o))
+        pairs = F.filter(F.arrays_zip(o.alias("a"), following.alias("b")), lambda x: x["a"]["h"] == x["b"]["h"])
+        return F.array_union(F.transform(pairs, lambda x: x["a"]["i"]), F.transform(pairs, lambda x: x["b"]["i"]))
+
+    return F.array_sort(let(ordered, equal_neighbours))
 
 
 def _covered(at: Column) -> Column:
     start = F.struct(F.lit(0).alias("n"), F.lit(-WINDOW).alias("last"))
-    total = F.aggregate(at, start, lambda acc, i: F.struct(
-        (acc["n"] + F.least(F.lit(WINDOW), i - acc["last"])).alias("n"), i.alias("last")))
-    return F.coalesce(total["n"], F.lit(0)).cast("long")
+    return F.aggregate(at, start, lambda acc, i: F.struct(
+        (acc["n"] + F.least(F.lit(WINDOW), i - acc["last"])).alias("n"), i.alias("last")), lambda acc: acc["n"])
 
 
 def base_statistics(documents: DataFrame) -> DataFrame:
     """doc_id, lang, source and the base statistics of whole texts."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    solid = F.translate(text, " \t\n\x0b\f\r", "")
+    lines = let(
+        F.filter(F.split(text, "\n"), lambda x: F.translate(x, SPACES, "") != ""),
+        lambda x: F.size(x) - F.size(F.array_distinct(x)))
+    counted = let(words(text), lambda w: F.struct(
+        F.size(w).cast("long").alias("n_words"),
+        let(F.transform(w, lambda x: F.xxhash64(x)), repeated_words).alias("n_repeat_words")))
     return (
-        documents.select("doc_id", "lang", "source", text.alias("text"))
-        .withColumn("hashes", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)))
-        .select(
-            "doc_id", "lang", "source",
-            word_count(F.col("text")).alias("n_words"),
-            F.length(solid).cast("long").alias("word_chars"),
-            (F.length(F.col("text")) - F.length(F.translate(F.col("text"), SYMBOLS, ""))).cast("long").alias("n_symbols"),
-            (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
-            repeated_words(F.col("hashes")).alias("n_repeat_words"))
+        documents.select(
+            "doc_id", "lang", "source", counted.alias("counted"),
+            F.length(F.translate(text, SPACES, "")).cast("long").alias("word_chars"),
+            (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+            lines.cast("long").alias("n_dup_lines"))
+        .select("doc_id", "lang", "source", "counted.n_words", "word_chars", "n_symbols", "n_dup_lines", "counted.n_repeat_words")
         .withColumn("base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))))
 
 
@@ -102,9 +111,18 @@ def _distance(mean: list[Column], cov: list[list[Column]]) -> Column:
     return reduce(lambda a, b: a + b, [x * x for x in solved])
 
 
-def _measured(rows: DataFrame, estimates: DataFrame) -> DataFrame:
-    same = F.col("lang").eqNullSafe(F.col("g_lang")) & F.col("source").eqNullSafe(F.col("g_source"))
-    return rows.join(estimates, same)
+def _same(lang: str, group: str) -> Column:
+    return F.col("lang").eqNullSafe(F.col(lang)) & F.col("group").eqNullSafe(F.col(group))
+
+
+def _grouped(rows: DataFrame) -> DataFrame:
+    """`rows` with the group whose estimate they use: their source, or all small sources of the language."""
+    sizes = rows.groupBy(F.col("lang").alias("n_lang"), F.col("source").alias("n_source")).agg(
+        F.count_if(~F.col("base_failed")).alias("n_clean"))
+    same = F.col("lang").eqNullSafe(F.col("n_lang")) & F.col("source").eqNullSafe(F.col("n_source"))
+    small = F.col("n_clean") < SMALL_GROUP
+    group = F.struct(small.alias("small"), F.when(~small, F.col("source")).alias("source"))
+    return rows.join(sizes, same).withColumn("group", group).drop("n_lang", "n_source", "n_clean")
 
 
 def _estimates(rows: DataFrame) -> DataFrame:
@@ -112,7 +130,7 @@ def _estimates(rows: DataFrame) -> DataFrame:
     p = range(len(FEATURES))
     sums = [F.avg(f).alias(f"m{i}") for i, f in enumerate(FEATURES)]
     sums += [F.covar_pop(FEATURES[i], FEATURES[j]).alias(f"c{i}{j}") for i in p for j in range(i + 1)]
-    found = rows.groupBy(F.col("lang").alias("g_lang"), F.col("source").alias("g_source")).agg(F.count("*").alias("g_n"), *sums)
+    found = rows.groupBy(F.col("lang").alias("g_lang"), F.col("group").alias("g_group")).agg(F.count("*").alias("g_n"), *sums)
     return found.withColumns({f"c{i}{i}": F.col(f"c{i}{i}") + RIDGE[i] ** 2 for i in p})
 
 
@@ -123,33 +141,31 @@ def _of_estimate() -> Column:
 
 def outlier_distances(statistics: DataFrame, scratch: Scratch, steps: int = STEPS) -> DataFrame:
     """`statistics` with `distance`, the squared robust distance on the scale of chi-square."""
-    rows = _features(statistics)
+    rows = scratch.write(_grouped(_features(statistics)), "features")
     clean = rows.filter(~F.col("base_failed"))
-    groups = ("lang", "source")
+    groups = ("lang", "group")
     start = clean.groupBy(*[F.col(g).alias(f"g_{g}") for g in groups]).agg(
         F.count("*").alias("g_n"), *[F.percentile_approx(f, [0.25, 0.5, 0.75], 1000).alias(f"q{i}") for i, f in enumerate(FEATURES)])
     scaled = [((F.col(f) - F.col(f"q{i}")[1]) / ((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349 + RIDGE[i])) for i, f in enumerate(FEATURES)]
     distance = reduce(lambda a, b: a + b, [x * x for x in scaled])
     estimates = scratch.write(start, "start")
     for step in range(steps):
-        measured = _measured(clean, estimates).withColumn("d", distance)
+        measured = clean.join(estimates, _same("g_lang", "g_group")).withColumn("d", distance)
         middle = scratch.write(
-            measured.groupBy(F.col("lang").alias("h_lang"), F.col("source").alias("h_source"))
-            .agg(F.percentile_approx("d", 0.5, 1000).alias("half"), F.count("*").alias("h_n")), f"half{step}")
-        inner = measured.join(middle, F.col("lang").eqNullSafe(F.col("h_lang")) & F.col("source").eqNullSafe(F.col("h_source")))
-        small = F.col("h_n") <= SMALL_GROUP
-        estimates = scratch.write(_estimates(inner.filter(small | (F.col("d") <= F.col("half"))).select(*groups, *FEATURES)), f"estimate{step}")
+            measured.groupBy(F.col("lang").alias("h_lang"), F.col("group").alias("h_group"))
+            .agg(F.percentile_approx("d", 0.5, 1000).alias("half")), f"half{step}")
+        inner = measured.join(middle, _same("h_lang", "h_group")).filter(F.col("d") <= F.col("half"))
+        estimates = scratch.write(_estimates(inner.select(*groups, *FEATURES)), f"estimate{step}")
         distance = _of_estimate()
-    measured = _measured(clean, estimates).withColumn("d", distance)
-    middle = measured.groupBy(F.col("lang").alias("h_lang"), F.col("source").alias("h_source")).agg(
+    measured = clean.join(estimates, _same("g_lang", "g_group")).withColumn("d", distance)
+    middle = measured.groupBy(F.col("lang").alias("h_lang"), F.col("group").alias("h_group")).agg(
         F.percentile_approx("d", 0.5, 1000).alias("half"))
     scales = scratch.write(
-        estimates.join(middle, F.col("g_lang").eqNullSafe(F.col("h_lang")) & F.col("g_source").eqNullSafe(F.col("h_source")))
-        .drop("h_lang", "h_source"), "scales")
-    same = F.col("lang").eqNullSafe(F.col("g_lang")) & F.col("source").eqNullSafe(F.col("g_source"))
+        estimates.join(middle, F.col("g_lang").eqNullSafe(F.col("h_lang")) & F.col("g_group").eqNullSafe(F.col("h_group")))
+        .drop("h_lang", "h_group"), "scales")
     # the half sample is too tight by a factor; the median distance is put where chi-square has its median
     factor = HALF / F.greatest(F.col("half"), F.lit(HALF / 4))
-    return rows.join(scales, same, "left").withColumn(
+    return rows.join(scales, _same("g_lang", "g_group"), "left").withColumn(
         "distance", _of_estimate() * F.least(F.lit(1.0), factor)).select(*statistics.columns, "distance")
 
 
@@ -158,6 +174,7 @@ def quality_rules(documents: DataFrame, cut: float = CUT) -> DataFrame:
     scratch = Scratch(documents.sparkSession, "quality")
     statistics = scratch.write(base_statistics(documents), "statistics")
     judged = outlier_distances(statistics, scratch)
+    scratch.drop(*[f"{name}{step}" for name in ("half", "estimate") for step in range(STEPS - 1)])
     kept = ~F.col("base_failed") & (F.coalesce(F.col("distance"), F.lit(0.0)) <= cut)
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
