@@ -1,11 +1,11 @@
 """Language-model scores by stupid backoff over n-gram counts of the whole corpus.
 
-Counts of words and word pairs are tables partitioned by hash. Each task counts the distinct n-grams of its
-batch of documents and deals them out by hash bucket; a bucket adds up the counts of all batches and so
-holds one part of the table, sorted by hash. Documents' n-grams are dealt out to the same buckets, looked up there,
-and the counts go back to the batch, where scores are summed per document. N-grams travel as sorted
-arrays of 64-bit hashes, one row for a batch and bucket, so a frequent n-gram is one entry of each batch
-however often it occurs, and no bucket is larger than its share of the distinct n-grams.
+Counts of words and word pairs are a table partitioned by hash. The n-grams of a batch of documents are
+exploded, counted and dealt out by hash bucket; a bucket adds up the counts of all batches, which is its part of
+the table, and joins them to the n-grams that each batch asked for; the answers go back to the batch, where
+scores are summed per document. N-grams travel as sorted arrays of 64-bit hashes, one row for a batch and bucket,
+so a frequent n-gram is one entry of each batch however often it occurs, and a bucket holds its share of the
+distinct n-grams of the batches. Batches are numbered by split and place; a second scan has the same batches.
 
 The score of a word is the count of the pair over the count of the word before it; an unseen pair gives
 `BACKOFF` times the word's share of all words. A document is left out of the counts it is scored with;
@@ -22,25 +22,28 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from dealgauge.llm.scratch import Scratch
-from dealgauge.llm.text_arrays import mix, slices, window_hashes
+from dealgauge.llm.text_arrays import Texts, mix, slices, texts_of, window_hashes
 
 BACKOFF = 0.4
 UNSEEN = 0.5
 #: Text of a batch, and text whose n-grams fill one bucket.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 16 << 20
 BUCKET_BYTES = 8 << 20
 
 
-def _split(sorted_keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Where each bucket, an equal range of hashes, starts in sorted keys."""
-    edges = np.array([(i << 64) // buckets for i in range(1, buckets)], np.uint64)
-    return np.concatenate([[0], np.searchsorted(sorted_keys, edges), [len(sorted_keys)]])
+def _buckets(sorted_keys: np.ndarray, buckets: int) -> Iterator[tuple[int, int, int]]:
+    """Bucket, first and last place of each bucket that has keys; buckets are equal ranges of hashes."""
+    of = ((sorted_keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    cuts = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1], [True]])) if len(of) else np.zeros(1, int)
+    for i, j in zip(cuts[:-1], cuts[1:]):
+        yield int(of[i]), int(i), int(j)
 
 
-def _grams(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _grams(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of words, the text of each word, and hashes of the pairs (0 where a text begins)."""
     starts, ends, owner = texts.words()
     words = texts.word_hashes(starts, ends)
@@ -55,76 +58,100 @@ def _pack(x: np.ndarray) -> bytes:
     return np.ascontiguousarray(x).tobytes()
 
 
+def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch, Texts]]:
+    """Slices of a scan with a number that follows from the scan's split and the place in it."""
+    split = TaskContext.get().partitionId()
+    for nth, (part, texts) in enumerate(slices(batches, limit=BATCH_BYTES)):
+        yield (split << 32) + nth, part, texts
+
+
+def _distinct(words: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sorted distinct n-grams, where each word and pair stands in them, and how often each occurs."""
+    return np.unique(np.concatenate([words, pairs[pairs != 0]]), return_inverse=True, return_counts=True)
+
+
 def _deal(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Counts of a batch's distinct n-grams, dealt out to buckets."""
-    for _, texts in slices(batches, limit=BATCH_BYTES):
+    """A batch's distinct n-grams and their counts, dealt out to buckets."""
+    for number, _, texts in _batches(batches):
         words, _, pairs = _grams(texts)
-        keys, counts = np.unique(np.concatenate([words, pairs[pairs != 0]]), return_counts=True)
-        cuts = _split(keys, buckets)
-        rows = [(b, _pack(keys[i:j]), _pack(counts[i:j].astype(np.uint32))) for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])) if j > i]
-        if rows:
+        keys, _, counts = _distinct(words, pairs)
+        rows = [(number, b, i, _pack(keys[i:j]), _pack(counts[i:j].astype(np.uint32))) for b, i, j in _buckets(keys, buckets)]
+        for at in range(0, len(rows), 10_000):
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))], names=["bucket", "keys", "counts"])
+                [pa.array(c, k) for c, k in zip(zip(*rows[at:at + 10_000]), kinds)], names=["batch", "bucket", "at", "keys", "counts"])
 
 
 def _add_up(rows: pd.DataFrame) -> pd.DataFrame:
+    """One part of the count table, joined at once to the n-grams of every batch that has some of it."""
     keys = np.concatenate([np.frombuffer(x, np.uint64) for x in rows["keys"]])
     counts = np.concatenate([np.frombuffer(x, np.uint32) for x in rows["counts"]]).astype(np.int64)
     order = np.argsort(keys)
-    keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, int)
-    return pd.DataFrame({"bucket": rows["bucket"][:1].to_numpy(), "keys": [_pack(keys[first])], "counts": [_pack(np.add.reduceat(counts, first))]})
-
-
-def count_table(documents: DataFrame, buckets: int) -> DataFrame:
-    """bucket, keys (sorted hashes of words and word pairs) and counts (64-bit), one row per bucket."""
-    dealt = documents.select("text").mapInArrow(lambda batches: _deal(batches, buckets), "bucket int, keys binary, counts binary")
-    return dealt.groupBy("bucket").applyInPandas(_add_up, "bucket int, keys binary, counts binary")
+    keys = keys[order]
+    first = np.concatenate([[True], keys[1:] != keys[:-1]])
+    totals = np.add.reduceat(counts[order], np.flatnonzero(first))
+    answer = np.empty(len(keys), np.int64)
+    answer[order] = totals[np.cumsum(first) - 1]
+    ends = np.cumsum([len(x) // 8 for x in rows["keys"]])[:-1]
+    return pd.DataFrame({"batch": rows["batch"], "at": rows["at"], "counts": [_pack(x) for x in np.split(answer, ends)]})
+
+
+def _score(docs: pd.DataFrame, answers: pd.DataFrame, total: int) -> pd.DataFrame:
+    """Scores of one batch from the corpus counts of its distinct n-grams."""
+    docs = docs.sort_values("nth")
+    texts = texts_of(pa.array(docs["text"], pa.large_string()))
+    words, owner, pairs = _grams(texts)
+    n = np.bincount(owner, minlength=len(texts))
+    score = np.full(len(texts), np.nan)
+    if len(words):
+        keys, inverse, _ = _distinct(words, pairs)
+        answers = answers.sort_values("at")
+        counts = np.concatenate([np.frombuffer(x, np.int64) for x in answers["counts"]])
+        if len(counts) != len(keys):
+            raise RuntimeError("the documents of a batch changed between the two scans")
+        is_pair = pairs != 0
+        at = inverse[: len(words)]
+        at_pair = inverse[len(words):]
+
+        def others(place: np.ndarray, owners: np.ndarray) -> np.ndarray:
+            """Corpus count of each n-gram less its count in the document itself."""
+            own = owners.astype(np.int64) * len(keys) + place
+            _, back, times = np.unique(own, return_inverse=True, return_counts=True)
+            return counts[place] - times[back]
+
+        word_count = others(at, owner)
+        rest = np.maximum(total - n[owner], 1)
+        backed = np.where(word_count > 0, word_count, UNSEEN) / rest
+        value = np.log(backed)  # a first word has no word before it
+        second = np.flatnonzero(is_pair)
+        pair_count, before = others(at_pair, owner[second]), word_count[second - 1]
+        value[second] = np.where(pair_count > 0, np.log(np.maximum(pair_count, 1) / np.maximum(before, 1)), np.log(BACKOFF * backed[second]))
+        sums = np.bincount(owner, weights=value, minlength=len(texts))
+        score[n > 0] = sums[n > 0] / n[n > 0]
+    return pd.DataFrame({"doc_id": docs["doc_id"].array, "n_words": n, "lm_score": [None if np.isnan(x) else float(x) for x in score]})
 
 
 def score_documents(documents: DataFrame) -> DataFrame:
     """doc_id, n_words and lm_score of every row."""
-    spark = documents.sparkSession
-    scratch = Scratch(spark, "lm")
+    scratch = Scratch(documents.sparkSession, "lm")
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    total_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, -(-total_bytes // BUCKET_BYTES))
-    table = scratch.write(count_table(docs, buckets), "counts")
-
-    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The distinct n-grams of a batch by bucket; the batch itself travels with its first bucket's row."""
-        for part, texts in slices(batches, limit=BATCH_BYTES):
-            words, owner, pairs = _grams(texts)
-            keys, inverse = np.unique(np.concatenate([words, pairs[pairs != 0]]), return_inverse=True)
-            n = np.bincount(owner, minlength=len(texts)).astype(np.int64)
-            # a batch is known by its contents
-            ids = part.column("doc_id")
-            own = int(mix(np.array([hash((ids.to_pylist()[0] if len(ids) else 0, len(texts), len(words), int(words.sum()) if len(words) else 0)) & (2**63 - 1)], np.uint64))[0] >> np.uint64(1))
-            word_at, pair_at = inverse[: len(words)], np.full(len(words), -1, np.int64)
-            pair_at[pairs != 0] = inverse[len(words):]
-            state = [pa.array([own], pa.int64()), pa.array([-1], pa.int32()), pa.array([_pack(keys[:0])], pa.binary()),
-                     pa.array([_pack(np.concatenate([n, word_at, pair_at]).astype(np.int32))], pa.binary()),
-                     pa.array([ids.to_pylist()], pa.list_(pa.int64()))]
-            names = ["batch", "bucket", "keys", "places", "ids"]
-            yield pa.RecordBatch.from_arrays(state, names=names)
-            cuts = _split(keys, buckets)
-            rows = [(own, b, _pack(keys[i:j]), None, None) for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])) if j > i]
-            if rows:
-                kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
-
-    questions = docs.mapInArrow(asked, "batch long, bucket int, keys binary, places binary, ids array<long>")
-
-    def look_up(_, wanted: pd.DataFrame, counted: pd.DataFrame) -> pd.DataFrame:
-        if not len(counted):
-            return pd.DataFrame({"batch": [], "bucket": [], "counts": []})
-        keys, counts = np.frombuffer(counted["keys"][0], np.uint64), np.frombuffer(counted["counts"][0], np.int64)
-        found = [_pack(np.minimum(counts[np.searchsorted(keys, np.frombuffer(x, np.uint64))], 2**31 - 1).astype(np.int32)) for x in wanted["keys"]]
-        return pd.DataFrame({"batch": wanted["batch"], "bucket": wanted["bucket"], "counts": found})
-
-    answers = questions.filter("bucket >= 0").select("batch", "bucket", "keys").groupBy("bucket").cogroup(table.groupBy("bucket")).applyInPandas(
-        look_up, "batch long, bucket int, counts binary")
-    n_words = int(np.int64(documents.sparkSession.range(0).count()))
-    del n_words
-    states = questions.filter("bucket < 0").select("batch", "places", "ids")
-    return states, answers, scratch
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(1, -(-size // BUCKET_BYTES))
+    dealt = docs.mapInArrow(lambda batches: _deal(batches, buckets), "batch long, bucket long, at long, keys binary, counts binary")
+    answers = scratch.write(dealt.groupBy("bucket").applyInPandas(_add_up, "batch long, at long, counts binary"), "answers")
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, part, _ in _batches(batches):
+            n = part.num_rows
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(n, number)), pa.array(np.arange(n)), part.column("doc_id"), part.column("text")],
+                names=["batch", "nth", "doc_id", "text"])
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in slices(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([len(texts.words()[0])], pa.int64())], names=["n"])
+
+    total = docs.select("text").mapInArrow(counted, "n long").agg(F.sum("n")).first()[0] or 0
+    by_batch = docs.mapInArrow(numbered, "batch long, nth long, doc_id long, text string")
+    return by_batch.groupBy("batch").cogroup(answers.groupBy("batch")).applyInPandas(
+        lambda d, a: _score(d, a, total), "doc_id long, n_words long, lm_score double")

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dealgauge.llm import language_id, mixing, neighbours, quality, warc
+from dealgauge.llm import language_id, lm_score, mixing, neighbours, packing, quality, warc
 from dealgauge.llm.scratch import Scratch, documents
 
+#: Vocabulary of the packing query; a parameter of the operator.
+TOKENIZER = "word_bpe_49k.json"
 HELD_OUT = "pmod(crc32(cast(doc_id as string)), 4) = 2"
 
 
@@ -23,6 +25,16 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return told.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(packing.cut_pieces(documents(spark, folder), public_tokenizers.path(TOKENIZER)))
+
+
+def op7_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_score.score_documents(documents(spark, folder))
+
+
 def op8_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archive_pages(documents(spark, folder, "pages"))
 
@@ -39,6 +51,8 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op4_mixing": op4_mixing,
     "op5_language_id": op5_language_id,
+    "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_lm_score": op7_lm_score,
     "op8_warc_revisits": op8_warc_revisits,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_quality_rules": op10_quality_rules,
