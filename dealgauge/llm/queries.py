@@ -57,3 +57,5 @@ QUERIES = {
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_quality_rules": op10_quality_rules,
 }
+
+ORACLES: dict[str, str] = {}
