@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dealgauge.llm import language_id, lm_score, mixing, neighbours, packing, quality, warc
+from dealgauge.llm import language_id, lm_score, mixing, neighbours, packing, quality, substring_dedup, suffix_dedup, warc
 from dealgauge.llm.scratch import Scratch, documents
 
 #: Vocabulary of the packing query; a parameter of the operator.
@@ -12,6 +12,14 @@ TOKENIZER = "word_bpe_49k.json"
 HELD_OUT = "pmod(crc32(cast(doc_id as string)), 4) = 2"
 
 
+def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.dedup_digest(documents(spark, folder))
+
+
+def op3_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.dedup_digest(documents(spark, folder))
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     sized = documents(spark, folder).select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
     return mixing.mix_sizes(sized, Scratch(spark, "op4")).select("doc_id", "size", "source_size", "target", "taken")
@@ -49,6 +57,8 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_substring_dedup": op2_substring_dedup,
+    "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op4_mixing": op4_mixing,
     "op5_language_id": op5_language_id,
     "op6_best_fit_packing": op6_best_fit_packing,
