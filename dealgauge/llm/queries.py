@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dealgauge.llm import language_id, lm_score, mixing, neighbours, packing, quality, substring_dedup, suffix_dedup, warc
+from dealgauge.llm import language_id, lm_score, mixing, near_dedup, neighbours, packing, quality, substring_dedup, suffix_dedup, warc
 from dealgauge.llm.scratch import Scratch, documents
 
 #: Vocabulary of the packing query; a parameter of the operator.
@@ -12,6 +12,10 @@ TOKENIZER = "word_bpe_49k.json"
 HELD_OUT = "pmod(crc32(cast(doc_id as string)), 4) = 2"
 
 
+def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicate_groups(documents(spark, folder)).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.dedup_digest(documents(spark, folder))
 
@@ -57,6 +61,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op4_mixing": op4_mixing,
