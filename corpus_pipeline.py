@@ -8,7 +8,7 @@ documents. `run` writes each stage's rows and reads them again.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dealgauge.llm import language_id, mixing, near_dedup, packing, substring_dedup
 from dealgauge.llm.scratch import Scratch
@@ -18,9 +18,8 @@ TOKENIZER = "word_bpe_49k.json"
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a predicted language; the model learns from the labelled rows."""
-    names = docs.columns
-    told = language_id.identify(docs, language_id.fit(docs))
-    return told.filter(told.lang_pred != language_id.UNKNOWN).select(*names)
+    told = language_id.identify(docs.select("text", F.struct("*").alias("row")), language_id.fit(docs))
+    return told.filter(told.lang_pred != language_id.UNKNOWN).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

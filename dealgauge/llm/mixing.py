@@ -10,7 +10,7 @@ order of a seeded digest until the target is met; the document at the edge is ta
 source's words are within one word of its target. Running sums run over digest buckets first, so only the
 edge bucket of a source is ordered row by row.
 
-Null text has size 0; empty sources have target 0; repeated rows are separate rows that share their fate
+Null text has size 0 (the mix has it once, as an empty text); empty sources have target 0; repeated rows are separate rows that share their fate
 in order of the digest; an empty table gives an empty result; extra columns are kept in `mix_documents`.
 """
 
@@ -104,13 +104,15 @@ def mix_documents(documents: DataFrame, seed: int = 1, max_epochs: int = MAX_EPO
     edge of a source, the words that the target still allows. Documents without words stay as they are."""
     scratch = Scratch(documents.sparkSession, "mix")
     names = documents.columns
-    sized = documents.withColumn("size", word_count(F.col("text")))
+    # the row travels as one column, so its other columns can have any names
+    sized = documents.select(F.struct("*").alias("row"), "doc_id", "source", "text", word_count(F.col("text")).alias("size"))
     plan = mix_sizes(sized, scratch, seed, max_epochs)
     whole = F.when(F.col("part") == F.col("size"), F.col("epochs") + 1).otherwise(F.col("epochs"))
     whole = F.when(F.col("size") == 0, F.lit(1)).otherwise(whole)
     cut = (F.col("part") > 0) & (F.col("part") < F.col("size"))
     copies = F.concat(
-        F.array_repeat(F.col("text"), whole.cast("int")),
+        F.array_repeat(F.coalesce(F.col("text"), F.lit("")), whole.cast("int")),
         F.when(cut, F.array(F.array_join(F.slice(words(F.col("text")), 1, F.greatest(F.lit(1), F.col("part")).cast("int")), " ")))
         .otherwise(F.array().cast("array<string>")))
-    return plan.withColumn("mix_copy", F.explode(copies)).drop("text").withColumnRenamed("mix_copy", "text").select(*names)
+    return plan.select("row", F.explode(copies).alias("new")).select(
+        *[F.col("new").alias("text") if c == "text" else F.col(f"row.`{c}`") for c in names])

@@ -314,5 +314,7 @@ def drop_near_duplicates(documents: DataFrame) -> DataFrame:
     names = documents.columns
     gone = near_duplicate_groups(documents).filter("not kept").select(
         F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct()
-    keyed = documents.withColumn("near_key", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    return keyed.join(gone, (F.col("doc_id") == F.col("gone_id")) & (F.col("near_key") == F.col("gone_key")), "left_anti").select(*names)
+    keyed = documents.select(
+        F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("gone_id"),
+        F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("gone_key"))
+    return keyed.join(gone, ["gone_id", "gone_key"], "left_anti").select(*[F.col(f"row.`{c}`") for c in names])

@@ -144,31 +144,30 @@ def remove_substrings(documents: DataFrame) -> DataFrame:
     """`documents` with repeated passages cut out of the text; other bytes of the text stay as they are.
     Texts without a repeated passage are unchanged, null included."""
     names = documents.columns
-    keyed = documents.withColumn("text_key", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    # the row travels as one column, so its other columns can have any names
+    keyed = documents.select(
+        F.struct("*").alias("row"), "text", F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_key"))
     spans = removed_spans(with_key(documents), Scratch(documents.sparkSession, "substring"))
-    spans = spans.select(F.col("doc_id").alias("span_id"), F.col("text_key").alias("span_key"), F.col("spans").alias("span_list"))
-    joined = keyed.join(spans, (F.col("doc_id") == F.col("span_id")) & (F.col("text_key") == F.col("span_key")), "left")
-    joined = joined.select(*names, "span_list")
+    joined = keyed.join(spans, ["doc_id", "text_key"], "left").select("row", "text", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices(batches):
             starts, ends, owner = texts.words()
             first = np.searchsorted(owner, np.arange(len(texts) + 1))
             new = part.column("text").to_pylist()
-            for i, spans in enumerate(part.column("span_list").to_pylist()):
+            for i, spans in enumerate(part.column("spans").to_pylist()):
                 if not spans:
                     continue
                 own = slice(first[i], first[i + 1])
                 gone = covered(spans, first[i + 1] - first[i])
-                at, places = [], np.flatnonzero(gone)
+                places = np.flatnonzero(gone)
                 keep = np.ones(int(texts.offsets[i + 1] - texts.offsets[i]), bool)
                 for a, b in zip(*runs(np.zeros(len(places)), places)):
-                    at = [starts[own][places[a]], ends[own][places[b]]]
-                    keep[at[0] - texts.offsets[i]:at[1] - texts.offsets[i]] = False
+                    keep[starts[own][places[a]] - texts.offsets[i]:ends[own][places[b]] - texts.offsets[i]] = False
                 raw = np.frombuffer(texts.text_bytes(i), np.uint8)
                 new[i] = raw[keep].tobytes().decode()
-            columns = [pa.array(new, pa.string()) if c == "text" else part.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(new, pa.string())], names=["row", "new"])
 
-    schema = StructType([StructField("text", StringType()) if f.name == "text" else f for f in documents.schema.fields])
-    return joined.mapInArrow(cut, schema)
+    schema = StructType([StructField("row", documents.schema), StructField("new", StringType())])
+    return joined.mapInArrow(cut, schema).select(*[F.col("new").alias("text") if c == "text" else F.col(f"row.`{c}`") for c in names])

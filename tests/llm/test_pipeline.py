@@ -1,0 +1,31 @@
+"""The corpus pipeline and the registration of its queries."""
+
+from collections import Counter
+
+import corpus_pipeline
+import pytest
+from dealgauge.llm import queries
+
+TESTDATA = "/root/testdata/sf0.001"
+
+
+def test_stages_keep_the_columns_and_take_effect(spark):
+    docs = spark.read.parquet(f"{TESTDATA}/documents.parquet").cache()
+    names, counts = docs.columns, [docs.count()]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, TESTDATA).cache()
+        assert docs.columns == names, name
+        counts.append(docs.count())
+    assert counts[2] < counts[1] <= counts[0] and counts[3] == counts[2]
+    pytest.importorskip("public_tokenizers")
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, TESTDATA)
+    first = Counter(r.doc_id for r in packed.filter("piece = 0").collect())
+    assert first == Counter(r.doc_id for r in docs.select("doc_id").collect())
+
+
+def test_queries_are_registered():
+    import __spark_entry__
+
+    names = set(__spark_entry__.queries())
+    assert set(queries.QUERIES) <= names and "pipeline" in names
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
