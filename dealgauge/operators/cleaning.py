@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from dealgauge.sources.stages import measured
+
 from dealgauge.functions import parse_size
 
 OUTLIER_DEAL_VALUE = 50_000_000
@@ -74,7 +76,8 @@ def check_activities(raw_activities: DataFrame, leads: DataFrame) -> DataFrame:
     Valid and rejected rows come out of one pass; written partitioned by the reason, each side
     is then a folder of its own.
     """
-    known = leads.select("lead_id").filter("lead_id is not null").distinct().withColumn("known", F.lit(True))
+    # Written, so that only an exchange lies between the ids and the join, and a hot id can be split.
+    known = measured(leads.select("lead_id").filter("lead_id is not null").distinct().withColumn("known", F.lit(True)))
     checked = keep_first(raw_activities, "activity_id").join(known, "lead_id", "left")
     reason = F.when(F.col("known").isNull(), ORPHAN_REASON)
     return checked.select(*ACTIVITY_COLUMNS, reason.alias("rejection_reason"))

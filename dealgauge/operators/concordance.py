@@ -2,45 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dealgauge.functions import nullable_div
+from dealgauge.operators.ranks import running_total
+from dealgauge.sources.stages import measured
 
-_DIGIT_BITS = 2
-_DIGITS = 16
+_DIGIT_BITS = 4
 _BASE = 1 << _DIGIT_BITS
 
 
-def _score_code(score: str, low: Column, high: Column) -> Column:
-    """The score as a 32-bit integer that keeps its order."""
-    top = (1 << (_DIGIT_BITS * _DIGITS)) - 1
-    scaled = F.when(high > low, F.round((F.col(score) - low) / (high - low) * top)).otherwise(0)
-    return scaled.cast("long")
-
-
 def concordance_pairs(rows: DataFrame, score: str, day: str = "duration_days", event: str = "event_converted") -> DataFrame:
     """Comparable, concordant and tied pairs, without forming any pair.
 
     A pair is comparable when one lead has an event and the other leaves later, or on the same
-    day without an event. Two different score codes differ first in exactly one base-four
-    digit. So rows are counted per (prefix of the code, day, next digit); inside one prefix a
+    day without an event. Scores are coded by their dense rank, which is exact for any
+    distribution. Two different codes differ first in exactly one digit. So rows are counted per (prefix of the code, day, next digit); inside one prefix a
     running sum over later days gives, for every event, the rows with a lower digit that are
     still there. Windows see one row per distinct day, never the leads themselves.
     """
-    bounds = rows.agg(F.struct(F.min(score).alias("low"), F.max(score).alias("high")).alias("b")).scalar()
-    code = _score_code(score, bounds["low"], bounds["high"])
-    coded = rows.groupBy(F.col(day).alias("day"), code.alias("code")).agg(
+    known = rows.filter(F.col(score).isNotNull())
+    scores = measured(known.select(F.col(score).alias("s")).distinct().withColumn("one", F.lit(1).cast("long")))
+    count = scores.count()
+    digits_used = max(1, -(-max(count - 1, 0).bit_length() // _DIGIT_BITS))
+    ranks = running_total(scores, [F.col("s")], "one").select("s", (F.col("running") - 1).alias("code"))
+    grouped = known.groupBy(F.col(day).alias("day"), F.col(score).alias("score")).agg(
         F.sum(event).alias("events"), F.count(F.lit(1)).alias("leaving"))
+    coded = grouped.join(ranks, F.col("score") == F.col("s")).select("day", "code", "events", "leaving")
     levels = F.explode(F.array(*[
         F.struct(
             F.lit(level).alias("level"),
-            F.shiftright("code", _DIGIT_BITS * (_DIGITS - level)).alias("prefix"),
+            F.shiftright("code", _DIGIT_BITS * (digits_used - level)).alias("prefix"),
             (
-                F.shiftright("code", _DIGIT_BITS * (_DIGITS - level - 1)).bitwiseAND(F.lit(_BASE - 1))
-                if level < _DIGITS else F.lit(0).cast("long")
+                F.shiftright("code", _DIGIT_BITS * (digits_used - level - 1)).bitwiseAND(F.lit(_BASE - 1))
+                if level < digits_used else F.lit(0).cast("long")
             ).alias("digit"),
-        ) for level in range(_DIGITS + 1)
+        ) for level in range(digits_used + 1)
     ]))
     split = coded.select("day", "events", "leaving", levels.alias("l")).select("day", "events", "leaving", "l.*")
     digits = range(_BASE)
@@ -63,8 +61,8 @@ def concordance_pairs(rows: DataFrame, score: str, day: str = "duration_days", e
     everyone = sum((F.col(f"later_{d}") for d in digits), F.lit(0))
     all_events = sum((F.col(f"events_{d}") for d in digits), F.lit(0))
     return still_there.agg(
-        F.sum(F.when(F.col("level") < _DIGITS, lower).otherwise(0.0)).alias("concordant"),
-        F.sum(F.when(F.col("level") == _DIGITS, same).otherwise(0.0)).alias("tied"),
+        F.sum(F.when(F.col("level") < digits_used, lower).otherwise(0.0)).alias("concordant"),
+        F.sum(F.when(F.col("level") == digits_used, same).otherwise(0.0)).alias("tied"),
         F.sum(F.when(F.col("level") == 0, all_events.cast("double") * everyone).otherwise(0.0)).alias("comparable"),
     )
 

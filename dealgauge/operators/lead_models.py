@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealgauge.operators.ranks import SINGLE_TASK_ROWS, quantiles
+from dealgauge.operators.ranks import quantiles
 from dealgauge.operators.scoring import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET, confusion_metrics
 from dealgauge.operators.uplift import ARMS, with_uplift
 from dealgauge.session import shared_dir
@@ -77,18 +77,15 @@ def preprocessing(numeric: Sequence[str], categorical: Sequence[str]) -> list:
 
 
 def stratified_split(
-    rows: DataFrame, part: float, seed: int, target: str = TARGET, limit: int = SINGLE_TASK_ROWS,
+    rows: DataFrame, part: float, seed: int, target: str = TARGET,
 ) -> tuple[DataFrame, DataFrame]:
     """Train and test rows with the same class shares, repeatable for the same ids and seed.
 
     Each id hashes to a number in [0, 1). The cut of each class is the quantile of its numbers,
-    which makes the counts exact; above a million rows the part itself is the cut, whose shares
-    are right to a thousandth, and nothing has to be ordered.
+    which makes the counts exact at every size.
     """
     spread = F.pmod(F.xxhash64("lead_id", F.lit(seed)), F.lit(1 << 53)) / F.lit(float(1 << 53))
     drawn = rows.withColumn("draw", spread)
-    if rows.count() > limit:
-        return drawn.filter(F.col("draw") > part).drop("draw"), drawn.filter(F.col("draw") <= part).drop("draw")
     cuts = measured(quantiles(drawn, "draw", {"cut": part}, by=[target]))
     marked = drawn.join(cuts.withColumnRenamed(target, "class"), F.col(target) == F.col("class")).drop("class")
     train = marked.filter("draw > cut").drop("draw", "cut")
@@ -111,7 +108,7 @@ def _with_probability(model: PipelineModel, rows: DataFrame, name: str) -> DataF
 
 
 def auc(scored: DataFrame, probability: str = "conversion_probability") -> float:
-    evaluator = BinaryClassificationEvaluator(rawPredictionCol=probability, labelCol=TARGET, metricName="areaUnderROC")
+    evaluator = BinaryClassificationEvaluator(rawPredictionCol=probability, labelCol=TARGET, metricName="areaUnderROC", numBins=0)
     return evaluator.evaluate(scored)
 
 
@@ -150,10 +147,8 @@ def train_scoring(
     prepared = Pipeline(stages=preprocessing(numeric, categorical)).fit(train)
     # All learners share the prepared rows; without memory they spill, a lost part is recomputed.
     ready = prepared.transform(train).select("features", TARGET, "balanced_weight", "boosting_weight")
-    if n <= SINGLE_TASK_ROWS:
-        # A small table may be one file and so one task; large ones keep their many partitions.
-        ready = ready.repartition(min(spark.sparkContext.defaultParallelism, n // ROWS_PER_TASK + 1))
-    ready = ready.persist()
+    # Bagging is seeded per partition: their number follows from the rows, not from the cores.
+    ready = ready.repartition(n // ROWS_PER_TASK + 1).persist()
     held = prepared.transform(test).select("lead_id", "features", TARGET).persist()
     rows, best, reports = [], None, {}
     try:
@@ -163,14 +158,15 @@ def train_scoring(
             fitted = PipelineModel(stages=[*prepared.stages, model])
             scored = _with_probability(PipelineModel(stages=fitted.stages[-1:]), held, "conversion_probability")
             counts = confusion_metrics(scored).first()
+            area = auc(scored)
             quality = {
-                "auc": round(auc(scored), 4), "accuracy": counts["accuracy"], "f1": counts["f1"],
+                "auc": round(area, 4), "accuracy": counts["accuracy"], "f1": counts["f1"],
                 "precision": counts["precision"], "recall": counts["recall"],
             }
             rows.append((name, *[float(quality[m]) for m in METRICS]))
             reports[name] = _class_report(counts)
-            if best is None or quality["auc"] > best[1]:
-                best = (name, quality["auc"], fitted)
+            if best is None or area > best[1]:
+                best = (name, area, fitted)
     finally:
         ready.unpersist()
         held.unpersist()

@@ -111,8 +111,8 @@ def tier_counts(rows: DataFrame, column: str, tiers: Sequence[str]) -> DataFrame
 
 
 def confusion_metrics(scored: DataFrame, threshold: float = 0.5, group: Sequence[str] = ()) -> DataFrame:
-    """Accuracy, precision, recall and F1 of class 1 at a threshold; a zero division gives 0."""
-    hit = F.col("conversion_probability") >= threshold
+    """Accuracy, precision, recall and F1 of class 1 above a threshold; a zero division gives 0."""
+    hit = F.col("conversion_probability") > threshold
     real = F.col(TARGET) == 1
     counts = scored.groupBy(*group).agg(
         F.count_if(hit & real).alias("tp"), F.count_if(hit & ~real).alias("fp"),

@@ -19,13 +19,17 @@ PUBLISHED_TABLES = [
 ]
 
 
-def read_raw_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """One raw table from CSV with a header and a declared schema.
+def read_raw_csv(spark: SparkSession, path: str, table: str, multi_line: bool = True) -> DataFrame:
+    """One raw table from CSV with a header: columns are taken by name, in any order.
 
-    ``ingest_seq`` is the read order: it grows with the position in the file, which is what
-    "keep the first copy" needs later.
+    Quotes inside quoted fields are doubled; ``multi_line`` allows line breaks in fields and can be
+    switched off for files without any, which Spark then splits. A value that is not of its column's
+    type is an error, not a null. ``ingest_seq`` is the read order: it grows with the position in the
+    file, which is what "keep the first copy" needs later.
     """
-    rows = spark.read.csv(path, header=True, schema=RAW_TABLES[table])
+    text = spark.read.csv(path, header=True, escape='"', multiLine=multi_line)
+    columns = spark.createDataFrame([], RAW_TABLES[table]).schema.fields
+    rows = text.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in columns])
     return rows.withColumn("ingest_seq", F.monotonically_increasing_id())
 
 

@@ -448,10 +448,10 @@ _SELECTS: dict[str, str] = {
                round(coalesce(tp / CAST(nullif(tp + fp, 0) AS DOUBLE), 0), 4) AS precision,
                round(coalesce(tp / CAST(nullif(tp + fn, 0) AS DOUBLE), 0), 4) AS recall,
                round(coalesce(2 * tp / CAST(nullif(2 * tp + fp + fn, 0) AS DOUBLE), 0), 4) AS f1
-        FROM (SELECT CAST(count(*) FILTER (WHERE conversion_probability >= 0.2 AND event_converted = 1) AS BIGINT) AS tp,
-                     CAST(count(*) FILTER (WHERE conversion_probability >= 0.2 AND event_converted = 0) AS BIGINT) AS fp,
-                     CAST(count(*) FILTER (WHERE conversion_probability < 0.2 AND event_converted = 1) AS BIGINT) AS fn,
-                     CAST(count(*) FILTER (WHERE conversion_probability < 0.2 AND event_converted = 0) AS BIGINT) AS tn FROM rule_scores)""",
+        FROM (SELECT CAST(count(*) FILTER (WHERE conversion_probability > 0.2 AND event_converted = 1) AS BIGINT) AS tp,
+                     CAST(count(*) FILTER (WHERE conversion_probability > 0.2 AND event_converted = 0) AS BIGINT) AS fp,
+                     CAST(count(*) FILTER (WHERE conversion_probability <= 0.2 AND event_converted = 1) AS BIGINT) AS fn,
+                     CAST(count(*) FILTER (WHERE conversion_probability <= 0.2 AND event_converted = 0) AS BIGINT) AS tn FROM rule_scores)""",
     "risk_tiers": "SELECT lead_id, conversion_probability, risk_tier FROM rule_outputs",
     "tier_thresholds": f"SELECT {_r6('q20')} AS q20, {_r6('q80')} AS q80 FROM tier_cuts",
     "expected_loss": "SELECT lead_id, expected_loss FROM rule_outputs",

@@ -57,7 +57,7 @@ def test_split_keeps_class_shares_and_is_repeatable(spark):
     train, test = lead_models.stratified_split(rows, 0.2, 42)
     again = lead_models.stratified_split(rows, 0.2, 42)[1]
     assert train.count() + test.count() == 1500 and set(test.collect()) == set(again.collect())
-    large_train, large_test = lead_models.stratified_split(rows, 0.2, 42, limit=10)
+    large_train, large_test = lead_models.stratified_split(rows, 0.2, 42)
     assert large_train.count() + large_test.count() == 1500 and large_train.join(large_test, "lead_id").count() == 0
     for label, n in rows.groupBy("event_converted").count().collect():
         assert abs(test.filter(F.col("event_converted") == label).count() - 0.2 * n) <= 1

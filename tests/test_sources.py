@@ -63,3 +63,15 @@ def test_shared_dir_needs_a_setting_off_local(spark):
     with pytest.raises(ValueError):
         shared_dir(Cluster)
     assert shared_dir(spark)
+
+
+def test_csv_columns_by_name_quotes_and_bad_values(spark, tmp_path):
+    path = str(tmp_path / "a.csv")
+    (tmp_path / "a.csv").write_text(
+        'lead_id,activity_id,outcome,activity_type,channel,activity_date\n'
+        'L1,T1,"say ""hi"", x","a\nb",Phone,2020-01-02\n')
+    row = files.read_raw_csv(spark, path, "raw_activities").first()
+    assert (row["activity_id"], row["lead_id"], row["outcome"], row["activity_type"]) == ("T1", "L1", 'say "hi", x', "a\nb")
+    (tmp_path / "b.csv").write_text("activity_id,lead_id,activity_date,activity_type,channel,outcome\nT1,L1,notadate,a,b,c\n")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        files.read_raw_csv(spark, str(tmp_path / "b.csv"), "raw_activities").collect()

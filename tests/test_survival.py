@@ -150,3 +150,22 @@ def test_concordance_equals_all_pairs(sample):
         tied += (later & (s == s[i])).sum()
     assert (got["concordant"], got["tied"], got["comparable"]) == (lower, tied, comparable)
     assert abs(got["c_index"] - (lower + tied / 2) / comparable) < 1e-12
+
+
+def test_concordance_is_exact_with_an_outlier(spark):
+    import random
+
+    from dealgauge.operators import concordance
+
+    rng = random.Random(4)
+    data = [(rng.randrange(60), rng.randrange(2), 1e12 if i == 0 else rng.choice([rng.random(), 0.5])) for i in range(200)]
+    rows = spark.createDataFrame(data, "duration_days int, event_converted int, s double")
+    found = concordance.concordance_pairs(rows, "s").first()
+    comparable = concordant = tied = 0
+    for d1, e1, s1 in data:
+        for d2, e2, s2 in data:
+            if e1 and (d2 > d1 or d2 == d1 and not e2):
+                comparable += 1
+                concordant += s1 > s2
+                tied += s1 == s2
+    assert (found["comparable"], found["concordant"], found["tied"]) == (comparable, concordant, tied)
