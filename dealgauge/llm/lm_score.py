@@ -31,7 +31,7 @@ from dealgauge.llm.text_arrays import Texts, mix, slices, texts_of, window_hashe
 BACKOFF = 0.4
 UNSEEN = 0.5
 #: Text of a batch, and text whose n-grams fill one bucket.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 BUCKET_BYTES = 8 << 20
 
 
