@@ -73,4 +73,12 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_warc_revisits": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+        r AS (SELECT payload, max(page_id) AS response FROM p WHERE strlen(payload) >= 1000 GROUP BY payload)
+        SELECT p.page_id, CAST(strlen(p.payload) AS BIGINT) AS payload_bytes, sha1(p.payload) AS payload_digest,
+               CASE WHEN r.response <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN r.response <> p.page_id THEN r.response END AS refers_to, TRUE AS digest_holds
+        FROM p LEFT JOIN r ON r.payload = p.payload""",
+}
