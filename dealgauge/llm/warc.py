@@ -75,8 +75,9 @@ def records(resolved: DataFrame) -> DataFrame:
     return resolved.select(F.concat(header, http, body).alias("value"))
 
 
-def write_archives(resolved: DataFrame, path: str, files: int) -> None:
-    records(resolved).repartition(files).write.option("lineSep", RECORD_END).mode("error").text(path)
+def write_archives(resolved: DataFrame, path: str, rows: int) -> None:
+    """Archive files of at most `rows` records, written where the records are."""
+    records(resolved).write.option("lineSep", RECORD_END).option("maxRecordsPerFile", rows).mode("error").text(path)
 
 
 def _parse(data: bytes) -> Iterator[tuple]:
@@ -150,7 +151,7 @@ def archive_pages(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataF
     spark = pages.sparkSession
     scratch = Scratch(spark, "warc")
     size = pages.agg(F.count("*").alias("n"), F.sum(F.octet_length("html")).alias("b")).first()
-    files = max(1, -(-size["n"] // ARCHIVE_ROWS), -(-(size["b"] or 0) // ARCHIVE_BYTES))
-    write_archives(resolve_revisits(pages.select("page_id", "url", "html"), min_bytes), f"{scratch.folder}/archives", files)
+    rows = max(1, min(ARCHIVE_ROWS, size["n"] * ARCHIVE_BYTES // max(1, size["b"] or 0)))
+    write_archives(resolve_revisits(pages.select("page_id", "url", "html"), min_bytes), f"{scratch.folder}/archives", rows)
     read = scratch.write(read_archives(spark, f"{scratch.folder}/archives", html=False), "records")
     return join_originals(read)
