@@ -3,8 +3,8 @@
 Digests of payloads are shuffled without the payloads: of records with equal payloads of at least
 `MIN_REVISIT_BYTES` bytes the one with the largest page_id is the response, the others become revisit records that refer to
 it. Archives are written by Spark's text sink, whose line separator is the end of a WARC record, so they
-go to any store that Spark can write. They are read back record by record by content length; what a
-revisit record lacks comes from its response by a join on the record's id.
+go to any store that Spark can write; files are gzip, as web archives usually are. They are read back record by record by
+content length; what a revisit record lacks comes from its response by a join on the record's id.
 
 Null html is an empty payload; null url has no target header; a null page_id is read back as null, never
 is the response of others and is always a response itself; repeated rows of one page are responses both.
@@ -13,6 +13,7 @@ An empty table gives an archive without records and no rows.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 from collections.abc import Iterator
 
@@ -76,8 +77,9 @@ def records(resolved: DataFrame) -> DataFrame:
 
 
 def write_archives(resolved: DataFrame, path: str, rows: int) -> None:
-    """Archive files of at most `rows` records, written where the records are."""
-    records(resolved).write.option("lineSep", RECORD_END).option("maxRecordsPerFile", rows).mode("error").text(path)
+    """Gzip archive files of at most `rows` records, written where the records are."""
+    records(resolved).write.option("lineSep", RECORD_END).option("maxRecordsPerFile", rows).option(
+        "compression", "gzip").mode("error").text(path)
 
 
 def _parse(data: bytes) -> Iterator[tuple]:
@@ -107,7 +109,7 @@ def _read(batches: Iterator[pa.RecordBatch], fields: tuple[str, ...], schema: pa
     for batch in batches:
         for content in batch.column(0):
             rows, size = [], 0
-            for row in _parse(content.as_buffer().to_pybytes()):
+            for row in _parse(gzip.decompress(content.as_buffer())):
                 rows.append([row[i] for i in kept])
                 size += len(row[-1] or "") if "html" in fields else 0
                 if len(rows) >= 1000 or size > 4 << 20:
