@@ -43,9 +43,6 @@ class ModelSettings:
     seed: int = 42
 
 
-SMALL_MODELS = ModelSettings(forest_trees=20, forest_depth=6, boost_rounds=8, arm_rounds=5)
-
-
 def fit_together(spark: SparkSession, fits: Sequence[Callable[[], object]]) -> list[object]:
     """Runs independent fits at the same time; their jobs share the cluster.
 

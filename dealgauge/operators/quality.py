@@ -5,7 +5,7 @@ Every check returns its violations or counts as a DataFrame; nothing is enforced
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -49,13 +49,17 @@ def duplicate_keys(rows: DataFrame, table: str, key: str) -> DataFrame:
         F.lit(table).alias("table_name"), F.lit(key).alias("key_column"), "key_value", "copies")
 
 
+def _present(tables: Mapping[str, DataFrame], needed: Iterable[str]) -> None:
+    absent = sorted(set(needed) - set(tables))
+    if absent:
+        raise ValueError(f"tables to check are absent: {absent}")
+
+
 def pk_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
-    parts = [
-        duplicate_keys(tables[t], t, key) for t, keys in PRIMARY_KEYS.items() if t in tables for key in keys
-    ]
-    for table in ONE_PER_LEAD:
-        if table in tables:
-            parts.append(duplicate_keys(tables[table].filter("lead_id is not null"), table, "lead_id"))
+    """Repeated or null keys; every table with a rule has to be there."""
+    _present(tables, [*PRIMARY_KEYS, *ONE_PER_LEAD])
+    parts = [duplicate_keys(tables[t], t, key) for t, keys in PRIMARY_KEYS.items() for key in keys]
+    parts += [duplicate_keys(tables[t].filter("lead_id is not null"), t, "lead_id") for t in ONE_PER_LEAD]
     return _union(parts)
 
 
@@ -75,10 +79,10 @@ def missing_references(rows: DataFrame, table: str, column: str, target: DataFra
 
 
 def fk_violations(tables: Mapping[str, DataFrame], leads: DataFrame, dates: DataFrame) -> DataFrame:
-    parts = [missing_references(tables[t], t, "lead_id", leads, "lead_id") for t in LEAD_REFERENCES if t in tables]
+    _present(tables, [*LEAD_REFERENCES, *DATE_REFERENCES])
+    parts = [missing_references(tables[t], t, "lead_id", leads, "lead_id") for t in LEAD_REFERENCES]
     for table, columns in DATE_REFERENCES.items():
-        if table in tables:
-            parts += [missing_references(tables[table], table, c, dates, "date_id") for c in columns]
+        parts += [missing_references(tables[table], table, c, dates, "date_id") for c in columns]
     return _union(parts)
 
 

@@ -97,11 +97,12 @@ QUERIES: dict[str, Query] = {
     # constraints and quality
     "pk_violations": lambda w: quality.pk_violations({
         **w.raw, **w.clean, **w.gold, "dim_time": w.calendar, "ml_lead_scores": w.rule_outputs,
-        "ml_clv_predictions": w.values, "ml_uplift_predictions": w.uplift_rates}),
+        "ml_survival_predictions": w.rule_medians, "ml_clv_predictions": w.values,
+        "ml_uplift_predictions": w.uplift_rates}),
     "fk_violations": lambda w: quality.fk_violations(
         {**w.raw, **w.clean, **w.gold}, w.gold["dim_leads"], w.calendar),
     "required_values": lambda w: quality.required_values(w.clean),
-    "text_lengths": lambda w: quality.text_lengths({**w.clean, "activities_rejected": w.rejected}, TEXT_LIMITS),
+    "text_lengths": lambda w: quality.text_lengths({**w.raw, **w.clean, "activities_rejected": w.rejected}, TEXT_LIMITS),
     "row_counts": lambda w: quality.row_counts(_layers(w)),
     "layer_totals": lambda w: quality.layer_totals(quality.row_counts(_layers(w))),
     "quality_checks": lambda w: quality.quality_checks(w.summary),

@@ -36,7 +36,7 @@ class Parameters:
 
 GIVEN_TABLES = Parameters(
     snapshot=dt.date(2002, 1, 1), calendar_first=dt.date(1994, 1, 1), calendar_last=dt.date(2024, 12, 31),
-    quadrant_min_leads=20, models=lead_models.SMALL_MODELS)
+    quadrant_min_leads=20)
 
 
 class Workspace:

@@ -33,8 +33,19 @@ RAW_TABLES = {
     "raw_campaign_touches": RAW_CAMPAIGN_TOUCHES,
 }
 
-# Declared VARCHAR lengths of the cleaned tables.
+# Declared VARCHAR lengths of the raw and the cleaned tables.
 TEXT_LIMITS = {
+    "raw_leads": {
+        "lead_id": 20, "contact_name": 150, "company_name": 150, "industry": 50, "company_size": 50,
+        "lead_source": 50, "job_title": 100, "country": 100, "region": 50, "status": 50,
+    },
+    "raw_opportunities": {"opportunity_id": 20, "lead_id": 20, "stage": 50, "owner": 150},
+    "raw_activities": {
+        "activity_id": 20, "lead_id": 20, "activity_type": 50, "channel": 50, "outcome": 50,
+    },
+    "raw_campaign_touches": {
+        "touch_id": 20, "lead_id": 20, "campaign_id": 20, "response": 50, "treatment_group": 20,
+    },
     "leads_clean": {
         "lead_id": 20, "contact_name": 150, "company_name": 150, "industry": 50,
         "lead_source": 50, "job_title": 100, "country": 100, "region": 50, "status": 50,

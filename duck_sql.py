@@ -282,10 +282,10 @@ _KEYS = [
     ("raw_campaign_touches", "touch_id"), ("leads_clean", "lead_id"), ("opportunities_clean", "opportunity_id"),
     ("activities_clean", "activity_id"), ("campaign_touches_clean", "touch_id"), ("dim_leads", "lead_id"),
     ("fact_activities", "activity_id"), ("fact_opportunities", "opportunity_id"), ("fact_campaign_touches", "touch_id"),
-    ("lead_summary", "lead_id"), ("rule_outputs", "lead_id"), ("clv", "lead_id"), ("uplift", "lead_id"),
+    ("lead_summary", "lead_id"), ("rule_outputs", "lead_id"), ("clv", "lead_id"), ("uplift", "lead_id"), ("survival_input", "lead_id"),
     ("opportunities_clean", "lead_id"), ("campaign_touches_clean", "lead_id"),
 ]
-_PUBLIC = {"rule_outputs": "ml_lead_scores", "clv": "ml_clv_predictions", "uplift": "ml_uplift_predictions"}
+_PUBLIC = {"rule_outputs": "ml_lead_scores", "clv": "ml_clv_predictions", "uplift": "ml_uplift_predictions", "survival_input": "ml_survival_predictions"}
 _PK = " UNION ALL ".join(
     f"SELECT '{_PUBLIC.get(t, t)}' AS table_name, '{k}' AS key_column, CAST({k} AS VARCHAR) AS key_value, {_n('count(*)')} AS copies "
     f"FROM {t} GROUP BY {k} HAVING count(*) > 1 OR {k} IS NULL" for t, k in _KEYS)
@@ -309,6 +309,10 @@ _FK = " UNION ALL ".join(
     ])
 
 _LIMITS = {
+    "raw_leads": {"lead_id": 20, "contact_name": 150, "company_name": 150, "industry": 50, "company_size": 50, "lead_source": 50, "job_title": 100, "country": 100, "region": 50, "status": 50},
+    "raw_opportunities": {"opportunity_id": 20, "lead_id": 20, "stage": 50, "owner": 150},
+    "raw_activities": {"activity_id": 20, "lead_id": 20, "activity_type": 50, "channel": 50, "outcome": 50},
+    "raw_campaign_touches": {"touch_id": 20, "lead_id": 20, "campaign_id": 20, "response": 50, "treatment_group": 20},
     "leads_clean": {"lead_id": 20, "contact_name": 150, "company_name": 150, "industry": 50, "lead_source": 50, "job_title": 100, "country": 100, "region": 50, "status": 50},
     "opportunities_clean": {"opportunity_id": 20, "lead_id": 20, "stage": 50, "owner": 150},
     "activities_clean": {"activity_id": 20, "lead_id": 20, "activity_type": 50, "channel": 50, "outcome": 50},

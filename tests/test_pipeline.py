@@ -1,13 +1,19 @@
+import dataclasses
+
 import pytest
 
+from dealgauge.operators.lead_models import ModelSettings
 from dealgauge.plans.pipeline import Pipeline
 from dealgauge.plans.workspace import GIVEN_TABLES
 from dealgauge.sources.files import PUBLISHED_TABLES
 
+# The full sizes take minutes whatever the rows; the steps are the same.
+SMALL_MODELS = ModelSettings(forest_trees=20, forest_depth=6, boost_rounds=8, arm_rounds=5)
+
 
 @pytest.fixture(scope="module")
 def finished(spark, given, tmp_path_factory):
-    pipeline = Pipeline(spark, str(tmp_path_factory.mktemp("tables")), GIVEN_TABLES)
+    pipeline = Pipeline(spark, str(tmp_path_factory.mktemp("tables")), dataclasses.replace(GIVEN_TABLES, models=SMALL_MODELS))
     seconds = pipeline.run(given.raw)
     return pipeline, seconds
 
