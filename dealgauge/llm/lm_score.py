@@ -55,7 +55,22 @@ def _grams(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _pack(x: np.ndarray) -> bytes:
-    return np.ascontiguousarray(x).tobytes()
+    """The numbers' first bytes, then their second bytes and so on: high bytes are mostly 0, and the shuffle's
+    compression sees them side by side."""
+    return np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+
+
+def _unpack(raw: bytes, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted hashes as steps from one to the next."""
+    return _pack(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _unpack_keys(raw: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(raw, np.uint64), dtype=np.uint64)
 
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch, Texts]]:
@@ -75,7 +90,7 @@ def _deal(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Record
     for number, _, texts in _batches(batches):
         words, _, pairs = _grams(texts)
         keys, _, counts = _distinct(words, pairs)
-        rows = [(number, b, i, _pack(keys[i:j]), _pack(counts[i:j].astype(np.uint32))) for b, i, j in _buckets(keys, buckets)]
+        rows = [(number, b, i, _pack_keys(keys[i:j]), _pack(counts[i:j].astype(np.uint32))) for b, i, j in _buckets(keys, buckets)]
         for at in range(0, len(rows), 10_000):
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays(
@@ -84,8 +99,8 @@ def _deal(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Record
 
 def _add_up(rows: pd.DataFrame) -> pd.DataFrame:
     """One part of the count table, joined at once to the n-grams of every batch that has some of it."""
-    keys = np.concatenate([np.frombuffer(x, np.uint64) for x in rows["keys"]])
-    counts = np.concatenate([np.frombuffer(x, np.uint32) for x in rows["counts"]]).astype(np.int64)
+    keys = np.concatenate([_unpack_keys(x) for x in rows["keys"]])
+    counts = np.concatenate([_unpack(x, np.uint32) for x in rows["counts"]]).astype(np.int64)
     order = np.argsort(keys)
     keys = keys[order]
     first = np.concatenate([[True], keys[1:] != keys[:-1]])
@@ -106,7 +121,7 @@ def _score(docs: pd.DataFrame, answers: pd.DataFrame, total: int) -> pd.DataFram
     if len(words):
         keys, inverse, _ = _distinct(words, pairs)
         answers = answers.sort_values("at")
-        counts = np.concatenate([np.frombuffer(x, np.int64) for x in answers["counts"]])
+        counts = np.concatenate([_unpack(x, np.int64) for x in answers["counts"]])
         if len(counts) != len(keys):
             raise RuntimeError("the documents of a batch changed between the two scans")
         is_pair = pairs != 0
