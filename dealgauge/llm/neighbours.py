@@ -1,13 +1,15 @@
 """Approximate nearest neighbours by a hash-prefix forest.
 
 Each of `TREES` trees gives a vector a string of 64 bits, the sides of seeded random hyperplanes; a tree is
-the array of all strings in order. A query descends to the longest prefix that it shares with a row and then
-ascends in all trees at once, one bit at a time, until the level where enough rows are found. That level is
-fitted: for a bounded sample of queries (`SAMPLE`) the true neighbours are found by brute force, and the
-level is the deepest at which at least `RECALL` of them share a prefix with their query in some tree. All rows
-that share the prefix of that level are scored on their original vectors in double precision.
-
-Rows meet queries by tree and prefix; a bucket with many rows or queries is cut into blocks of at most
+the array of all strings in order. A query descends in every tree to the longest prefix that it shares with a row
+and then ascends in all trees at once, one bit at a time, until its own level, the deepest at which the trees
+together hold `need` rows (a row counts once in each tree). `need` is at least `trees * (k + 1)`, so that one tree
+alone has `k` others, and large enough for `RECALL` of the true neighbours of a bounded sample of queries (`SAMPLE`),
+which are found by brute force. A query that finds fewer ascends to level 0, which is all rows. All rows
+that share the prefix of the query's level in some tree are scored on their original vectors in double precision.
+
+Rows meet queries by tree and the prefix of the level, rounded up the tree to a multiple of `STEP`; there each query takes
+its own run of the sorted strings. A bucket with many rows or queries is cut into blocks of at most
 `BLOCK` rows and `QUERIES` queries, so a hot bucket is many small tasks and nothing is left out. Equal vectors
 have equal scores, so only the `k + 1` smallest ids of a vector are candidates. Null, zero and non-finite vectors
 take no part; a null id takes no part either. Vectors of another length than the most common one take no part.
@@ -21,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dealgauge.llm.scratch import Scratch
 
@@ -31,6 +33,9 @@ SAMPLE = 100
 RECALL = 0.97
 BLOCK = 4096
 QUERIES = 1024
+#: Strings of a block when only counts are wanted, and the most bits by which they are dealt out.
+STRINGS, SPREAD = 1 << 17, 10
+STEP = 4
 SEED = 7
 
 
@@ -69,23 +74,85 @@ def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
     return rows.withColumn("width", F.size("v")).mapInArrow(packed, "vec_id long, width int, vector binary").dropDuplicates(["vec_id"])
 
 
-def _strings(rows: DataFrame, width: int, trees: int, level: int) -> DataFrame:
-    """A row for each tree: tree, prefix of `level` bits, vec_id, vector."""
+def _prefixes(strings: np.ndarray, level: int) -> np.ndarray:
+    return (strings >> np.uint64(BITS - level)).astype(np.int64) if level else np.zeros(len(strings), np.int64)
+
+
+def _strings(rows: DataFrame, width: int, trees: int, vectors: bool = True) -> DataFrame:
+    """A row for each tree: tree, string, the other columns of `rows`, with or without the vector."""
+    kept = [c for c in rows.columns if vectors or c != "vector"]
+
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
                 h = hash_strings(_matrix(part.column("vector"), width), trees)
                 n = part.num_rows
-                order = np.tile(np.arange(n), trees)
-                prefix = (h >> np.uint64(BITS - level)).T.reshape(-1).astype(np.int64) if level else np.zeros(n * trees, np.int64)
-                again = part.take(pa.array(order))
+                again = part.take(pa.array(np.tile(np.arange(n), trees)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(np.arange(trees, dtype=np.int32), n)), pa.array(prefix), pa.array(h.T.reshape(-1).view(np.int64)),
-                     again.column("vec_id"), again.column("vector")],
-                    names=["tree", "prefix", "string", "vec_id", "vector"])
-
-    return rows.select("vec_id", "vector").mapInArrow(hashed, "tree int, prefix long, string long, vec_id long, vector binary")
+                    [pa.array(np.repeat(np.arange(trees, dtype=np.int32), n)), pa.array(h.T.reshape(-1).view(np.int64)),
+                     *(again.column(c) for c in kept)], names=["tree", "string", *kept])
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields if f.name in kept)
+    return rows.mapInArrow(hashed, f"tree int, string long, {fields}")
+
+
+def _prefix(level: int | Column) -> Column:
+    """The first `level` bits of `string` as a number."""
+    level = F.lit(level) if isinstance(level, int) else level
+    return F.when(level == 0, F.lit(0).cast("long")).otherwise(F.call_function("shiftrightunsigned", F.col("string"), (BITS - level).cast("int")))
+
+
+def _meeting(left: DataFrame, right: DataFrame, keys: list[str], block: int, sets: int, counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with `block` and `set`, so that each row of a bucket meets each query of it once.
+    `counts`: keys, n and m of the buckets, written."""
+    counts = counts.withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).withColumn("sets", F.ceil(F.col("m") / sets).cast("int")).drop("n", "m")
+    rows = left.join(counts, keys).withColumn("block", F.pmod(F.xxhash64("string", "tie"), "blocks").cast("int")).withColumn(
+        "set", F.explode(F.sequence(F.lit(0), F.col("sets") - 1))).drop("blocks", "sets")
+    asked = right.join(counts, keys).withColumn("set", F.pmod(F.xxhash64("vec_id"), "sets").cast("int")).withColumn(
+        "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks", "sets")
+    return rows, asked
+
+
+def _profiles(index: DataFrame, queries: DataFrame, width: int, trees: int, scratch: Scratch) -> DataFrame:
+    """vec_id, depth, n, found: the rows of all trees whose common prefix with the query has exactly `depth` bits, and at least so many."""
+    left = scratch.write(_strings(index, width, trees, False).groupBy("tree", "string").agg(F.count("*").alias("tie")), "strings")
+    spread = max(0, min(SPREAD, (left.count() // trees // STRINGS).bit_length()))
+    left, right = left.withColumn("prefix", _prefix(spread)), _strings(queries, width, trees, False).withColumn("prefix", _prefix(spread))
+    keys = ["tree", "prefix"]
+    held = scratch.write(left.groupBy(*keys).agg(F.count("*").alias("n"), F.sum("tie").alias("rows")), "held")
+    counts = scratch.write(right.groupBy(*keys).agg(F.count("*").alias("m")).join(held.drop("rows"), keys, "left")
+                           .withColumn("n", F.coalesce("n", F.lit(1))), "asked_counts")
+    whole = np.zeros((trees, 1 << spread), np.int64)
+    for row in held.select("tree", "prefix", "rows").collect():  # at most trees * 2 ** SPREAD rows
+        whole[row["tree"], row["prefix"]] = row["rows"]
+    above = [whole.reshape(trees, 1 << level, -1).sum(axis=2) for level in range(spread + 1)]
+    shared = index.sparkSession.sparkContext.broadcast(above)
+
+    def counted(key: tuple, found: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
+        q = wanted["string"].to_numpy().view(np.uint64)
+        found = found.assign(string=found["string"].to_numpy().view(np.uint64)).sort_values("string")
+        strings, sums = found["string"].to_numpy(), np.concatenate([[0], np.cumsum(found["tie"].to_numpy(np.int64))])
+        deeper, parts = np.zeros(len(q), np.int64), []
+        for depth in range(BITS, -1, -1):
+            if depth >= spread:
+                mask = np.uint64((1 << (BITS - depth)) - 1)
+                held = sums[np.searchsorted(strings, q | mask, "right")] - sums[np.searchsorted(strings, q & ~mask, "left")]
+            elif key[2] == 0:  # other buckets, told by one block only
+                levels, prefix = shared.value, _prefixes(q, depth)
+                held = deeper + levels[depth][key[0], prefix] - levels[depth + 1][key[0], _prefixes(q, depth + 1)]
+            else:
+                break
+            some = np.flatnonzero(held > deeper)
+            parts.append(pd.DataFrame({"vec_id": wanted["vec_id"].to_numpy()[some], "depth": np.full(len(some), depth, np.int32), "n": (held - deeper)[some]}))
+            deeper = held
+        return pd.concat(parts)
+
+    rows, asked = _meeting(left, right, keys, STRINGS, STRINGS, counts)
+    by = [*keys, "block", "set"]
+    told = rows.groupBy(*by).cogroup(asked.groupBy(*by)).applyInPandas(counted, "vec_id long, depth int, n long")
+    told = told.groupBy("vec_id", "depth").agg(F.sum("n").alias("n"))
+    return scratch.write(told.withColumn("found", F.sum("n").over(Window.partitionBy("vec_id").orderBy(F.desc("depth")))), "profiles")
 
 
 def _best(q_ids: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -117,10 +184,12 @@ def _products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return total
 
 
-def _fit_level(index: DataFrame, queries: DataFrame, width: int, trees: int, k: int, recall: float, sample: int) -> int:
+def _fit_need(index: DataFrame, queries: DataFrame, profiles: DataFrame, width: int, trees: int, k: int, recall: float, sample: int) -> int:
+    """How many rows the trees together have to hold at a query's level."""
+    least = trees * (k + 1)
     chosen = queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toPandas()
     if not len(chosen):
-        return 0
+        return least
     ids = chosen["vec_id"].to_numpy()
     q = np.frombuffer(b"".join(chosen["vector"]), np.float64).reshape(-1, width)
     shared = index.sparkSession.sparkContext.broadcast((ids, q))
@@ -143,10 +212,16 @@ def _fit_level(index: DataFrame, queries: DataFrame, width: int, trees: int, k:
 
     near = index.select("vec_id", "vector").mapInArrow(scored, "q long, s double, v long, depth int")
     top = Window.partitionBy("q").orderBy(F.desc("s"), "v")
-    depths = near.withColumn("r", F.row_number().over(top)).filter(F.col("r") <= k).select("depth").toPandas()["depth"].to_numpy()
+    depths = near.withColumn("r", F.row_number().over(top)).filter(F.col("r") <= k).select("q", "depth").toPandas()
     if not len(depths):
-        return 0
-    return int(np.sort(depths)[int((1 - recall) * len(depths))])
+        return least
+    depths["nth"] = np.arange(len(depths))
+    told = profiles.filter(F.col("vec_id").isin([int(i) for i in ids])).toPandas()
+    # a neighbour is reached where the levels below its depth hold fewer than are needed
+    below = depths.merge(told, left_on="q", right_on="vec_id", suffixes=("", "_held"))
+    below["n"] = np.where(below["depth_held"] > below["depth"], below["n"], 0)
+    needs = np.sort(below.groupby(["q", "nth"])["n"].sum().to_numpy()) + 1
+    return max(least, int(needs[min(len(needs) - 1, int(recall * len(needs)))]))
 
 
 def nearest(index: DataFrame, queries: DataFrame, k: int = 20, trees: int = TREES, recall: float = RECALL,
@@ -164,33 +239,49 @@ def nearest(index: DataFrame, queries: DataFrame, k: int = 20, trees: int = TREE
     width = common["width"]
     index = index.filter(F.col("width") == width)
     queries = scratch.write(queries.filter(F.col("width") == width).select("vec_id", "vector"), "queries")
-    level = _fit_level(index, queries, width, trees, k, recall, sample)
     first = Window.partitionBy("vector").orderBy("vec_id")
-    distinct = index.withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= k + 1)
-    left, right = _strings(distinct, width, trees, level), _strings(queries, width, trees, level)
-    counts = scratch.write(
-        left.groupBy("tree", "prefix").count().withColumnRenamed("count", "n")
-        .join(right.groupBy("tree", "prefix").count().withColumnRenamed("count", "m"), ["tree", "prefix"])
-        .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("sets", F.ceil(F.col("m") / QUERIES).cast("int")), "counts")
-    everywhere = F.sequence(F.lit(0), F.col("blocks") - 1)
-    rows = left.join(counts, ["tree", "prefix"]).select(
-        "tree", "prefix", "string", "vec_id", "vector",
-        F.pmod(F.xxhash64("vec_id"), "blocks").cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("sets") - 1)).alias("set"))
-    asked = right.join(counts, ["tree", "prefix"]).select(
-        "tree", "prefix", "string", "vec_id", "vector",
-        F.explode(everywhere).alias("block"), F.pmod(F.xxhash64("vec_id"), "sets").cast("int").alias("set"))
-    keys = ["tree", "prefix", "block", "set"]
+    distinct = scratch.write(index.withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= k + 1).select("vec_id", "vector"), "distinct")
+    profiles = _profiles(distinct, queries, width, trees, scratch)
+    need = _fit_need(distinct, queries, profiles, width, trees, k, recall, sample)
+    levels = profiles.filter(F.col("found") >= need).groupBy("vec_id").agg(F.max("depth").alias("level"))
+    levelled = scratch.write(
+        queries.join(levels, "vec_id", "left").withColumn("level", F.coalesce("level", F.lit(0)))
+        .withColumn("base", (F.col("level") - F.col("level") % STEP).cast("int")), "levelled")
+    bases = sorted(r["base"] for r in levelled.select("base").distinct().collect())  # at most 17
+    if not bases:
+        return spark.createDataFrame([], out)
+    keys = ["tree", "base", "prefix"]
+    right = _strings(levelled, width, trees).withColumn("prefix", _prefix(F.col("base")))
+    names = _strings(distinct, width, trees, False).withColumn("base", F.explode(F.array(*map(F.lit, bases)))).withColumn("prefix", _prefix(F.col("base")))
+    asked_counts = _strings(levelled, width, trees, False).withColumn("prefix", _prefix(F.col("base"))).groupBy(*keys).agg(F.count("*").alias("m"))
+    counts = scratch.write(names.groupBy(*keys).agg(F.count("*").alias("n")).join(asked_counts, keys), "counts")
+    left = _strings(distinct, width, trees).withColumn("tie", F.col("vec_id")).withColumn(
+        "base", F.explode(F.array(*map(F.lit, bases)))).withColumn("prefix", _prefix(F.col("base")))
+    rows, asked = _meeting(left, right, keys, BLOCK, QUERIES, counts)
+    by = [*keys, "block", "set"]
 
     def search(found: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
         if not len(found) or not len(wanted):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        found = found.sort_values("string")  # the tree's array; all of it shares the prefix of the level
+        found = found.assign(string=found["string"].to_numpy().view(np.uint64)).sort_values("string")
+        strings, ids = found["string"].to_numpy(), found["vec_id"].to_numpy()
         x = np.frombuffer(b"".join(found["vector"]), np.float64).reshape(-1, width)
         q = np.frombuffer(b"".join(wanted["vector"]), np.float64).reshape(-1, width)
-        a, b, s = _best(wanted["vec_id"].to_numpy(), found["vec_id"].to_numpy(), _products(q, x), k)
-        return pd.DataFrame({"query_id": a, "vec_id": b, "score": s})
-
-    found = rows.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(search, "query_id long, vec_id long, score double")
+        q_ids, at = wanted["vec_id"].to_numpy(), wanted["string"].to_numpy().view(np.uint64)
+        level = wanted["level"].to_numpy(np.int64)
+        mask = np.array([(1 << (BITS - d)) - 1 for d in range(BITS + 1)], np.uint64)[level]
+        lo, hi = np.searchsorted(strings, at & ~mask, "left"), np.searchsorted(strings, at | mask, "right")
+        parts = [pd.DataFrame({"query_id": [], "vec_id": [], "score": []})]
+        runs, of = np.unique(np.stack([lo, hi], axis=1), axis=0, return_inverse=True)
+        of = of.ravel()
+        for i, (a, b) in enumerate(runs):
+            if a < b:
+                own = np.flatnonzero(of == i)
+                c, d, s = _best(q_ids[own], ids[a:b], _products(q[own], x[a:b]), k)
+                parts.append(pd.DataFrame({"query_id": c, "vec_id": d, "score": s}))
+        return pd.concat(parts[1:] or parts)
+
+    found = rows.groupBy(*by).cogroup(asked.groupBy(*by)).applyInPandas(search, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))

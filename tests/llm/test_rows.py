@@ -253,3 +253,15 @@ def test_quality_rejects_outliers_and_keeps_prose(docs):
 def test_quality_plan_is_native(docs):
     plan = quality.base_statistics(docs(planted_rows()))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_isolated_queries_find_their_neighbours_beside_a_dense_cluster(spark):
+    rng = np.random.default_rng(4)
+    centre = rng.standard_normal(16)
+    x = centre + 0.05 * rng.standard_normal((3000, 16))
+    lone = np.arange(0, 100, 20)
+    x[lone] = rng.standard_normal((len(lone), 16)) - centre
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    usable = neighbours.usable(frame, "vec_id", "embedding")
+    found = neighbours.nearest(usable, usable.filter("vec_id % 20 = 0")).groupBy("query_id").count().collect()
+    assert {r.query_id: r["count"] for r in found} == dict.fromkeys(range(0, 3000, 20), 20)
