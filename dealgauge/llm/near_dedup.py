@@ -3,12 +3,12 @@
 A text is lower-cased (A-Z) and its set is that of its 5-word shingles; with fewer words, the whole sequence.
 Texts with equal sets are one class. A class has a signature of `SIGNATURE` minima. Each of `TREES` trees orders the
 classes by the signature from another place on; a region of a tree is a run of the order whose members have a
-common prefix. Regions begin at depth `DEPTH`; one with more than `REGION` members is cut at greater depth, and
-so on (to `DEEPEST`, then by hash). What cutting separates meets again at the region's hub, its member with the
-most companions in all trees, which joins every part. In a region, members are compared along the order by their
+common prefix of `DEPTH` places. A region with more than `REGION` members is cut into parts by hash, and every two
+parts meet in a task, so all of its members are compared. In a region, members are compared along the order by their
 signatures; likely links (a superset) give families. Links of a family are confirmed on full sets: members
 that are connected already are not compared again, so copies are not expanded to pairs. Families too
-large for one task are confirmed region by region. Components of the confirmed links are the groups.
+large for one task are cut into parts that meet two by two, or, where that makes more copies of a text than there are
+trees, confirmed region by region. Components of the confirmed links are the groups.
 
 Null, empty and blank texts have no set and are linked with nothing. Rows without a doc_id keep a null component
 and are linked with nothing. Rows of one id with different texts are judged apart; repeated rows agree. An empty
@@ -21,7 +21,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from dealgauge.llm.components import connected_components
 from dealgauge.llm.scratch import Scratch
@@ -30,14 +30,14 @@ from dealgauge.llm.text_arrays import Texts, mix, prefix_sums, range_hashes, sli
 SHINGLE = 5
 SIGNATURE = 72
 TREES = 24
-DEPTH, DEEPEST = 3, 8
+DEPTH = 3
 REGION = 512
 #: Equal places of two signatures that make a likely link: five deviations below what a similarity of 0.75 gives.
 LIKELY = 36
 #: A family up to so many classes and shingles is confirmed in one task.
 FAMILY, FAMILY_SHINGLES = 1000, 4_000_000
-#: Trees whose regions confirm the links of larger families.
-CONFIRMING_TREES = TREES
+#: The most copies of a text for which the parts of a larger family meet two by two; beyond, all regions confirm.
+COPIES = TREES
 _RNG = np.random.default_rng(99)
 _ODD = _RNG.integers(1, 1 << 63, SIGNATURE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FLIP = _RNG.integers(0, 1 << 63, SIGNATURE, dtype=np.uint64)
@@ -119,51 +119,23 @@ def first_regions(classes: DataFrame) -> DataFrame:
     return classes.select("node", "signature").mapInArrow(rows, "region long, tree int, node long")
 
 
-def _deeper(rows: DataFrame, depth: int) -> DataFrame:
-    """parent, region, tree and node at a greater depth, from region, tree, node and signature."""
-    def moved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = _prefix_keys(_matrix(batch.column("signature")), batch.column("tree").to_numpy().astype(np.int64), depth)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("region"), pa.array(keys), batch.column("tree"), batch.column("node")], names=["parent", "region", "tree", "node"])
-
-    return rows.select("region", "tree", "node", "signature").mapInArrow(moved, "parent long, region long, tree int, node long")
+def in_pairs(rows: DataFrame, key: str, parts: Column) -> DataFrame:
+    """`rows` (with `node`) with `key` renamed for every two of its `parts` that a row is in: all rows of a key meet."""
+    part = F.pmod(F.xxhash64("node"), "parts")
+    other = F.when(F.col("parts") == 1, F.array(F.lit(0).cast("long"))).otherwise(
+        F.filter(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda o: o != F.col("part")))
+    met = rows.withColumn("parts", parts.cast("long")).withColumn("part", part).withColumn("other", F.explode(other))
+    return met.withColumn(key, F.when(F.col("parts") == 1, F.col(key)).otherwise(
+        F.xxhash64(key, F.least("part", "other"), F.greatest("part", "other")))).drop("parts", "part", "other")
 
 
 def forest_regions(classes: DataFrame, scratch: Scratch) -> DataFrame:
-    """region, tree and node of regions with at least two and at most about `REGION` members."""
+    """region, tree and node of regions with at least two and at most about `REGION` members; larger ones are cut into
+    parts of half of it, and every two parts are a region."""
     everywhere = first_regions(classes)
     sizes = everywhere.groupBy("region").count().filter("count > 1")
-    current = scratch.write(everywhere.join(sizes, "region"), "regions0")
-    done = [current.filter(F.col("count") <= REGION).select("region", "tree", "node")]
-    companions = None
-    for depth in range(DEPTH + 1, DEEPEST + 2):
-        heavy = current.filter(F.col("count") > REGION)
-        if heavy.isEmpty():
-            break
-        if companions is None:
-            companions = scratch.write(
-                current.join(heavy.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.sum("count").alias("companions")), "companions")
-        hubs = heavy.join(companions, "node").groupBy("region").agg(
-            F.max(F.struct("companions", (-F.col("node")).alias("low"))).alias("hub")).select(
-            F.col("region").alias("parent"), (-F.col("hub.low")).alias("hub"))
-        if depth <= DEEPEST:
-            parts = _deeper(heavy.join(classes.select("node", "signature"), "node"), depth)
-        else:  # nothing is left to tell them apart
-            parts = heavy.select(F.col("region").alias("parent"), F.xxhash64(
-                "region", F.pmod(F.xxhash64("node"), F.ceil(F.col("count") / REGION))).alias("region"), "tree", "node")
-        parts = scratch.write(parts, f"parts{depth}")
-        at_hub = parts.select("parent", "region", "tree").distinct().join(hubs, "parent").select("region", "tree", F.col("hub").alias("node"))
-        rows = parts.select("region", "tree", "node").unionByName(at_hub).distinct()
-        sizes = rows.groupBy("region").count().filter("count > 1")
-        current = scratch.write(rows.join(sizes, "region"), f"regions{depth}")
-        scratch.drop(f"parts{depth}")
-        final = current if depth > DEEPEST else current.filter(F.col("count") <= REGION)
-        done.append(final.select("region", "tree", "node"))
-    found = done[0]
-    for more in done[1:]:
-        found = found.unionByName(more)
-    return found
+    parts = F.when(F.col("count") <= REGION, 1).otherwise(F.ceil(2 * F.col("count") / REGION))
+    return in_pairs(everywhere.join(sizes, "region"), "region", parts).select("region", "tree", "node")
 
 
 def by_group(batches: Iterator[pa.RecordBatch], key: str, least: int) -> Iterator[pa.Table]:
@@ -290,9 +262,11 @@ def near_duplicate_groups(documents: DataFrame) -> DataFrame:
     weights = families.join(classes.select("node", "n_shingles"), "node").groupBy("component").agg(
         F.count("*").alias("classes"), F.sum("n_shingles").alias("shingles"))
     large = (F.col("classes") > FAMILY) | (F.col("shingles") > FAMILY_SHINGLES)
-    weighed = families.join(weights.select("component", large.alias("large")), "component")
-    groups = weighed.filter("not large").select(F.col("component").alias("group"), "node").unionByName(
-        regions.filter(F.col("tree") < CONFIRMING_TREES).join(weighed.filter("large").select("node").distinct(), "node", "left_semi")
+    parts = F.when(large, F.greatest(F.ceil(2 * F.col("classes") / FAMILY), F.ceil(2 * F.col("shingles") / FAMILY_SHINGLES))).otherwise(1)
+    weighed = families.join(weights.select("component", parts.alias("parts")), "component")
+    small = weighed.filter(F.col("parts") <= COPIES + 1).select(F.col("component").alias("group"), "node", F.col("parts").alias("n"))
+    groups = in_pairs(small, "group", F.col("n")).select("group", "node").unionByName(
+        regions.join(weighed.filter(F.col("parts") > COPIES + 1).select("node").distinct(), "node", "left_semi")
         .select(F.xxhash64("region").alias("group"), "node"))
     texts = documents.select(
         F.col("doc_id").cast("long").alias("node"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("node_key"), "text")
@@ -300,7 +274,7 @@ def near_duplicate_groups(documents: DataFrame) -> DataFrame:
     members = chosen.join(texts, ["node", "node_key"])
     links = scratch.write(confirmed_links(members).distinct(), "links")
     components = scratch.write(connected_components(links, scratch, "component"), "components")
-    scratch.drop("regions", "regions0", "likely", "families", "links")
+    scratch.drop("regions", "likely", "families", "links")
     named = classes.select("set1", "set2", "n_shingles", "node").join(components, "node", "left").select(
         "set1", "set2", "n_shingles", F.coalesce("component", "node").alias("component_id"))
     own = described.select("doc_id", "text_key", "n_shingles", "set1", "set2").join(named, ["set1", "set2", "n_shingles"], "left")

@@ -169,3 +169,21 @@ def test_components_of_chains_and_stars(spark):
     found = connected_components(spark.createDataFrame(links, "a long, b long"), Scratch(spark, "test"), "c")
     by = {r.node: r.component for r in found.collect()}
     assert by == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 130)} | {200: 200, 201: 200}
+
+
+def test_template_corpus_with_regions_above_the_cap(docs, monkeypatch):
+    monkeypatch.setattr(near_dedup, "REGION", 16)
+    monkeypatch.setattr(near_dedup, "FAMILY", 100)
+    rng = random.Random(8)
+
+    def filled(seed):
+        return [f"f{i}" for i in range(340)] + [f"v{seed}x{i}" for i in range(60)]
+
+    rows = [(i, " ".join(filled(i)), "en", "a") for i in range(300)]  # similarity 0.737
+    for pair in range(40):
+        text = filled(5000 + pair)
+        other = text[:346] + [f"o{pair}x{i}" for i in range(54)]  # 0.76 to the first
+        rows += [(2000 + 2 * pair, " ".join(text), "en", "a"), (2001 + 2 * pair, " ".join(other), "en", "a")]
+    rng.shuffle(rows)
+    found = {r.doc_id: r.component_id for r in near_dedup.near_duplicate_groups(docs(rows)).collect()}
+    assert found == {r[0]: r[0] - r[0] % 2 if r[0] >= 2000 else r[0] for r in rows}
