@@ -17,8 +17,12 @@ TOKENIZER = "word_bpe_49k.json"
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a predicted language; the model learns from the labelled rows."""
-    told = language_id.identify(docs.select("text", F.struct("*").alias("row")), language_id.fit(docs))
+    """Documents with a predicted language; the model learns from the labelled rows. Where no row is labelled,
+    documents with letters."""
+    model = language_id.fit(docs)
+    if model is None:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    told = language_id.identify(docs.select("text", F.struct("*").alias("row")), model)
     return told.filter(told.lang_pred != language_id.UNKNOWN).select("row.*")
 
 

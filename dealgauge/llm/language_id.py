@@ -3,8 +3,8 @@ machines between the languages of that family.
 
 A text is turned into counts of byte n-grams (one to three bytes, ASCII letters lower-cased), hashed to `DIMENSIONS`
 columns, damped by a square root and scaled to length one; the whole text counts. Models are fitted on
-the driver from a bounded sample of labelled rows: at most `PER_LANGUAGE` documents of a language, those
-with the smallest digest of their text, whose features are computed in Spark. A family is one against
+the driver from a sample of labelled rows: at most `PER_LANGUAGE` different texts of each language, those
+with the smallest digest, whose features are computed in Spark. A family is one against
 the rest; inside a family each pair of languages votes. Languages without a known family make one of their own.
 
 Null text and text without a letter give `und` with score 0, and so does everything if nothing is
@@ -25,7 +25,6 @@ from dealgauge.llm.text_arrays import Texts, slices
 
 DIMENSIONS = 4096
 PER_LANGUAGE = 600
-MAX_LANGUAGES = 64
 STEPS = 300
 PENALTY = 1e-4
 UNKNOWN = "und"
@@ -148,11 +147,12 @@ class Model:
 
 
 def labelled_sample(documents: DataFrame, training: str, per_language: int) -> DataFrame:
-    """At most `per_language` texts of each language: those with the smallest digest."""
-    rows = documents.filter(training).filter("lang is not null and text is not null").select(
+    """At most `per_language` different texts of each language: those with the smallest digest."""
+    rows = documents.filter(training).filter("lang is not null and text is not null").filter(F.col("text").rlike(r"\p{L}")).select(
         "text", "lang", F.xxhash64("text").alias("order"))
     first = Window.partitionBy("lang").orderBy("order")
-    return rows.filter(F.col("text").rlike(r"\p{L}")).withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= per_language)
+    chosen = rows.select("lang", "order").distinct().withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= per_language)
+    return rows.join(F.broadcast(chosen), ["lang", "order"]).groupBy("lang", "order").agg(F.min("text").alias("text"))
 
 
 def fit(documents: DataFrame, training: str = "true", per_language: int = PER_LANGUAGE) -> Model | None:
@@ -165,7 +165,7 @@ def fit(documents: DataFrame, training: str = "true", per_language: int = PER_LA
             yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array([r.tobytes() for r in x], pa.binary())], names=["lang", "x"])
 
     sample = labelled_sample(documents, training, per_language).select("text", "lang")
-    found = sample.mapInArrow(rows, "lang string, x binary").limit(per_language * MAX_LANGUAGES).toArrow()
+    found = sample.mapInArrow(rows, "lang string, x binary").toArrow()
     if not found.num_rows:
         return None
     x = np.frombuffer(b"".join(found.column("x").to_pylist()), np.float16).reshape(-1, DIMENSIONS).astype(np.float32)

@@ -265,3 +265,22 @@ def test_isolated_queries_find_their_neighbours_beside_a_dense_cluster(spark):
     usable = neighbours.usable(frame, "vec_id", "embedding")
     found = neighbours.nearest(usable, usable.filter("vec_id % 20 = 0")).groupBy("query_id").count().collect()
     assert {r.query_id: r["count"] for r in found} == dict.fromkeys(range(0, 3000, 20), 20)
+
+
+def test_language_sample_has_every_language_and_no_copies(docs):
+    copied = [(i, "one text", "en", "a") for i in range(50)] + [(100 + i, prose(i, 5), "en", "a") for i in range(20)]
+    many = [(1000 + i, f"word{i}", f"x{i}", "a") for i in range(70)]
+    frame = docs(copied + many)
+    taken = language_id.labelled_sample(frame, "true", 10).collect()
+    assert len({r.text for r in taken if r.lang == "en"}) == 10
+    assert Counter(r.lang for r in taken) == Counter({"en": 10} | {f"x{i}": 1 for i in range(70)})
+    assert language_id.fit(frame, per_language=1).languages == sorted({"en"} | {f"x{i}" for i in range(70)})
+
+
+def test_pipeline_keeps_documents_where_nothing_is_labelled(spark, docs):
+    import corpus_pipeline
+
+    rows = [(doc, text, None, source) for doc, text, _, source in odd_rows()]
+    kept = corpus_pipeline.languages(spark, docs(rows, True), "")
+    assert kept.columns == docs(rows, True).columns
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter((r[0], r[1]) for r in rows if any(c.isalpha() for c in r[1] or ""))
