@@ -1,14 +1,13 @@
 """Language-model scores by stupid backoff over n-gram counts of the whole corpus.
 
-Counts of words and word pairs are a table partitioned by hash. The n-grams of a batch of documents are
-exploded, counted and dealt out by hash bucket; a bucket adds up the counts of all batches, which is its part of
-the table, and joins them to the n-grams that each batch asked for; the answers go back to the batch, where
-scores are summed per document. N-grams travel as sorted arrays of 64-bit hashes, one row for a batch and bucket,
-so a frequent n-gram is one entry of each batch however often it occurs, and a bucket holds its share of the
-distinct n-grams of the batches. Batches are numbered by split and place; a second scan has the same batches.
-
-The score of a word is the count of the pair over the count of the word before it; an unseen pair gives
-`BACKOFF` times the word's share of all words. A document is left out of the counts it is scored with;
+The n-grams of one to `order` words of each batch of documents are exploded to rows of 64-bit hash and count;
+the count table is their sum by hash, joined back to the rows. A count that no other batch adds to is known in its batch,
+so only the others return there, where scores are summed per document. A frequent n-gram is one row of each batch
+however often it occurs. Batches are numbered by split and place; a second scan has the same batches.
+
+The score of a word is the count of the longest n-gram that ends in it and that other documents have, over the count
+of the words before it in that n-gram, times `BACKOFF` for each longer one that they do not have; without any it is
+the word's share of all words. A document is left out of the counts it is scored with;
 a word that no other document has counts as seen half a time. A document's score is the mean of the logarithms.
 
 Null and empty texts have no words and score null; a document alone in the corpus scores its words as unseen;
@@ -25,52 +24,26 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from dealgauge.llm.scratch import Scratch
+from dealgauge.llm.scratch import ship
 from dealgauge.llm.text_arrays import Texts, mix, slices, texts_of, window_hashes
 
 BACKOFF = 0.4
 UNSEEN = 0.5
-#: Text of a batch, and text whose n-grams fill one bucket.
-BATCH_BYTES = 8 << 20
-BUCKET_BYTES = 8 << 20
+#: Text of a batch.
+BATCH_BYTES = 4 << 20
 
 
-def _buckets(sorted_keys: np.ndarray, buckets: int) -> Iterator[tuple[int, int, int]]:
-    """Bucket, first and last place of each bucket that has keys; buckets are equal ranges of hashes."""
-    of = ((sorted_keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-    cuts = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1], [True]])) if len(of) else np.zeros(1, int)
-    for i, j in zip(cuts[:-1], cuts[1:]):
-        yield int(of[i]), int(i), int(j)
-
-
-def _grams(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of words, the text of each word, and hashes of the pairs (0 where a text begins)."""
+def _grams(texts: Texts, order: int) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """The text of each word; and for n = 1 to `order` the hashes of the n-grams and the word that each ends in."""
     starts, ends, owner = texts.words()
     words = texts.word_hashes(starts, ends)
-    pairs = np.zeros(len(words), np.uint64)
-    if len(words) > 1:
-        both = mix(window_hashes(words, 2))
-        pairs[1:] = np.where(owner[1:] == owner[:-1], both, np.uint64(0))
-    return words, owner, pairs
-
-
-def _pack(x: np.ndarray) -> bytes:
-    """The numbers' first bytes, then their second bytes and so on: high bytes are mostly 0, and the shuffle's
-    compression sees them side by side."""
-    return np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
-
-
-def _unpack(raw: bytes, kind: type) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
-
-
-def _pack_keys(keys: np.ndarray) -> bytes:
-    """Sorted hashes as steps from one to the next."""
-    return _pack(np.diff(keys, prepend=np.uint64(0)))
-
-
-def _unpack_keys(raw: bytes) -> np.ndarray:
-    return np.cumsum(_unpack(raw, np.uint64), dtype=np.uint64)
+    grams, last = [words], [np.arange(len(words))]
+    for n in range(2, order + 1):
+        at = np.arange(n - 1, len(words))
+        inside = owner[at] == owner[at - n + 1]
+        grams.append(mix(window_hashes(words, n))[inside])
+        last.append(at[inside])
+    return owner, grams, last
 
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch, Texts]]:
@@ -80,80 +53,62 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Record
         yield (split << 32) + nth, part, texts
 
 
-def _distinct(words: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The sorted distinct n-grams, where each word and pair stands in them, and how often each occurs."""
-    return np.unique(np.concatenate([words, pairs[pairs != 0]]), return_inverse=True, return_counts=True)
-
-
-def _deal(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """A batch's distinct n-grams and their counts, dealt out to buckets."""
+def _deal(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.RecordBatch]:
+    """A batch's distinct n-grams and their counts."""
     for number, _, texts in _batches(batches):
-        words, _, pairs = _grams(texts)
-        keys, _, counts = _distinct(words, pairs)
-        rows = [(number, b, i, _pack_keys(keys[i:j]), _pack(counts[i:j].astype(np.uint32))) for b, i, j in _buckets(keys, buckets)]
-        for at in range(0, len(rows), 10_000):
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        keys, counts = np.unique(np.concatenate(_grams(texts, order)[1]), return_counts=True)
+        for at in range(0, len(keys), 100_000):
+            own = keys[at:at + 100_000]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*rows[at:at + 10_000]), kinds)], names=["batch", "bucket", "at", "keys", "counts"])
-
-
-def _add_up(rows: pd.DataFrame) -> pd.DataFrame:
-    """One part of the count table, joined at once to the n-grams of every batch that has some of it."""
-    keys = np.concatenate([_unpack_keys(x) for x in rows["keys"]])
-    counts = np.concatenate([_unpack(x, np.uint32) for x in rows["counts"]]).astype(np.int64)
-    order = np.argsort(keys)
-    keys = keys[order]
-    first = np.concatenate([[True], keys[1:] != keys[:-1]])
-    totals = np.add.reduceat(counts[order], np.flatnonzero(first))
-    answer = np.empty(len(keys), np.int64)
-    answer[order] = totals[np.cumsum(first) - 1]
-    ends = np.cumsum([len(x) // 8 for x in rows["keys"]])[:-1]
-    return pd.DataFrame({"batch": rows["batch"], "at": rows["at"], "counts": [_pack(x) for x in np.split(answer, ends)]})
+                [pa.array(np.full(len(own), number)), pa.array(own.view(np.int64)), pa.array(counts[at:at + 100_000].astype(np.int64))],
+                names=["batch", "gram", "n"])
 
 
-def _score(docs: pd.DataFrame, answers: pd.DataFrame, total: int) -> pd.DataFrame:
-    """Scores of one batch from the corpus counts of its distinct n-grams."""
+def _score(docs: pd.DataFrame, answers: pd.DataFrame, total: int, order: int) -> pd.DataFrame:
+    """Scores of one batch from the corpus counts of the n-grams that other batches have too."""
     docs = docs.sort_values("nth")
     texts = texts_of(pa.array(docs["text"], pa.large_string()))
-    words, owner, pairs = _grams(texts)
+    owner, grams, last = _grams(texts, order)
     n = np.bincount(owner, minlength=len(texts))
     score = np.full(len(texts), np.nan)
-    if len(words):
-        keys, inverse, _ = _distinct(words, pairs)
-        answers = answers.sort_values("at")
-        counts = np.concatenate([_unpack(x, np.int64) for x in answers["counts"]])
-        if len(counts) != len(keys):
+    if len(owner):
+        keys, place, counts = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
+        told = answers["gram"].to_numpy(np.int64).view(np.uint64)
+        at = np.minimum(np.searchsorted(keys, told), len(keys) - 1)
+        if (keys[at] != told).any():
             raise RuntimeError("the documents of a batch changed between the two scans")
-        is_pair = pairs != 0
-        at = inverse[: len(words)]
-        at_pair = inverse[len(words):]
+        counts[at] = answers["total"].to_numpy(np.int64)
+        places = np.split(place, np.cumsum([len(g) for g in grams])[:-1])
 
-        def others(place: np.ndarray, owners: np.ndarray) -> np.ndarray:
-            """Corpus count of each n-gram less its count in the document itself."""
-            own = owners.astype(np.int64) * len(keys) + place
+        def others(length: int) -> np.ndarray:
+            """For each word the corpus count of the n-gram that ends in it less its count in the document itself;
+            -1 where the document has no such n-gram."""
+            own = owner[last[length - 1]].astype(np.int64) * len(keys) + places[length - 1]
             _, back, times = np.unique(own, return_inverse=True, return_counts=True)
-            return counts[place] - times[back]
+            out = np.full(len(owner), -1, np.int64)
+            out[last[length - 1]] = counts[places[length - 1]] - times[back]
+            return out
 
-        word_count = others(at, owner)
+        found = others(1)
         rest = np.maximum(total - n[owner], 1)
-        backed = np.where(word_count > 0, word_count, UNSEEN) / rest
-        value = np.log(backed)  # a first word has no word before it
-        second = np.flatnonzero(is_pair)
-        pair_count, before = others(at_pair, owner[second]), word_count[second - 1]
-        value[second] = np.where(pair_count > 0, np.log(np.maximum(pair_count, 1) / np.maximum(before, 1)), np.log(BACKOFF * backed[second]))
+        value = np.log(np.where(found > 0, found, UNSEEN) / rest)
+        for length in range(2, order + 1):
+            before, found = found, others(length)
+            there = np.flatnonzero(found >= 0)
+            seen = np.log(np.maximum(found[there], 1) / np.maximum(before[there - 1], 1))
+            value[there] = np.where(found[there] > 0, seen, np.log(BACKOFF) + value[there])
         sums = np.bincount(owner, weights=value, minlength=len(texts))
         score[n > 0] = sums[n > 0] / n[n > 0]
     return pd.DataFrame({"doc_id": docs["doc_id"].array, "n_words": n, "lm_score": [None if np.isnan(x) else float(x) for x in score]})
 
 
-def score_documents(documents: DataFrame) -> DataFrame:
-    """doc_id, n_words and lm_score of every row."""
-    scratch = Scratch(documents.sparkSession, "lm")
+def score_documents(documents: DataFrame, order: int = 2) -> DataFrame:
+    """doc_id, n_words and lm_score of every row, by n-grams of up to `order` words."""
+    ship(documents.sparkSession)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, -(-size // BUCKET_BYTES))
-    dealt = docs.mapInArrow(lambda batches: _deal(batches, buckets), "batch long, bucket long, at long, keys binary, counts binary")
-    answers = scratch.write(dealt.groupBy("bucket").applyInPandas(_add_up, "batch long, at long, counts binary"), "answers")
+    dealt = docs.mapInArrow(lambda batches: _deal(batches, order), "batch long, gram long, n long")
+    table = dealt.groupBy("gram").agg(F.sum("n").alias("total"), F.count("*").alias("batches")).filter("batches > 1")
+    answers = dealt.select("batch", "gram").join(table.select("gram", "total"), "gram")
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, part, _ in _batches(batches):
@@ -169,4 +124,4 @@ def score_documents(documents: DataFrame) -> DataFrame:
     total = docs.select("text").mapInArrow(counted, "n long").agg(F.sum("n")).first()[0] or 0
     by_batch = docs.mapInArrow(numbered, "batch long, nth long, doc_id long, text string")
     return by_batch.groupBy("batch").cogroup(answers.groupBy("batch")).applyInPandas(
-        lambda d, a: _score(d, a, total), "doc_id long, n_words long, lm_score double")
+        lambda d, a: _score(d, a, total, order), "doc_id long, n_words long, lm_score double")

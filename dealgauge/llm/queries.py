@@ -9,6 +9,8 @@ from dealgauge.llm.scratch import Scratch, documents
 
 #: Vocabulary of the packing query; a parameter of the operator.
 TOKENIZER = "word_bpe_49k.json"
+#: Words of the longest n-gram of the scoring query.
+ORDER = 3
 HELD_OUT = "pmod(crc32(cast(doc_id as string)), 4) = 2"
 
 
@@ -44,7 +46,7 @@ def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_lm_score(spark: SparkSession, folder: str) -> DataFrame:
-    return lm_score.score_documents(documents(spark, folder))
+    return lm_score.score_documents(documents(spark, folder), ORDER)
 
 
 def op8_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:

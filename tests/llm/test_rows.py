@@ -284,3 +284,31 @@ def test_pipeline_keeps_documents_where_nothing_is_labelled(spark, docs):
     kept = corpus_pipeline.languages(spark, docs(rows, True), "")
     assert kept.columns == docs(rows, True).columns
     assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter((r[0], r[1]) for r in rows if any(c.isalpha() for c in r[1] or ""))
+
+
+@pytest.mark.parametrize("order", [1, 3, 4])
+def test_lm_scores_of_any_order_equal_plain_counts(docs, monkeypatch, order):
+    monkeypatch.setattr(lm_score, "BATCH_BYTES", 2000)  # several batches
+    rows = odd_rows() + planted_rows()
+    found = lm_score.score_documents(docs(rows), order).collect()
+    texts = [(r[0], (r[1] or "").encode().split()) for r in rows]
+
+    def grams(w):
+        return Counter(tuple(w[i:i + n]) for n in range(1, order + 1) for i in range(len(w) - n + 1))
+
+    every, total, expected = sum((grams(w) for _, w in texts), Counter()), sum(len(w) for _, w in texts), []
+    for doc, w in texts:
+        own, value = grams(w), 0.0
+        for i in range(len(w)):
+            factor = 1.0
+            for n in range(min(order, i + 1), 0, -1):
+                gram = tuple(w[i - n + 1:i + 1])
+                seen = every[gram] - own[gram]
+                if n == 1:
+                    value += math.log(factor * (seen or 0.5) / max(1, total - len(w)))
+                elif seen:
+                    value += math.log(factor * seen / (every[gram[:-1]] - own[gram[:-1]]))
+                    break
+                factor *= 0.4
+        expected.append((str(doc), len(w), round(value / len(w), 9) if w else None))
+    assert Counter((str(r.doc_id), r.n_words, None if r.lm_score is None else round(r.lm_score, 9)) for r in found) == Counter(expected)
