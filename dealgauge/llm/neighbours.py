@@ -5,7 +5,7 @@ the array of all strings in order. A query descends in every tree to the longest
 and then ascends in all trees at once, one bit at a time, until its own level, the deepest at which the trees
 together hold `need` rows (a row counts once in each tree). `need` is at least `trees * (k + 1)`, so that one tree
 alone has `k` others, and large enough for `RECALL` of the true neighbours of a bounded sample of queries (`SAMPLE`),
-which are found by brute force. A query that finds fewer ascends to level 0, which is all rows. All rows
+which are found by brute force; nor does a query stay below the level that so many of them share. A query that finds fewer ascends to level 0, which is all rows. All rows
 that share the prefix of the query's level in some tree are scored on their original vectors in double precision.
 
 Rows meet queries by tree and the prefix of the level, rounded up the tree to a multiple of `STEP`; there each query takes
@@ -184,12 +184,12 @@ def _products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return total
 
 
-def _fit_need(index: DataFrame, queries: DataFrame, profiles: DataFrame, width: int, trees: int, k: int, recall: float, sample: int) -> int:
-    """How many rows the trees together have to hold at a query's level."""
+def _fit_need(index: DataFrame, queries: DataFrame, profiles: DataFrame, width: int, trees: int, k: int, recall: float, sample: int) -> tuple[int, int]:
+    """How many rows the trees together have to hold at a query's level, and the deepest level of any query."""
     least = trees * (k + 1)
     chosen = queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toPandas()
     if not len(chosen):
-        return least
+        return least, 0
     ids = chosen["vec_id"].to_numpy()
     q = np.frombuffer(b"".join(chosen["vector"]), np.float64).reshape(-1, width)
     shared = index.sparkSession.sparkContext.broadcast((ids, q))
@@ -214,14 +214,15 @@ def _fit_need(index: DataFrame, queries: DataFrame, profiles: DataFrame, width:
     top = Window.partitionBy("q").orderBy(F.desc("s"), "v")
     depths = near.withColumn("r", F.row_number().over(top)).filter(F.col("r") <= k).select("q", "depth").toPandas()
     if not len(depths):
-        return least
+        return least, 0
     depths["nth"] = np.arange(len(depths))
     told = profiles.filter(F.col("vec_id").isin([int(i) for i in ids])).toPandas()
     # a neighbour is reached where the levels below its depth hold fewer than are needed
     below = depths.merge(told, left_on="q", right_on="vec_id", suffixes=("", "_held"))
     below["n"] = np.where(below["depth_held"] > below["depth"], below["n"], 0)
     needs = np.sort(below.groupby(["q", "nth"])["n"].sum().to_numpy()) + 1
-    return max(least, int(needs[min(len(needs) - 1, int(recall * len(needs)))]))
+    deepest = int(np.sort(depths["depth"].to_numpy())[int((1 - recall) * len(depths))])
+    return max(least, int(needs[min(len(needs) - 1, int(recall * len(needs)))])), deepest
 
 
 def nearest(index: DataFrame, queries: DataFrame, k: int = 20, trees: int = TREES, recall: float = RECALL,
@@ -242,10 +243,10 @@ def nearest(index: DataFrame, queries: DataFrame, k: int = 20, trees: int = TREE
     first = Window.partitionBy("vector").orderBy("vec_id")
     distinct = scratch.write(index.withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= k + 1).select("vec_id", "vector"), "distinct")
     profiles = _profiles(distinct, queries, width, trees, scratch)
-    need = _fit_need(distinct, queries, profiles, width, trees, k, recall, sample)
+    need, deepest = _fit_need(distinct, queries, profiles, width, trees, k, recall, sample)
     levels = profiles.filter(F.col("found") >= need).groupBy("vec_id").agg(F.max("depth").alias("level"))
     levelled = scratch.write(
-        queries.join(levels, "vec_id", "left").withColumn("level", F.coalesce("level", F.lit(0)))
+        queries.join(levels, "vec_id", "left").withColumn("level", F.least(F.coalesce("level", F.lit(0)), F.lit(deepest)))
         .withColumn("base", (F.col("level") - F.col("level") % STEP).cast("int")), "levelled")
     bases = sorted(r["base"] for r in levelled.select("base").distinct().collect())  # at most 17
     if not bases:
