@@ -7,7 +7,7 @@ ROOT = pathlib.Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 sys.path.insert(0, str(ROOT / "tools"))
 
-TESTDATA = "/root/testdata/sf0.001"
+from given_tables import TESTDATA
 
 
 @pytest.fixture(scope="session")

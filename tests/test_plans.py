@@ -2,7 +2,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 
-from conftest import TESTDATA
+from given_tables import TESTDATA
 
 MODEL_QUERIES = {
     "scoring_metrics", "class_report", "lead_scores", "model_comparison", "uplift_arm_metrics", "uplift_scores",

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_points
 from check_sql import connect, difference
 
-from conftest import TESTDATA
+from given_tables import TESTDATA
 
 QUERIES = [
     "silver_leads", "silver_opportunities", "silver_activities", "activities_rejected", "lead_summary", "pk_violations",

@@ -3,7 +3,7 @@ import pytest
 import __spark_entry__ as entry_points
 from check_sql import connect, difference
 
-from conftest import TESTDATA
+from given_tables import TESTDATA
 
 SQL = entry_points.oracle_sql()
 

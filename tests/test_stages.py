@@ -5,7 +5,7 @@ from dealgauge.plans import reports
 from dealgauge.plans.workspace import GIVEN_TABLES, Workspace
 from dealgauge.sources.stages import measured
 
-from conftest import TESTDATA
+from given_tables import TESTDATA
 
 
 def plan_of(rows):
