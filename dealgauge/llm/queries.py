@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dealgauge.llm import language_id, lm_score, mixing, near_dedup, neighbours, packing, quality, substring_dedup, suffix_dedup, warc
+from dealgauge.llm import language_id, lm_score, mixing, near_dedup, neighbours, packing, quality, substring_dedup, suffix_dedup, token_files, warc
 from dealgauge.llm.scratch import Scratch, documents
 
 #: Vocabulary of the packing query; a parameter of the operator.
 TOKENIZER = "word_bpe_49k.json"
+#: Vocabulary of the token files query.
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 #: Words of the longest n-gram of the scoring query.
 ORDER = 3
 HELD_OUT = "pmod(crc32(cast(doc_id as string)), 4) = 2"
@@ -62,6 +64,12 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_rules(documents(spark, folder))
 
 
+def op11_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_files.token_files(documents(spark, folder), public_tokenizers.path(BYTE_TOKENIZER))
+
+
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -73,6 +81,7 @@ QUERIES = {
     "op8_warc_revisits": op8_warc_revisits,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_quality_rules": op10_quality_rules,
+    "op11_token_files": op11_token_files,
 }
 
 ORACLES: dict[str, str] = {
