@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dealgauge.llm import language_id, lm_score, mixing, near_dedup, neighbours, packing, quality, substring_dedup, suffix_dedup, token_files, warc
+from dealgauge.llm import conversation_trie, language_id, lm_score, mixing, near_dedup, neighbours, packing, quality, substring_dedup, suffix_dedup, token_files, warc
 from dealgauge.llm.scratch import Scratch, documents
 
 #: Vocabulary of the packing query; a parameter of the operator.
@@ -70,6 +70,10 @@ def op11_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_files(documents(spark, folder), public_tokenizers.path(BYTE_TOKENIZER))
 
 
+def op13_conversation_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie.prefix_trie(documents(spark, folder, "conversations"))
+
+
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -82,9 +86,45 @@ QUERIES = {
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_quality_rules": op10_quality_rules,
     "op11_token_files": op11_token_files,
+    "op13_conversation_prefix_trie": op13_conversation_prefix_trie,
 }
 
+def _crc32_sql(text: str) -> str:
+    """CRC-32 of the UTF-8 bytes of a text of characters below U+0080 or from U+00C0 to U+00FF, bit by bit."""
+    shifts = "[" + ", ".join(["-1"] * 8) + "]"
+    of_byte = "[CAST({} AS BIGINT)] || " + shifts
+    narrow, wide = of_byte.format("ord(c)"), of_byte.format("195") + " || " + of_byte.format("ord(c) - 64")
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda c: CASE WHEN ord(c) < 128 THEN {narrow} ELSE {wide} END))"
+    return f"""xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {steps}),
+        lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END))"""
+
+
 ORACLES: dict[str, str] = {
+    "op13_conversation_prefix_trie": f"""
+        WITH own AS (
+            SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
+                                 ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+        cut AS (SELECT conv_id, turns, {_crc32_sql("CAST(conv_id AS VARCHAR)")} % 4 AS h FROM own),
+        rebuilt AS (
+            SELECT c.conv_id, list_concat(coalesce(b.turns[1:c.h], []), c.turns[c.h + 1:]) AS turns
+            FROM cut c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 20),
+        members AS (SELECT conv_id, turns, len(turns) AS length, unnest(range(0, len(turns) + 1)) AS depth FROM rebuilt),
+        nodes AS (
+            SELECT turns[1:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(length) = depth AS leaf,
+                   (count(*) - 1) * CASE WHEN depth = 0 THEN 0
+                       ELSE len(regexp_extract_all(any_value(turns[depth].text), '[^\x20\x09-\x0D]+')) END AS saved,
+                   sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE length = depth), '')) AS ends
+            FROM members GROUP BY turns[1:depth], depth),
+        above AS (SELECT *, unnest(range(0, depth + 1)) AS top FROM nodes),
+        subtrees AS (
+            SELECT path[1:top] AS path, sum(saved) AS saved_tokens, count(*) FILTER (WHERE leaf) AS n_leaves,
+                   count(*) FILTER (WHERE depth = top + 1) AS n_children
+            FROM above GROUP BY path[1:top], top)
+        SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, s.n_children, s.n_leaves,
+               CAST(s.saved_tokens AS BIGINT) AS saved_tokens, n.ends AS ends_sha256
+        FROM nodes n JOIN subtrees s ON s.path = n.path
+        LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = n.path[1:n.depth - 1]""",
     "op8_warc_revisits": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
         r AS (SELECT payload, max(page_id) AS response FROM p WHERE strlen(payload) >= 1000 GROUP BY payload)
