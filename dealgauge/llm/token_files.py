@@ -19,10 +19,12 @@ no blocks and no rows. Only doc_id and text are read, so other columns cannot cl
 
 from __future__ import annotations
 
+import codecs
 import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import partial
 
@@ -75,13 +77,13 @@ class ByteTokenizer:
         self.inner = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.inner.get_vocab_size() <= 1 << 16 else "<u4")
         rest = iter(range(256, 512))
-        letters = {b: chr(b) for b in self.PRINTABLE}
-        self.letters = {b: letters.get(b) or chr(next(rest)) for b in range(256)}
+        self.letters = "".join(chr(b) if b in self.PRINTABLE else chr(next(rest)) for b in range(256))
+        self.special = re.compile("|".join(re.escape(t.content) for t in self.inner.get_added_tokens_decoder().values()) or r"(?!)")
         # pieces go to the model alone only where the tokenizer is the plain one that the rule above describes
         bare = self.inner.normalizer is None and isinstance(self.inner.pre_tokenizer, pre_tokenizers.ByteLevel)
         self.bare = bare and self.inner.encode("a b'll\n\n c", add_special_tokens=False).ids == [
             t.id for p in self.PIECES.findall("a b'll\n\n c") for t in self.inner.model.tokenize(self._mapped(p))]
-        self.special = [t.content for t in self.inner.get_added_tokens_decoder().values()]
+        self.code = "H" if self.kind.itemsize == 2 else "I"
         self.pieces: dict[str, bytes] = {}
         owner = self
 
@@ -97,26 +99,26 @@ class ByteTokenizer:
         self.known = Known()
 
     def _mapped(self, piece: str) -> str:
-        return "".join(map(self.letters.__getitem__, piece.encode()))
+        return codecs.charmap_decode(piece.encode(), "strict", self.letters)[0]
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.inner.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+        return array(self.code, self.inner.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode()
-        if not self.bare or not self.PLAIN.fullmatch(text) or any(s in text for s in self.special):
+        if not self.bare or not (text.isascii() or self.PLAIN.fullmatch(text)) or self.special.search(text):
             return self._whole(text)
         found = []
         for piece in self.PIECES.findall(text):
             ids = self.pieces.get(piece)
             if ids is None:
-                ids = np.array([t.id for t in self.inner.model.tokenize(self._mapped(piece))], self.kind).tobytes()
+                ids = array(self.code, [t.id for t in self.inner.model.tokenize(self._mapped(piece))]).tobytes()
                 if len(piece) < 40:
                     if len(self.pieces) >= REMEMBERED:
                         self.pieces.clear()
                     self.pieces[piece] = ids
             found.append(ids)
-        return b"".join(found)
+        return found[0] if len(found) == 1 else b"".join(found)
 
     def encode(self, data: bytes) -> bytes:
         """Ids of a UTF-8 text as little-endian numbers of `kind`."""
