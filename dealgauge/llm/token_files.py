@@ -248,23 +248,36 @@ class Code:
     def unpack(data: bytes) -> Code:
         return Code(np.frombuffer(zlib.decompress(data), np.uint8))
 
-    def encode(self, ids: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, bytes]:
-        """Bit offset of every `stride`-th id, and the bits, highest bit first, filled to whole bytes."""
+    def encode_all(self, ids: np.ndarray, counts: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, bytes, np.ndarray]:
+        """Codes of documents of `counts` ids, none of them 0, each from a whole byte on, highest bit first: the bit offset of every
+        `stride`-th id of each document, the bytes, and where each document ends in them."""
         widths = self.lengths[ids]
-        if len(widths) and not widths.all():
+        if not widths.all():
             raise ValueError("an id without a code")
-        ends = np.cumsum(widths)
-        starts = ends - widths
+        last = np.cumsum(counts)
+        sums = np.cumsum(widths)
+        sizes = -(-np.diff(sums[last - 1], prepend=0) // 8)
+        ends = np.cumsum(sizes)
+        # what the filled last bytes of the documents before add
+        filled = 8 * (ends - sizes) - (sums[last - 1] - np.diff(sums[last - 1], prepend=0))
+        starts = sums - widths + np.repeat(filled, counts)
         # codes do not overlap, so the sum of what falls into a 32-bit word is the word
         word = starts >> 5
         spread = self.codes[ids] << (64 - widths - (starts & 31)).astype(np.uint64)
         first = np.flatnonzero(np.diff(word, prepend=-1))
-        sums = np.add.reduceat(spread, first) if len(first) else np.zeros(0, np.uint64)
-        total = int(ends[-1]) if len(ends) else 0
-        words = np.zeros(total // 32 + 2, ">u4")
-        words[word[first]] = (sums >> np.uint64(32)).astype(np.uint32)
-        words[word[first] + 1] |= (sums & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        return starts[::stride], words.tobytes()[: (total + 7) // 8]
+        joined = np.add.reduceat(spread, first)
+        words = np.zeros(int(ends[-1]) // 4 + 2, ">u4")
+        words[word[first]] = (joined >> np.uint64(32)).astype(np.uint32)
+        words[word[first] + 1] |= (joined & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        place = np.arange(len(ids)) - np.repeat(last - counts, counts)
+        return starts[place % stride == 0], words.tobytes()[: int(ends[-1])], ends
+
+    def encode(self, ids: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, bytes]:
+        """One document: the bit offset of every `stride`-th id, and the bytes."""
+        if not len(ids):
+            return np.zeros(0, np.int64), b""
+        offsets, bits, _ = self.encode_all(ids, np.array([len(ids)]), stride)
+        return offsets, bits
 
     def decode(self, bits: bytes, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Ids from each bit offset in `starts`, `counts` of them, one run after the other. All runs go at once."""
@@ -358,16 +371,22 @@ class Block:
 def _coded_batches(batches: Iterator[pa.RecordBatch], packed: bytes) -> Iterator[pa.RecordBatch]:
     code = Code.unpack(packed)
     for batch in batches:
-        for at in range(0, batch.num_rows, 512):
-            part = batch.slice(at, 512)
-            steps, bits, ties = [], [], []
-            for ids, width in zip(part.column(3).to_pylist(), part.column(2).to_pylist()):
-                offsets, own = code.encode(_numbers(ids, width))
-                steps.append(np.diff(offsets).astype("<u2").tobytes())
-                bits.append(own)
-                ties.append(zlib.crc32(ids))
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            all_ids = part.column(3).to_pylist()
+            ids = [_numbers(i, w) for i, w in zip(all_ids, part.column(2).to_pylist())]
+            counts = np.array([len(i) for i in ids], np.int64)
+            offsets, bits, ends = code.encode_all(np.concatenate(ids), counts)
+            bounds = np.concatenate([[0], ends]).tolist()
+            # checkpoints of each document as steps, without the first
+            runs = -(-counts // STRIDE)
+            first = np.cumsum(runs) - runs
+            steps = np.delete(np.diff(offsets, prepend=0), first).astype("<u2").tobytes()
+            cuts = (2 * np.concatenate([[0], np.cumsum(runs - 1)])).tolist()
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(ties, pa.int64()), part.column(1), pa.array(steps, pa.binary()), pa.array(bits, pa.binary())],
+                [part.column(0), pa.array([zlib.crc32(i) for i in all_ids], pa.int64()), part.column(1),
+                 pa.array([steps[x:y] for x, y in zip(cuts, cuts[1:])], pa.binary()),
+                 pa.array([bits[x:y] for x, y in zip(bounds, bounds[1:])], pa.binary())],
                 names=["doc_id", "tie", "n_tokens", "steps", "bits"])
 
 
@@ -399,10 +418,11 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield block()
 
 
-def write_ids(tokens: DataFrame, path: str, limit: int = MAX_BITS) -> None:
-    """Code and blocks of `tokens` (see `tokenize`; a written table, it is read three times) under `path`.
+def write_ids(tokens: DataFrame, path: str, scratch: Scratch, limit: int = MAX_BITS) -> None:
+    """Code and blocks of `tokens` (see `tokenize`; the table "ids" of `scratch`, which is dropped on the way) under `path`.
 
-    The code is made on the driver from at most one count per id of the vocabulary."""
+    The code is made on the driver from at most one count per id of the vocabulary. Coded documents are written before
+    they are put in order, because the bounds of the slices take a pass of their own."""
     spark = tokens.sparkSession
     counts = count_ids(tokens).toArrow()
     ids, n = counts.column("id").to_numpy(), counts.column("n").to_numpy()
@@ -415,7 +435,9 @@ def write_ids(tokens: DataFrame, path: str, limit: int = MAX_BITS) -> None:
     slices = max(1, -(-int(by_id.sum()) // SLICE_IDS))
     if slices > 1:
         slices = max(slices, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ordered = _coded(tokens, packed).repartitionByRange(slices, "doc_id", "tie").sortWithinPartitions("doc_id", "tie", F.md5("bits"))
+    coded = scratch.write(_coded(tokens, packed), "coded")
+    scratch.drop("ids")
+    ordered = coded.repartitionByRange(slices, "doc_id", "tie").sortWithinPartitions("doc_id", "tie", F.md5("bits"))
     blocks = ordered.drop("tie").mapInArrow(_blocks, "block binary")
     blocks.select(F.col("block").cast("string").alias("value")).write.options(**text).option(
         "maxRecordsPerFile", FILE_BLOCKS).text(f"{path}/blocks")
@@ -484,8 +506,8 @@ def token_files(documents: DataFrame, tokenizer_path: str) -> DataFrame:
     spark = documents.sparkSession
     scratch = Scratch(spark, "tokens")
     tokens = scratch.write(tokenize(documents, tokenizer_path), "ids")
-    write_ids(tokens, f"{scratch.folder}/files")
-    scratch.drop("ids")
+    write_ids(tokens, f"{scratch.folder}/files", scratch)
+    scratch.drop("coded")
     scratch.release()
     read = scratch.write(read_documents(spark, f"{scratch.folder}/files", ids=False), "read")
     return with_start(read).select("doc_id", "start", "n_tokens", "ids_crc32")

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from dealgauge.llm import token_files as tf
+from dealgauge.llm.scratch import Scratch
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -55,6 +56,8 @@ def test_blocks_stand_alone_and_read_from_checkpoints():
         named.append((k if k != 3 else None, len(ids), len(own)))
         bits.append(own)
         steps.append(np.diff(offsets).astype("<u2").tobytes())
+    together = code.encode_all(np.concatenate(documents[1:]), np.array([len(d) for d in documents[1:]]))
+    assert together[1] == b"".join(bits) and together[2].tolist() == np.cumsum([len(b) for b in bits[1:]]).tolist()
     # a document without ids has no checkpoint
     data = b"before" + tf.build_block(2, 77, named[1:], bits[1:], steps[1:])
     block = tf.Block(data, 6)
@@ -108,8 +111,8 @@ def test_files_against_the_tokenizer(spark, docs, path, monkeypatch):
 
 def test_repeated_rows_and_ids_come_back(spark, docs, path, tmp_path):
     rows = [(3, "same")] * 4 + [(3, "other")] + [(1, None)]
-    tokens = tf.tokenize(docs([(i, t, None, None) for i, t in rows]), path)
-    tf.write_ids(tokens, str(tmp_path / "out"))
+    scratch, tokens = Scratch(spark, "test"), tf.tokenize(docs([(i, t, None, None) for i, t in rows]), path)
+    tf.write_ids(scratch.write(tokens, "ids"), str(tmp_path / "out"), scratch)
     read = tf.read_documents(spark, str(tmp_path / "out"))
     found = sorted((r.doc_id, np.frombuffer(r.ids, "<u4").tolist(), r.ids_crc32 == zlib.crc32(r.ids)) for r in read.collect())
     own = sorted((r.doc_id, np.frombuffer(r.ids, "<u2").tolist(), True) for r in tokens.collect())
