@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dealgauge.llm import conversation_trie, language_id, lm_score, mixing, near_dedup, neighbours, packing, quality, substring_dedup, suffix_dedup, token_files, warc
+from dealgauge.llm import conversation_trie, language_id, lm_score, mixing, near_dedup, neighbours, packing, quality, spelling, substring_dedup, suffix_dedup, token_files, warc
 from dealgauge.llm.scratch import Scratch, documents
 
 #: Vocabulary of the packing query; a parameter of the operator.
@@ -70,6 +70,10 @@ def op11_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_files(documents(spark, folder), public_tokenizers.path(BYTE_TOKENIZER))
 
 
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, folder))
+
+
 def op13_conversation_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_trie.prefix_trie(documents(spark, folder, "conversations"))
 
@@ -86,6 +90,7 @@ QUERIES = {
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_quality_rules": op10_quality_rules,
     "op11_token_files": op11_token_files,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_conversation_prefix_trie": op13_conversation_prefix_trie,
 }
 
@@ -100,6 +105,33 @@ def _crc32_sql(text: str) -> str:
 
 
 ORACLES: dict[str, str] = {
+    "op12_spelling_variants": f"""
+        WITH RECURSIVE runs AS (
+            SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+            FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents) GROUP BY ALL),
+        hashed AS (SELECT run, n, {_crc32_sql("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run")} AS h FROM runs),
+        words AS (
+            SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+                SELECT n, CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+                FROM hashed) WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+        cut AS (
+            SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+            FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM words)),
+        near AS (
+            SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+            UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+            UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word),
+        best AS (
+            SELECT word, count(*) AS n_near, max(other_n) AS best_n, arg_min(other, (-other_n, other)) AS other FROM near GROUP BY word),
+        formed AS (
+            SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.best_n >= 2 * w.n THEN b.other END AS form,
+                   CASE WHEN b.best_n >= 2 * w.n THEN b.best_n END AS form_n
+            FROM words w LEFT JOIN best b ON b.word = w.word),
+        steps AS (
+            SELECT word, word AS root FROM formed
+            UNION ALL SELECT s.word, f.form FROM steps s JOIN formed f ON f.word = s.root WHERE f.form IS NOT NULL)
+        SELECT f.word, f.form, s.root, f.n, f.n_near, f.form_n
+        FROM formed f JOIN steps s ON s.word = f.word JOIN formed last ON last.word = s.root AND last.form IS NULL""",
     "op13_conversation_prefix_trie": f"""
         WITH own AS (
             SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
