@@ -1,29 +1,30 @@
 """Cox proportional hazards with Efron ties and an L2 penalty on standardised columns.
 
-Each Newton step is one Spark job: weighted sums per cell (categories, day, event), then per day.
-Only the table with one row per distinct day and event flag reaches the driver; durations are
-whole days, so it has a few thousand rows however many leads there are.
+Equal rows (columns, day, event) are counted once and written. Each Newton step sums derivatives over
+risk sets in Spark (see ``risk_sets``); value, gradient and the matrix of second derivatives reach the
+driver, whose size follows from the columns of the model, not from rows or days.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dealgauge.operators import risk_sets
 from dealgauge.operators.ranks import quantiles
+from dealgauge.sources.stages import measured
 
 NUMERIC = ["company_size", "total_activities", "received_campaign"]
 CATEGORICAL = ["lead_source", "industry", "region"]
-DAY, EVENT = "duration_days", "event_converted"
+DAY, EVENT = risk_sets.DAY, risk_sets.EVENT
 
-# A category column with more values than this is no category; the fit refuses it.
-MAX_CATEGORIES = 100
-MAX_DAYS = 200_000
+# The time grid of the median prediction.
+GRID_FIRST, GRID_LAST, GRID_POINTS = 1.0, 6500.0, 500
 
 
 @dataclass(frozen=True)
@@ -46,25 +47,31 @@ class CoxModel:
 
     def log_hazard(self) -> Column:
         """x'beta around the column means, as a plain column expression."""
-        values = _design_columns(self.numeric, self.levels, self.fill)
-        terms = [F.lit(float(b)) * v for b, v in zip(self.beta, values)]
+        terms = [F.lit(float(b)) * v for b, v in zip(self.beta, _numbers(self.numeric, self.fill))]
+        reach = dict(zip(self.columns, self.beta))
+        terms += [_looked_up(c, {v: float(reach[f"{c}_{v}"]) for v in vs}, 0.0) for c, vs in self.levels.items()]
         return sum(terms, F.lit(-float(self.beta @ self.means)))
 
 
+def _looked_up(column: str, values: Mapping[str, object], default: object) -> Column:
+    if not values:
+        return F.lit(default)
+    table = F.create_map(*[F.lit(part) for pair in values.items() for part in pair])
+    return F.coalesce(F.element_at(table, F.col(column).cast("string")), F.lit(default))
+
+
 def category_levels(rows: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted categories without the first one, which is the baseline."""
-    sizes = rows.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    wide = [c for c in columns if sizes[c] > MAX_CATEGORIES]
-    if wide:
-        raise ValueError(f"too many categories: {wide}")
+    """Sorted categories without the first one, which is the baseline. The model has a column for each."""
     found = rows.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in columns]).first()
     return {c: list(found[c])[1:] for c in columns}
 
 
+def _numbers(numeric: Sequence[str], fill: dict[str, float]) -> list[Column]:
+    return [F.coalesce(F.col(c).cast("double"), F.lit(fill[c])) if c in fill else F.col(c).cast("double") for c in numeric]
+
+
 def _design_columns(numeric: Sequence[str], levels: dict[str, list[str]], fill: dict[str, float]) -> list[Column]:
-    columns = [
-        F.coalesce(F.col(c).cast("double"), F.lit(fill[c])) if c in fill else F.col(c).cast("double") for c in numeric
-    ]
+    columns = _numbers(numeric, fill)
     for c, values in levels.items():
         columns += [F.when(F.col(c) == v, 1.0).otherwise(0.0) for v in values]
     return columns
@@ -82,123 +89,6 @@ def design(
     return rows.select(*keep, DAY, EVENT, *[c.alias(n) for c, n in zip(columns, names)])
 
 
-def tie_sums(total: float, dying: float, deaths: int, exact: int = 4096) -> tuple[float, float, float]:
-    """Sums over the Efron steps of log(r), 1/r and 1/r^2 with r = total - dying * l / deaths.
-
-    Long runs are summed exactly where r is smallest and by the midpoint rule with its first
-    correction elsewhere, where neighbouring terms differ by less than one part in ``exact``.
-    """
-    head = max(0, deaths - exact)
-    steps = total - dying * (np.arange(head, deaths) / deaths)
-    log_sum, inverse, square = np.log(steps).sum(), (1 / steps).sum(), (1 / steps**2).sum()
-    if head:
-        h = dying / deaths
-        a, b = total + h / 2, total - h * (head - 0.5)
-        log_sum += (a * math.log(a) - b * math.log(b) - (a - b)) / h + h / 24 * (1 / b - 1 / a)
-        inverse += math.log1p((a - b) / b) / h - h / 24 * (1 / b**2 - 1 / a**2)
-        square += (1 / b - 1 / a) / h - h / 12 * (1 / b**3 - 1 / a**3)
-    return float(log_sum), float(inverse), float(square)
-
-
-class _DayTable:
-    """Per-day weighted sums at one beta, brought to the driver.
-
-    The rows are summed once per cell (categories, day, event). Grouping sets over the cells then
-    give the sums per day alone, per day and category, and per day and pair of categories: all
-    entries of the first and second moments, with ten sums per row instead of one per matrix entry.
-    """
-
-    def __init__(self, rows: DataFrame, numeric: Sequence[str], levels: dict[str, list[str]], beta: np.ndarray):
-        q = len(numeric)
-        factors = list(levels)
-        place = {(c, v): q + k for k, (c, v) in enumerate((c, v) for c, vs in levels.items() for v in vs)}
-        p = q + len(place)
-        x = [F.col(c) for c in numeric]
-        eta = sum((F.lit(float(b)) * v for b, v in zip(beta[:q], x)), F.lit(0.0))
-        for c, values in levels.items():
-            offset = F.lit(0.0)
-            for value in values:
-                offset = F.when(F.col(c) == value, float(beta[place[c, value]])).otherwise(offset)
-            eta = eta + offset
-        weighted = rows.withColumn("w", F.exp(eta))
-        pairs = [(i, j) for i in range(q) for j in range(i, q)]
-        first = [F.sum("w").alias("w")]
-        first += [F.sum(F.col("w") * x[i]).alias(f"w{i}") for i in range(q)]
-        first += [F.sum(F.col("w") * x[i] * x[j]).alias(f"w{i}_{j}") for i, j in pairs]
-        cells = weighted.groupBy(*factors, DAY, EVENT).agg(F.count(F.lit(1)).alias("n"), *first)
-        measures = ["n", "w", *[f"w{i}" for i in range(q)], *[f"w{i}_{j}" for i, j in pairs]]
-        sets = [[], *[[c] for c in factors], *[[a, b] for k, a in enumerate(factors) for b in factors[k + 1:]]]
-        table = cells.groupingSets([[DAY, EVENT, *s] for s in sets], DAY, EVENT, *factors).agg(
-            *[F.sum(m).alias(m) for m in measures]).toArrow()
-        # Rolled-up categories are null; missing ones were filled before.
-        day = table.column(DAY).to_numpy()
-        self.days = np.unique(day)
-        where = np.searchsorted(self.days, day)
-        is_event = table.column(EVENT).to_numpy() == 1
-        value = {m: table.column(m).to_numpy().astype(float) for m in measures}
-        column = {c: self._places(table.column(c), c, place) for c in factors}
-        self.n, self.deaths = np.zeros(len(self.days)), np.zeros(len(self.days))
-        s0, s1, s2 = (np.zeros((2, len(self.days), *shape)) for shape in ((), (p,), (p, p)))
-
-        def add(target: np.ndarray, mask: np.ndarray, index: tuple, amounts: np.ndarray) -> None:
-            for part, rows_of in ((0, mask), (1, mask & is_event)):
-                np.add.at(target[part], (where[rows_of], *[i[rows_of] if np.ndim(i) else i for i in index]), amounts[rows_of])
-
-        for s in sets:
-            mask = np.ones(len(day), bool)
-            for c in factors:
-                mask &= (column[c] != -1) == (c in s)
-            if not s:
-                np.add.at(self.n, where[mask], value["n"][mask])
-                np.add.at(self.deaths, where[mask & is_event], value["n"][mask & is_event])
-                add(s0, mask, (), value["w"])
-                for i in range(q):
-                    add(s1, mask, (i,), value[f"w{i}"])
-                for i, j in pairs:
-                    add(s2, mask, (i, j), value[f"w{i}_{j}"])
-            elif len(s) == 1:
-                k = column[s[0]]
-                mask &= k >= 0
-                add(s1, mask, (k,), value["w"])
-                add(s2, mask, (k, k), value["w"])
-                for i in range(q):
-                    add(s2, mask, (i, k), value[f"w{i}"])
-            else:
-                a, b = column[s[0]], column[s[1]]
-                mask &= (a >= 0) & (b >= 0)
-                add(s2, mask, (a, b), value["w"])
-        lower = np.tril_indices(p, -1)
-        for part in (0, 1):
-            s2[part][:, lower[0], lower[1]] = s2[part][:, lower[1], lower[0]]
-        self.risk0, self.risk1, self.risk2 = (np.cumsum(s[0][::-1], axis=0)[::-1] for s in (s0, s1, s2))
-        self.dying0, self.dying1, self.dying2 = s0[1], s1[1], s2[1]
-
-    @staticmethod
-    def _places(values, factor: str, place: dict) -> np.ndarray:
-        """Design column of each category; -1 for rolled up, -2 for the baseline or missing."""
-        coded = values.combine_chunks().dictionary_encode()
-        lookup = np.array([place.get((factor, v.as_py()), -2) for v in coded.dictionary] + [-1])
-        return lookup[coded.indices.fill_null(len(lookup) - 1).to_numpy(zero_copy_only=False)]
-
-    def derivatives(self, event_sum: np.ndarray, beta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        """Log partial likelihood, its gradient and its Hessian (without penalty)."""
-        value, gradient = float(event_sum @ beta), event_sum.astype(float).copy()
-        hessian = np.zeros((len(beta), len(beta)))
-        for t in np.flatnonzero(self.deaths > 0):
-            d, s, r = int(self.deaths[t]), self.risk0[t], self.dying0[t]
-            logs, inverse, square = tie_sums(s, r, d)
-            ratio = self.dying1[t] / r
-            rest = self.risk1[t] - s * ratio
-            value -= logs
-            gradient -= d * ratio + rest * inverse
-            ratio2 = self.dying2[t] / r
-            second = d * ratio2 + (self.risk2[t] - s * ratio2) * inverse
-            cross = np.outer(ratio, rest)
-            outer = d * np.outer(ratio, ratio) + (cross + cross.T) * inverse + np.outer(rest, rest) * square
-            hessian -= second - outer
-        return value, gradient, hessian
-
-
 def fit(
     rows: DataFrame, numeric: Sequence[str] = tuple(NUMERIC), categorical: Sequence[str] = tuple(CATEGORICAL),
     penalty: float = 0.01, tolerance: float = 1e-8, max_steps: int = 30,
@@ -209,46 +99,35 @@ def fit(
     fill = {}
     if "company_size" in numeric:
         fill["company_size"] = quantiles(rows, "company_size", {"m": 0.5}).first()["m"]
-    names = [*numeric, *[f"{c}_{v}" for c, vs in levels.items() for v in vs]]
-    columns = dict(zip(names, _design_columns(numeric, levels, fill)))
-    stats = rows.agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct(DAY).alias("days"),
-        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns.values())],
-        *[F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(columns.values())],
-        *[F.sum(F.when(F.col(EVENT) == 1, c).otherwise(0.0)).alias(f"e{i}") for i, c in enumerate(columns.values())],
-        F.sum(EVENT).alias("events"),
-    ).first()
-    if stats["days"] > MAX_DAYS:
-        raise ValueError("durations must be whole days")
-    n, p, q = stats["n"], len(names), len(numeric)
-    means = np.array([stats[f"m{i}"] for i in range(p)])
-    sds = np.array([stats[f"s{i}"] or 1.0 for i in range(p)])
-    event_sum = (np.array([stats[f"e{i}"] for i in range(p)]) - stats["events"] * means) / sds
-    # The numeric columns are standardised in Spark, the 0/1 columns on the summed tables.
-    shift, scale = np.where(np.arange(p) < q, 0.0, means), np.where(np.arange(p) < q, 1.0, sds)
+    q, p = len(numeric), len(numeric) + sum(map(len, levels.values()))
+    n, events, means, sds, event_sum = _column_stats(rows, numeric, levels, fill)
+    # The numeric columns are standardised in Spark, the 0/1 columns on the sums.
+    scale = np.where(np.arange(p) < q, 1.0, sds)
+    centres = np.where(np.arange(p) < q, 0.0, means)
+    at = np.cumsum([q, *map(len, levels.values())])
     prepared = rows.select(
-        *[F.coalesce(c, F.lit("")).alias(c) for c in categorical], DAY, F.col(EVENT).cast("int").alias(EVENT),
-        *[((columns[c] - float(means[i])) / float(sds[i])).alias(c) for i, c in enumerate(numeric)])
+        F.col(DAY).cast("double").alias(DAY), F.col(EVENT).cast("int").alias(EVENT),
+        *[_looked_up(c, {v: int(at[k]) + i for i, v in enumerate(vs)}, -1).alias(f"f{k}") for k, (c, vs) in enumerate(levels.items())],
+        *[((c - float(means[i])) / float(sds[i])).alias(f"x{i}") for i, c in enumerate(_numbers(numeric, fill))])
+    prepared = measured(risk_sets.sliced(measured(
+        prepared.groupBy(*prepared.columns).agg(F.count(F.lit(1)).alias(risk_sets.ROWS)))))
 
     def evaluate(beta: np.ndarray):
-        table = _DayTable(prepared, numeric, levels, beta / scale)
-        for s0, s1, s2 in ((table.risk0, "risk1", "risk2"), (table.dying0, "dying1", "dying2")):
-            raw1, raw2 = getattr(table, s1), getattr(table, s2)
-            moved = raw2 - raw1[:, :, None] * shift - raw1[:, None, :] * shift[:, None] + np.outer(shift, shift) * s0[:, None, None]
-            setattr(table, s1, (raw1 - shift * s0[:, None]) / scale)
-            setattr(table, s2, moved / np.outer(scale, scale))
-        # exp(-shift'beta) was left out of every weight; it cancels but for the constant here.
-        value, gradient, hessian = table.derivatives(event_sum, beta)
-        value += float(stats["events"]) * float((beta / scale) @ shift)
-        value -= n * penalty / 2 * float(beta @ beta)
-        return table, value, gradient - n * penalty * beta, hessian - n * penalty * np.eye(p)
+        b = beta / scale
+        centre = float(b @ centres)
+        scanned = risk_sets.scan_risk_sets(prepared, b, centre, len(levels), q)
+        pairs = risk_sets.second_sums(prepared, scanned, b, centre, len(levels), q).toArrow()
+        value, gradient, hessian = risk_sets.derivatives(pairs, event_sum, b)
+        # the centre was taken out of every weight
+        value -= events * centre + n * penalty / 2 * float(beta @ beta)
+        return scanned, value, gradient / scale - n * penalty * beta, hessian / np.outer(scale, scale) - n * penalty * np.eye(p)
 
     beta = np.zeros(p)
-    table, value, gradient, hessian = evaluate(beta)
+    scanned, value, gradient, hessian = evaluate(beta)
     for step in range(1, max_steps + 1):
         move = np.linalg.solve(-hessian, gradient)
         for _ in range(20):
-            table, candidate, gradient, hessian = evaluate(beta + move)
+            scanned, candidate, gradient, hessian = evaluate(beta + move)
             if candidate >= value - 1e-9 * abs(value):
                 break
             move = move / 2
@@ -256,12 +135,50 @@ def fit(
         if np.max(np.abs(move)) < tolerance:
             break
     se = np.sqrt(np.diag(np.linalg.inv(-hessian))) / sds
-    # Breslow: deaths over the summed hazards, with hazards taken around the column means.
-    centre = math.exp(-float((beta / scale) @ shift))
-    hazard = np.divide(table.deaths, table.risk0 * centre, out=np.zeros_like(table.deaths), where=table.risk0 > 0)
+    days, hazard = _hazard_around_grid(scanned)
     return CoxModel(
         numeric, levels, fill, means, sds, beta / sds, se,
-        value + n * penalty / 2 * float(beta @ beta), step, table.days, np.cumsum(hazard))
+        value + n * penalty / 2 * float(beta @ beta), step, days, hazard)
+
+
+def _column_stats(
+    rows: DataFrame, numeric: Sequence[str], levels: dict[str, list[str]], fill: dict[str, float],
+) -> tuple[int, int, np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, events, and per design column its mean, sample deviation and sum over the events (numbers standardised)."""
+    numbers = _numbers(numeric, fill)
+    died = F.col(EVENT) == 1
+    told = rows.agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.when(died, 1).otherwise(0)).alias("events"),
+        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(numbers)],
+        *[F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(numbers)],
+        *[F.sum(F.when(died, c).otherwise(0.0)).alias(f"e{i}") for i, c in enumerate(numbers)],
+    ).first()
+    n, events = told["n"], told["events"]
+    means = [told[f"m{i}"] for i in range(len(numbers))]
+    sds = [told[f"s{i}"] or 1.0 for i in range(len(numbers))]
+    event_sum = [(told[f"e{i}"] - events * m) / s for i, (m, s) in enumerate(zip(means, sds))]
+    for c, values in levels.items():
+        by_level = {r[c]: r for r in rows.groupBy(c).agg(
+            F.count(F.lit(1)).alias("rows"), F.sum(F.when(died, 1).otherwise(0)).alias("events")).collect()}
+        for v in values:
+            mean = by_level[v]["rows"] / n
+            means.append(mean)
+            sds.append(math.sqrt(mean * (1 - mean) * n / (n - 1)) or 1.0)
+            event_sum.append(float(by_level[v]["events"]))
+    return n, events, np.array(means), np.array(sds), np.array(event_sum)
+
+
+def _hazard_around_grid(scanned: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Cumulative Breslow hazard on the last day up to each grid day and the first from it on. Between two
+    days it is read off the line between them, so these days are all that the grid needs."""
+    running = risk_sets.running_by_day(scanned, "hazard")
+    width = (GRID_LAST - GRID_FIRST) / (GRID_POINTS - 1)
+    # days between two grid days share a place; one on a grid day has it to itself
+    place = F.greatest(F.least((F.col(DAY) - GRID_FIRST) / width, F.lit(float(GRID_POINTS))), F.lit(-1.0))
+    around = running.groupBy(F.floor(place * 2).alias("place")).agg(
+        F.min(F.struct(DAY, "running")).alias("first"), F.max(F.struct(DAY, "running")).alias("last")).collect()
+    points = sorted({tuple(r[end]) for r in around for end in ("first", "last")})
+    return np.array([d for d, _ in points]), np.array([h for _, h in points])
 
 
 def hazard_ratios(rows: DataFrame, model: CoxModel) -> DataFrame:
@@ -278,8 +195,6 @@ def hazard_ratios(rows: DataFrame, model: CoxModel) -> DataFrame:
     ).orderBy(F.desc("hazard_ratio"))
 
 
-# The time grid of the median prediction.
-GRID_FIRST, GRID_LAST, GRID_POINTS = 1.0, 6500.0, 500
 _BUCKETS = 4096
 
 

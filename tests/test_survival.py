@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from dealgauge.operators import concordance, cox, kaplan_meier
+from dealgauge.operators import concordance, cox, kaplan_meier, risk_sets
 
 
 def test_kaplan_meier_by_hand(spark):
@@ -123,18 +123,80 @@ def test_hazard_report(spark, sample, fitted):
     assert {r["label"] for r in report} >= {"Lead source: B", "Received campaign"} and all(r["error_minus"] >= 0 for r in report)
 
 
-@pytest.mark.parametrize("deaths", [10, 5000, 30000])
-def test_tie_sums(deaths):
-    for dying in (deaths * 1.2, deaths * 3.0):
-        steps = deaths * 3.0 - dying * np.arange(deaths) / deaths
-        expected = np.log(steps).sum(), (1 / steps).sum(), (1 / steps**2).sum()
-        assert np.allclose(cox.tie_sums(deaths * 3.0, dying, deaths), expected, rtol=1e-12)
+def test_tie_sums_step_by_step(monkeypatch):
+    monkeypatch.setattr(risk_sets, "SCAN_DEATHS", 700)
+    deaths = np.array([1, 10, 3, 5000, 1])
+    total, dying = deaths * 3.0, deaths * np.array([1.2, 3.0, 0.5, 2.9, 3.0])
+    got = risk_sets.tie_sums(total, dying, deaths)
+    for k, d in enumerate(deaths):
+        f = np.arange(d) / d
+        r = total[k] - dying[k] * f
+        expected = np.log(r).sum(), (1 / r).sum(), (f / r).sum(), (1 / r**2).sum(), (f / r**2).sum(), (f**2 / r**2).sum()
+        assert np.allclose(got[:, k], expected, rtol=1e-12)
 
 
-def test_too_many_categories_are_refused(spark):
-    rows = spark.range(5000).select(F.col("id").cast("string").alias("lead_source"))
-    with pytest.raises(ValueError):
-        cox.category_levels(rows, ["lead_source"])
+@pytest.fixture(scope="module")
+def wide(spark, tmp_path_factory):
+    """150 categories and days far apart, many with ties, one with a third of all rows."""
+    rng = np.random.default_rng(8)
+    n, kinds = 1200, 150
+    kind = np.concatenate([np.arange(kinds), rng.integers(0, kinds, n - kinds)])
+    days = np.where(rng.random(n) < 0.33, 150_000, rng.choice(np.sort(rng.choice(300_000, 500, replace=False)) + 1, n)).astype(float)
+    events, size = (rng.random(n) < 0.6).astype(int), rng.normal(50, 10, n)
+    path = str(tmp_path_factory.mktemp("wide") / "rows")
+    spark.createDataFrame(
+        [(str(i), float(days[i]), int(events[i]), f"c{kind[i]:03d}", float(size[i])) for i in range(n)],
+        "lead_id string, duration_days double, event_converted int, lead_source string, company_size double").repartition(7).write.parquet(path)
+    x = np.column_stack([size, *[(kind == k).astype(float) for k in range(1, kinds)]])
+    return spark.read.parquet(path), x, days, events
+
+
+def risk_set_newton(x, days, events, penalty=0.01):
+    """As brute_force, with the sums of the risk set carried from the last day to the first."""
+    n, p = x.shape
+    sds = x.std(0, ddof=1)
+    z, beta = (x - x.mean(0)) / sds, np.zeros(x.shape[1])
+    for _ in range(50):
+        theta, gradient, hessian = np.exp(z @ beta), -n * penalty * beta, -n * penalty * np.eye(p)
+        r0, r1, r2 = 0.0, np.zeros(p), np.zeros((p, p))
+        for t in np.unique(days)[::-1]:
+            here, dying = days == t, (days == t) & (events == 1)
+            r0, r1, r2 = r0 + theta[here].sum(), r1 + theta[here] @ z[here], r2 + (z[here] * theta[here, None]).T @ z[here]
+            d0, d1, d2 = theta[dying].sum(), theta[dying] @ z[dying], (z[dying] * theta[dying, None]).T @ z[dying]
+            gradient = gradient + z[dying].sum(0)
+            for step in np.arange(dying.sum()) / max(dying.sum(), 1):
+                s0, s1 = r0 - step * d0, r1 - step * d1
+                gradient = gradient - s1 / s0
+                hessian = hessian - (r2 - step * d2) / s0 + np.outer(s1, s1) / s0**2
+        move = np.linalg.solve(-hessian, gradient)
+        beta = beta + move
+        if np.abs(move).max() < 1e-11:
+            break
+    return beta / sds, np.sqrt(np.diag(np.linalg.inv(-hessian))) / sds
+
+
+def test_many_categories_days_and_slices(spark, wide, monkeypatch):
+    monkeypatch.setattr(risk_sets, "SLICE_DAYS", 60)
+    monkeypatch.setattr(risk_sets, "SCAN_DAYS", 7)
+    rows, x, days, events = wide
+    collected, inner = [], risk_sets.derivatives
+    monkeypatch.setattr(risk_sets, "derivatives", lambda pairs, *rest: collected.append(pairs.num_rows) or inner(pairs, *rest))
+    model = cox.fit(rows, ["company_size"], ["lead_source"])
+    beta, se = risk_set_newton(x, days, events)
+    assert np.allclose(model.beta, beta, rtol=1e-6, atol=1e-8) and np.allclose(model.se, se, rtol=1e-6)
+    # what a step brings to the driver follows from the columns alone: one number per pair
+    p = x.shape[1]
+    assert set(collected) <= set(range(p, (p + 1) * (p + 2) // 2 + 1)) and len(model.days) <= 2 * 1003
+    score = rows.select("lead_id", model.log_hazard().alias("v")).collect()
+    expected = (x - x.mean(0)) @ beta
+    assert np.allclose([r["v"] for r in score], [expected[int(r["lead_id"])] for r in score], atol=1e-6)
+
+
+def test_one_slice_and_many_give_one_fit(sample, fitted, monkeypatch):
+    monkeypatch.setattr(risk_sets, "SLICE_DAYS", 3)
+    again = cox.fit(sample[0], ["company_size", "received_campaign"], ["lead_source", "industry"])
+    assert np.allclose(again.beta, fitted.beta, rtol=1e-9) and abs(again.log_likelihood - fitted.log_likelihood) < 1e-7
+    assert np.allclose(again.cumulative_hazard, fitted.cumulative_hazard)
 
 
 def test_concordance_equals_all_pairs(sample):
