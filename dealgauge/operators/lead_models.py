@@ -8,13 +8,14 @@ from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dealgauge.operators.boosting import BoostSettings, Fit, fit_boosters
 from dealgauge.operators.ranks import quantiles
 from dealgauge.operators.scoring import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET, confusion_metrics
 from dealgauge.operators.uplift import ARMS, with_uplift
@@ -73,21 +74,27 @@ def preprocessing(numeric: Sequence[str], categorical: Sequence[str]) -> list:
     ]
 
 
-def stratified_split(
-    rows: DataFrame, part: float, seed: int, target: str = TARGET,
-) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows with the same class shares, repeatable for the same ids and seed.
+def with_held_out(rows: DataFrame, part: float, seed: int, strata: Sequence[str] = (TARGET,)) -> DataFrame:
+    """Adds ``held_out``: a part of each stratum, repeatable for the same ids and seed.
 
-    Each id hashes to a number in [0, 1). The cut of each class is the quantile of its numbers,
+    Each id hashes to a number in [0, 1). The cut of each stratum is the quantile of its numbers,
     which makes the counts exact at every size.
     """
     spread = F.pmod(F.xxhash64("lead_id", F.lit(seed)), F.lit(1 << 53)) / F.lit(float(1 << 53))
     drawn = rows.withColumn("draw", spread)
-    cuts = measured(quantiles(drawn, "draw", {"cut": part}, by=[target]))
-    marked = drawn.join(cuts.withColumnRenamed(target, "class"), F.col(target) == F.col("class")).drop("class")
-    train = marked.filter("draw > cut").drop("draw", "cut")
-    test = marked.filter("draw <= cut").drop("draw", "cut")
-    return train, test
+    cuts = measured(quantiles(drawn, "draw", {"cut": part}, by=list(strata)))
+    cuts = cuts.withColumnsRenamed({c: f"of_{c}" for c in strata})
+    same = [F.col(c) == F.col(f"of_{c}") for c in strata]
+    return drawn.join(cuts, same).withColumn("held_out", F.col("draw") <= F.col("cut")).drop(
+        "draw", "cut", *[f"of_{c}" for c in strata])
+
+
+def stratified_split(
+    rows: DataFrame, part: float, seed: int, target: str = TARGET,
+) -> tuple[DataFrame, DataFrame]:
+    """Train and test rows with the same class shares."""
+    marked = with_held_out(rows, part, seed, [target])
+    return marked.filter("not held_out").drop("held_out"), marked.filter("held_out").drop("held_out")
 
 
 def _weighted(rows: DataFrame) -> tuple[DataFrame, int]:
@@ -126,9 +133,6 @@ def _classifiers(settings: ModelSettings, n: int) -> dict[str, object]:
         "Random Forest": RandomForestClassifier(
             numTrees=settings.forest_trees, maxDepth=settings.forest_depth, featureSubsetStrategy="sqrt",
             seed=settings.seed, weightCol="balanced_weight", **common),
-        "Boosted Trees": GBTClassifier(
-            maxIter=settings.boost_rounds, maxDepth=settings.boost_depth, stepSize=settings.step,
-            seed=settings.seed, weightCol="boosting_weight", **common),
     }
 
 
@@ -146,13 +150,20 @@ def train_scoring(
     ready = prepared.transform(train).select("features", TARGET, "balanced_weight", "boosting_weight")
     # Bagging is seeded per partition: their number follows from the rows, not from the cores.
     ready = ready.repartition(n // ROWS_PER_TASK + 1).persist()
-    held = prepared.transform(test).select("lead_id", "features", TARGET).persist()
+    held = prepared.transform(test).select("lead_id", "features", TARGET, *numeric, *categorical).persist()
+
+    def boost() -> PipelineModel:
+        # trees take the columns as they are: missing values and bins are a matter of their fit
+        whole = [Fit("scoring", F.lit(True), F.col("boosting_weight"))]
+        sizes = BoostSettings(settings.boost_rounds, settings.boost_depth, settings.step)
+        return PipelineModel(stages=fit_boosters(train, whole, numeric, categorical, TARGET, sizes))
+
     rows, best, reports = [], None, {}
     try:
         learners = _classifiers(settings, n)
-        models = fit_together(spark, [lambda learner=learner: learner.fit(ready) for learner in learners.values()])
-        for name, model in zip(learners, models):
-            fitted = PipelineModel(stages=[*prepared.stages, model])
+        fits = [lambda learner=learner: PipelineModel(stages=[*prepared.stages, learner.fit(ready)]) for learner in learners.values()]
+        models = fit_together(spark, [*fits, boost])
+        for name, fitted in zip([*learners, "Boosted Trees"], models):
             scored = _with_probability(PipelineModel(stages=fitted.stages[-1:]), held, "conversion_probability")
             counts = confusion_metrics(scored).first()
             area = auc(scored)
@@ -212,26 +223,22 @@ def train_two_arms(
     cohort: DataFrame, settings: ModelSettings = ModelSettings(),
     numeric: Sequence[str] = tuple(UPLIFT_NUMERIC), categorical: Sequence[str] = tuple(UPLIFT_CATEGORICAL),
 ) -> UpliftRun:
-    """One boosted model per arm, each with its own preprocessing: AUC on held-out rows, then a full refit."""
+    """One boosted model per arm, each with its own preprocessing: AUC on held-out rows, then a full refit.
+
+    The trial and the full fit of both arms are four fits of one pass."""
     shared_dir(cohort.sparkSession)
-    numbers = cohort.select(
+    numbers = cohort.filter(F.col("treatment_group").isin(*ARMS)).select(
         "lead_id", "treatment_group", *categorical, F.col(TARGET).cast("int").alias(TARGET),
         *[F.col(c).cast("double").alias(c) for c in numeric])
-
-    def fit(rows: DataFrame) -> PipelineModel:
-        boosted = GBTClassifier(
-            featuresCol="features", labelCol=TARGET, maxIter=settings.arm_rounds, maxDepth=settings.arm_depth,
-            stepSize=settings.step, seed=settings.seed)
-        return Pipeline(stages=[*preprocessing(numeric, categorical), boosted]).fit(rows)
-
-    whole = {arm: numbers.filter(F.col("treatment_group") == arm) for arm in ARMS}
-    parts = {arm: stratified_split(rows, settings.test_part, settings.seed) for arm, rows in whole.items()}
-    fitted = fit_together(
-        cohort.sparkSession,
-        [lambda arm=arm: fit(parts[arm][0]) for arm in ARMS] + [lambda arm=arm: fit(whole[arm]) for arm in ARMS])
+    marked = measured(with_held_out(numbers, settings.test_part, settings.seed, ["treatment_group", TARGET]))
+    of_arm = {arm: F.col("treatment_group") == arm for arm in ARMS}
+    fits = [Fit(f"{arm} trial", of_arm[arm] & ~F.col("held_out"), F.lit(1.0)) for arm in ARMS]
+    fits += [Fit(arm, of_arm[arm], F.lit(1.0)) for arm in ARMS]
+    fitted = [PipelineModel(stages=[m]) for m in fit_boosters(
+        marked, fits, numeric, categorical, TARGET, BoostSettings(settings.arm_rounds, settings.arm_depth, settings.step))]
     rows = []
     for arm, trial in zip(ARMS, fitted):
-        scored = _with_probability(trial, parts[arm][1], "conversion_probability")
+        scored = _with_probability(trial, marked.filter(of_arm[arm] & F.col("held_out")), "conversion_probability")
         rows.append((arm, float(auc(scored)), scored.count()))
     metrics = cohort.sparkSession.createDataFrame(rows, "treatment_group string, auc double, holdout long")
     return UpliftRun(dict(zip(ARMS, fitted[len(ARMS):])), metrics)

@@ -50,13 +50,16 @@ def segment_rate_scores(cohort: DataFrame, prior_weight: int = 10) -> DataFrame:
     rated = measured(
         cells.select("lead_source", "industry", smoothed("t").alias("p_treatment"), smoothed("c").alias("p_control")))
     same_group = cohort["lead_source"].eqNullSafe(rated["lead_source"]) & cohort["industry"].eqNullSafe(rated["industry"])
-    return with_uplift(cohort.join(rated, same_group, "left").drop(rated["lead_source"], rated["industry"]))
+    scores = with_uplift(cohort.join(rated, same_group, "left").drop(rated["lead_source"], rated["industry"]))
+    # both rates have six decimals, and so has their difference
+    return scores.withColumn("uplift", F.round("uplift", 6))
 
 
 def with_uplift(scores: DataFrame) -> DataFrame:
+    """The difference is not rounded: segments are cut by its value, and only what is shown is rounded."""
     return scores.select(
         "lead_id", "treatment_group", "event_converted", "industry", "lead_source", "region",
-        "p_treatment", "p_control", F.round(F.col("p_treatment") - F.col("p_control"), 6).alias("uplift"))
+        "p_treatment", "p_control", (F.col("p_treatment") - F.col("p_control")).alias("uplift"))
 
 
 def with_segment(scores: DataFrame, threshold: float = 0.05) -> DataFrame:
