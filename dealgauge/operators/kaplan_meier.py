@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from dealgauge.sources.stages import measured
+
 
 def cohort(rows: DataFrame) -> DataFrame:
     """Size, events, event rate and median duration. Durations are whole days: few distinct values."""
@@ -47,6 +51,17 @@ def medians(curves: DataFrame, segment: str) -> DataFrame:
     )
 
 
+def constant_hazard_medians(rows: DataFrame, segments: list[str]) -> DataFrame:
+    """Median of each lead under its segment's constant hazard, ln 2 * days at risk / events; null without events.
+
+    Unlike the Kaplan-Meier median it is there for segments of which less than half have converted."""
+    days, events = F.sum("duration_days"), F.sum("event_converted")
+    rates = measured(rows.groupBy(*segments).agg(
+        F.round(F.when(events > 0, math.log(2) * days / events), 6).alias("predicted_median_days")))
+    same = [rows[c].eqNullSafe(rates[c]) for c in segments]
+    return rows.join(rates, same).select(rows["lead_id"], *[rows[c] for c in segments], "predicted_median_days")
+
+
 def by_segment(rows: DataFrame, segment: str, n: int) -> DataFrame:
     """Medians of the n largest segments. The curve has one row per segment and day: filter that."""
     largest = largest_segments(rows, segment, n).select(segment)

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealgauge.operators.boosting import BoostSettings, Fit, fit_boosters
+from dealgauge.operators.logistic import fit_logistic
 from dealgauge.operators.ranks import quantiles
-from dealgauge.operators.scoring import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET, confusion_metrics
+from dealgauge.operators.scoring import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET, class_report, confusion_metrics
 from dealgauge.operators.uplift import ARMS, with_uplift
 from dealgauge.session import shared_dir
 from dealgauge.sources.stages import measured
@@ -124,18 +125,6 @@ class ScoringRun:
     report: DataFrame
 
 
-def _classifiers(settings: ModelSettings, n: int) -> dict[str, object]:
-    common = {"featuresCol": "features", "labelCol": TARGET}
-    return {
-        "Logistic Regression": LogisticRegression(
-            maxIter=settings.linear_steps, regParam=1.0 / max(n, 1), standardization=False,
-            weightCol="balanced_weight", **common),
-        "Random Forest": RandomForestClassifier(
-            numTrees=settings.forest_trees, maxDepth=settings.forest_depth, featureSubsetStrategy="sqrt",
-            seed=settings.seed, weightCol="balanced_weight", **common),
-    }
-
-
 def train_scoring(
     features: DataFrame, settings: ModelSettings = ModelSettings(),
     numeric: Sequence[str] = tuple(NUMERIC_FEATURES), categorical: Sequence[str] = tuple(CATEGORICAL_FEATURES),
@@ -144,7 +133,7 @@ def train_scoring(
     spark = features.sparkSession
     shared_dir(spark)
     train, test = stratified_split(features, settings.test_part, settings.seed)
-    train, n = _weighted(train)
+    train, n = _weighted(measured(train))
     prepared = Pipeline(stages=preprocessing(numeric, categorical)).fit(train)
     # All learners share the prepared rows; without memory they spill, a lost part is recomputed.
     ready = prepared.transform(train).select("features", TARGET, "balanced_weight", "boosting_weight")
@@ -152,18 +141,27 @@ def train_scoring(
     ready = ready.repartition(n // ROWS_PER_TASK + 1).persist()
     held = prepared.transform(test).select("lead_id", "features", TARGET, *numeric, *categorical).persist()
 
+    def regress() -> PipelineModel:
+        return PipelineModel(stages=[fit_logistic(
+            train, numeric, categorical, TARGET, F.col("balanced_weight"), max_steps=settings.linear_steps)])
+
+    def forest() -> PipelineModel:
+        learner = RandomForestClassifier(
+            featuresCol="features", labelCol=TARGET, numTrees=settings.forest_trees, maxDepth=settings.forest_depth,
+            featureSubsetStrategy="sqrt", seed=settings.seed, weightCol="balanced_weight")
+        return PipelineModel(stages=[*prepared.stages, learner.fit(ready)])
+
     def boost() -> PipelineModel:
         # trees take the columns as they are: missing values and bins are a matter of their fit
         whole = [Fit("scoring", F.lit(True), F.col("boosting_weight"))]
         sizes = BoostSettings(settings.boost_rounds, settings.boost_depth, settings.step)
         return PipelineModel(stages=fit_boosters(train, whole, numeric, categorical, TARGET, sizes))
 
+    learners = {"Logistic Regression": regress, "Random Forest": forest, "Boosted Trees": boost}
     rows, best, reports = [], None, {}
     try:
-        learners = _classifiers(settings, n)
-        fits = [lambda learner=learner: PipelineModel(stages=[*prepared.stages, learner.fit(ready)]) for learner in learners.values()]
-        models = fit_together(spark, [*fits, boost])
-        for name, fitted in zip([*learners, "Boosted Trees"], models):
+        models = fit_together(spark, list(learners.values()))
+        for name, fitted in zip(learners, models):
             scored = _with_probability(PipelineModel(stages=fitted.stages[-1:]), held, "conversion_probability")
             counts = confusion_metrics(scored).first()
             area = auc(scored)
@@ -172,7 +170,7 @@ def train_scoring(
                 "precision": counts["precision"], "recall": counts["recall"],
             }
             rows.append((name, *[float(quality[m]) for m in METRICS]))
-            reports[name] = _class_report(counts)
+            reports[name] = tuple(counts[c] for c in ("tp", "fp", "fn", "tn"))
             if best is None or area > best[1]:
                 best = (name, area, fitted)
     finally:
@@ -180,25 +178,10 @@ def train_scoring(
         held.unpersist()
     schema = "model string, " + ", ".join(f"{m} double" for m in METRICS)
     metrics = spark.createDataFrame(rows, schema).withColumn("selected", F.col("model") == best[0])
-    report = spark.createDataFrame(
-        reports[best[0]], "class int, precision double, recall double, f1 double, support long")
+    report = class_report(spark.createDataFrame([reports[best[0]]], "tp long, fp long, fn long, tn long"))
     return ScoringRun(best[0], best[2], metrics, report)
 
 
-def _class_report(counts) -> list[tuple]:
-    """Precision, recall, F1 and size of each class from the four counts."""
-    def line(label: int, hit: int, wrong: int, missed: int) -> tuple:
-        precision = hit / (hit + wrong) if hit + wrong else 0.0
-        recall = hit / (hit + missed) if hit + missed else 0.0
-        f1 = 2 * hit / (2 * hit + wrong + missed) if hit + wrong + missed else 0.0
-        return label, round(precision, 4), round(recall, 4), round(f1, 4), hit + missed
-
-    return [
-        line(0, counts["tn"], counts["fn"], counts["fp"]),
-        line(1, counts["tp"], counts["fp"], counts["fn"]),
-    ]
-
-
 def score_all(model: PipelineModel, features: DataFrame) -> DataFrame:
     """Conversion probability of every lead, the training rows included."""
     return _with_probability(model, features, "conversion_probability").select(

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dealgauge.functions import nullable_div, right_closed_bins
-from dealgauge.operators.ranks import quantiles
+from dealgauge.operators.ranks import quantiles, running_total
 from dealgauge.sources.stages import measured
 
 NUMERIC_FEATURES = ["total_activities", "company_size", "received_campaign"]
@@ -131,6 +131,50 @@ def confusion_metrics(scored: DataFrame, threshold: float = 0.5, group: Sequence
     )
 
 
+def mann_whitney(scored: DataFrame, score: str = "conversion_probability", target: str = TARGET) -> DataFrame:
+    """Area under the ROC curve as the share of (positive, negative) pairs in order, ties counting one half: the
+    positives' sum of average ranks. Null where a class is absent. Scores are counted before they are ranked."""
+    known = scored.filter(F.col(score).isNotNull() & F.col(target).isNotNull())
+    cells = measured(known.groupBy(F.col(score).alias("score")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.col(target).cast("long")).alias("positives")))
+    placed = running_total(cells, [F.col("score")], "rows")
+    average = F.col("running") - F.col("rows") + (F.col("rows") + 1) / 2
+    sums = placed.agg(
+        F.coalesce(F.sum("positives"), F.lit(0)).alias("positives"), F.coalesce(F.sum(F.col("rows") - F.col("positives")), F.lit(0)).alias("negatives"),
+        F.sum(average * F.col("positives")).alias("ranks"))
+    p, n = F.col("positives"), F.col("negatives")
+    return sums.select("positives", "negatives", F.try_divide(F.col("ranks") - p * (p + 1) / 2, p * n).alias("auc"))
+
+
+def class_report(counts: DataFrame) -> DataFrame:
+    """Precision, recall, F1 and rows of each class, the accuracy, and the plain and the weighted mean over classes.
+
+    ``counts`` has tp, fp, fn, tn; a zero division gives 0."""
+    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
+
+    def rate(num, den):
+        return F.coalesce(nullable_div(num, den), F.lit(0.0))
+
+    def line(name: str, hit: Column, wrong: Column, missed: Column) -> Column:
+        return F.struct(
+            F.lit(name).alias("line"), rate(hit, hit + wrong).alias("precision"), rate(hit, hit + missed).alias("recall"),
+            rate(2 * hit, 2 * hit + wrong + missed).alias("f1"), (hit + missed).alias("support"))
+
+    lines = counts.select(tp, fp, fn, tn, line("0", tn, fn, fp).alias("no"), line("1", tp, fp, fn).alias("yes"))
+    total = F.col("no.support") + F.col("yes.support")
+
+    def mean(name: str, share_no, share_yes) -> Column:
+        return F.struct(F.lit(name).alias("line"), *[
+            (share_no * F.col(f"no.{m}") + share_yes * F.col(f"yes.{m}")).alias(m) for m in ("precision", "recall", "f1")], total.alias("support"))
+
+    right = rate(tp + tn, tp + fp + fn + tn)
+    accuracy = F.struct(F.lit("accuracy").alias("line"), right.alias("precision"), right.alias("recall"), right.alias("f1"), total.alias("support"))
+    macro = mean("macro avg", F.lit(0.5), F.lit(0.5))
+    weighted = mean("weighted avg", rate(F.col("no.support"), total), rate(F.col("yes.support"), total))
+    return lines.select(F.explode(F.array("no", "yes", accuracy, macro, weighted)).alias("l")).select(
+        "l.line", *[F.round(f"l.{m}", 4).alias(m) for m in ("precision", "recall", "f1")], "l.support")
+
+
 def calibration(scored: DataFrame) -> DataFrame:
     """Mean score and real rate in five right-closed score bins; a score of 0 is in none."""
     labels = ["0-20%", "20-40%", "40-60%", "60-80%", "80-100%"]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dealgauge.operators import clv, cox, kaplan_meier, lead_models, quality, scoring, star, uplift
+from dealgauge.operators import clv, cox, kaplan_meier, lead_models, logistic, quality, scoring, star, uplift
 from dealgauge.operators.cleaning import cleaning_report, reject_profile
 from dealgauge.plans import reports
 from dealgauge.plans.workspace import Workspace
@@ -117,6 +117,10 @@ QUERIES: dict[str, Query] = {
     "tier_thresholds": lambda w: scoring.tier_thresholds(w.rule_scores),
     "expected_loss": lambda w: w.rule_outputs.select("lead_id", "expected_loss"),
     "risk_tier_counts": lambda w: scoring.tier_counts(w.rule_outputs, "risk_tier", scoring.RISK_TIERS),
+    "rule_auc": lambda w: scoring.mann_whitney(w.rule_scores),
+    "rule_class_report": lambda w: scoring.class_report(scoring.confusion_metrics(w.rule_scores, threshold=0.2)),
+    "logistic_coefficients": lambda w: logistic.coefficient_table(w.region_model, w.features),
+    "logistic_scores": lambda w: w.features.select("lead_id", w.region_model.positive().alias("conversion_probability")),
     "scoring_metrics": lambda w: w.scoring_run.metrics,
     "class_report": lambda w: w.scoring_run.report,
     "lead_scores": lambda w: stamp(w.model_outputs, model_version=w.scoring_run.best_name),
@@ -131,6 +135,7 @@ QUERIES: dict[str, Query] = {
     "cox_concordance": lambda w: w.cox_concordance,
     "survival_predictions": lambda w: stamp(
         w.survival_predictions.select("lead_id", "predicted_median_days"), survival_model="CoxPH"),
+    "rule_prediction_stats": lambda w: cox.prediction_stats(w.rule_times),
     "survival_prediction_stats": lambda w: cox.prediction_stats(w.survival_predictions),
     # customer value
     "deal_medians": lambda w: clv.deal_medians(w.summary),
@@ -190,6 +195,8 @@ QUERIES: dict[str, Query] = {
     "model_comparison": lambda w: lead_models.model_comparison(w.scoring_run.metrics),
     "km_report": lambda w: kaplan_meier.report(_km(w, "lead_source")),
     "cox_report": lambda w: cox.report(cox.hazard_ratios(w.survival, w.cox_model)),
+    "rule_fastest_leads": lambda w: reports.fastest_leads(w.rule_times, w.summary),
+    "rule_prediction_histogram": lambda w: reports.histogram(w.rule_times, "predicted_median_days", 50, "lead_source"),
     "fastest_leads": lambda w: reports.fastest_leads(w.survival_predictions, w.summary),
     "prediction_histogram": lambda w: reports.histogram(
         w.survival_predictions.join(w.summary.select("lead_id", "lead_source"), "lead_id", "left"),

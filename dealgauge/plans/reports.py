@@ -371,7 +371,8 @@ def conversion_profile(summary: DataFrame) -> DataFrame:
 
 def fastest_leads(predictions: DataFrame, summary: DataFrame, n: int = 10) -> DataFrame:
     """Leads predicted to convert first. The limit comes before the join."""
-    first = predictions.filter("predicted_median_days is not null").orderBy("predicted_median_days", "lead_id").limit(n)
+    known = predictions.select("lead_id", "predicted_median_days").filter("predicted_median_days is not null")
+    first = known.orderBy("predicted_median_days", "lead_id").limit(n)
     details = summary.select("lead_id", "lead_source", "industry", "region", "duration_days", "event_converted")
     return first.join(details, "lead_id", "left").select(
         "lead_id", "lead_source", "industry", "region", "predicted_median_days",

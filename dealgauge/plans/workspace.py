@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealgauge.operators import cleaning, clv, concordance, cox, kaplan_meier, lead_models, scoring, star, uplift
+from dealgauge.operators import cleaning, clv, concordance, cox, kaplan_meier, lead_models, logistic, scoring, star, uplift
 from dealgauge.operators.lead_models import ModelSettings
 from dealgauge.plans import reports
 from dealgauge.sources.order_book import OrderBook
@@ -160,6 +160,11 @@ class Workspace:
             measured(medians.select("lead_source", F.col("median_days").alias("predicted_median_days"))),
             "lead_source", "left")
 
+    @cached_property
+    def rule_times(self) -> DataFrame:
+        """Predicted days to conversion by a rule that gives every lead a value."""
+        return self.stages.table("rule_times", lambda: kaplan_meier.constant_hazard_medians(self.survival, ["lead_source", "industry"]))
+
     @cached_property
     def values(self) -> DataFrame:
         priced = self.stages.table(
@@ -200,6 +205,12 @@ class Workspace:
         written = self.stages.table("scoring_features", lambda: self.features)
         return lead_models.train_scoring(written, self.parameters.models)
 
+    @cached_property
+    def region_model(self) -> logistic.LogisticModel:
+        """A logistic model small enough for a twin in SQL: the numbers and the region."""
+        written = self.stages.table("scoring_features", lambda: self.features)
+        return logistic.fit_logistic(written, scoring.NUMERIC_FEATURES, ["region"], scoring.TARGET)
+
     @cached_property
     def model_scores(self) -> DataFrame:
         def build() -> DataFrame:

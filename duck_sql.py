@@ -393,7 +393,88 @@ def _scaled(column: str) -> str:
     )
 
 
+_REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+_MODEL_COLUMNS = ["intercept", "total_activities", "company_size", "received_campaign", *[f"region_{r}" for r in _REGIONS]]
+
+
+def _standard(column: str) -> str:
+    """The filled and standardised column as a lateral pair of subqueries over lead_summary."""
+    number = f"CAST(CAST({column} AS INTEGER) AS DOUBLE)"
+    filled = f"coalesce({number}, (SELECT quantile_cont({number}, 0.5) FROM lead_summary))"
+    return f"({filled} - (SELECT avg({filled}) FROM lead_summary)) / (SELECT CASE WHEN stddev_pop({filled}) = 0 THEN 1 ELSE stddev_pop({filled}) END FROM lead_summary)"
+
+
+def _logistic(select: str, steps: int = 12) -> str:
+    """Newton's method for the logistic model with an L2 penalty of 1: each step sums derivatives over the rows, then
+    eliminates column by column and substitutes back."""
+    p = len(_MODEL_COLUMNS)
+    design = ["CAST(1 AS DOUBLE)", *[_standard(c) for c in _MODEL_COLUMNS[1:4]], *[f"CASE WHEN region = '{r}' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END" for r in _REGIONS]]
+    rows = "SELECT lead_id, CAST(event_converted AS DOUBLE) AS y, " + ", ".join(f"{d} AS x{i}" for i, d in enumerate(design)) + " FROM lead_summary"
+    betas = ", ".join(f"b{i}" for i in range(p))
+    eta = " + ".join(f"b{i} * x{i}" for i in range(p))
+    upper = [(i, j) for i in range(p) for j in range(i, p)]
+    level = (
+        f"SELECT step, {betas}, " + ", ".join(f"sum(q * (1 - q) * x{i} * x{j}){' + 1' if i == j and i else ''} AS a{i}_{j}" for i, j in upper) + ", "
+        + ", ".join(f"sum((y - q) * x{i}){f' - b{i}' if i else ''} AS g{i}" for i in range(p))
+        + f" FROM (SELECT n.*, r.*, 1 / (1 + exp(-({eta}))) AS q FROM newton n, model_rows r WHERE n.step < {steps}) GROUP BY step, {betas}")
+    for k in range(p):
+        kept = [f"a{i}_{j}" if i <= k else f"a{i}_{j} - a{k}_{i} / a{k}_{k} * a{k}_{j} AS a{i}_{j}" for i, j in upper]
+        right = [f"g{i}" if i <= k else f"g{i} - a{k}_{i} / a{k}_{k} * g{k} AS g{i}" for i in range(p)]
+        level = f"SELECT step, {betas}, {', '.join(kept)}, {', '.join(right)} FROM ({level})"
+    for k in reversed(range(p)):
+        known = " - ".join([f"g{k}", *[f"a{k}_{j} * d{j}" for j in range(k + 1, p)]])
+        level = f"SELECT *, ({known}) / a{k}_{k} AS d{k} FROM ({level})"
+    moved = ", ".join(f"b{i} + d{i} AS b{i}" for i in range(p))
+    start = ", ".join(f"CAST(0 AS DOUBLE) AS b{i}" for i in range(p))
+    prefix = _PREFIX.replace("WITH ", "WITH RECURSIVE ", 1)
+    return (
+        f"{prefix}, model_rows AS MATERIALIZED ({rows}),\nnewton AS (SELECT 0 AS step, {start} UNION ALL SELECT step + 1, {moved} FROM ({level})),\n"
+        f"fitted AS (SELECT * FROM newton WHERE step = {steps})\n{select.format(eta=eta)}")
+
+
+_COEFFICIENTS = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, {_r6(f'b{i}')} AS coefficient FROM fitted" for i, c in enumerate(_MODEL_COLUMNS))
+_LOGISTIC_SCORES = "SELECT lead_id, " + _r6("1 / (1 + exp(-({eta})))") + " AS conversion_probability FROM model_rows, fitted"
+
+_RULE_LINES = """
+    SELECT tp, fp, fn, tn,
+           coalesce(tn / nullif(tn + fn, 0), 0) AS p0, coalesce(tn / nullif(tn + fp, 0), 0) AS r0, coalesce(2 * tn / nullif(2 * tn + fn + fp, 0), 0) AS f0,
+           coalesce(tp / nullif(tp + fp, 0), 0) AS p1, coalesce(tp / nullif(tp + fn, 0), 0) AS r1, coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1,
+           (tp + tn) / (tp + fp + fn + tn) AS right_share, tn + fp AS n0, tp + fn AS n1
+    FROM (SELECT CAST(count(*) FILTER (WHERE conversion_probability > 0.2 AND event_converted = 1) AS DOUBLE) AS tp,
+                 CAST(count(*) FILTER (WHERE conversion_probability > 0.2 AND event_converted = 0) AS DOUBLE) AS fp,
+                 CAST(count(*) FILTER (WHERE conversion_probability <= 0.2 AND event_converted = 1) AS DOUBLE) AS fn,
+                 CAST(count(*) FILTER (WHERE conversion_probability <= 0.2 AND event_converted = 0) AS DOUBLE) AS tn FROM rule_scores)"""
+
+
+def _report_line(name: str, precision: str, recall: str, f1: str, support: str) -> str:
+    return (f"SELECT '{name}' AS line, round({precision}, 4) AS precision, round({recall}, 4) AS recall, round({f1}, 4) AS f1, "
+            f"{_n(support)} AS support FROM ({_RULE_LINES})")
+
+
+_RULE_MEDIANS = """
+    SELECT lead_id, lead_source, round(CASE WHEN events > 0 THEN ln(2) * days / events END, 6) AS d
+    FROM (SELECT lead_id, lead_source, CAST(sum(duration_days) OVER g AS DOUBLE) AS days, sum(event_converted) OVER g AS events
+          FROM survival_input WINDOW g AS (PARTITION BY lead_source, industry))"""
+
 _SELECTS: dict[str, str] = {
+    "rule_auc": f"""
+        SELECT {_n('sum(y)')} AS positives, {_n('sum(1 - y)')} AS negatives, {_r6('(sum(rank * y) - sum(y) * (sum(y) + 1) / 2) / (sum(y) * sum(1 - y))')} AS auc
+        FROM (SELECT CAST(event_converted AS DOUBLE) AS y,
+                     rank() OVER (ORDER BY conversion_probability) + (count(*) OVER (PARTITION BY conversion_probability) - 1) / 2.0 AS rank FROM rule_scores)""",
+    "rule_class_report": " UNION ALL ".join([
+        _report_line("0", "p0", "r0", "f0", "n0"), _report_line("1", "p1", "r1", "f1", "n1"),
+        _report_line("accuracy", "right_share", "right_share", "right_share", "n0 + n1"),
+        _report_line("macro avg", "(p0 + p1) / 2", "(r0 + r1) / 2", "(f0 + f1) / 2", "n0 + n1"),
+        _report_line("weighted avg", *[f"(n0 * {m}0 + n1 * {m}1) / (n0 + n1)" for m in "prf"], "n0 + n1")]),
+    "rule_prediction_stats": f"""
+        SELECT {_n('count(*)')} AS leads, {_n('count(d)')} AS reached, {_r6('count(d) / CAST(count(*) AS DOUBLE)')} AS share_reached,
+               {_r6('quantile_cont(d / 365.25, 0.5)')} AS median_years, {_r6('quantile_cont(d / 365.25, 0.1)')} AS fastest_tenth_years FROM ({_RULE_MEDIANS})""",
+    "rule_fastest_leads": f"""
+        SELECT m.lead_id, s.lead_source, s.industry, s.region, {_r6('m.d')} AS predicted_median_days, {_r6('m.d / 365.25')} AS predicted_years,
+               s.duration_days, s.event_converted
+        FROM (SELECT * FROM ({_RULE_MEDIANS}) WHERE d IS NOT NULL ORDER BY d, lead_id LIMIT 10) m JOIN lead_summary s ON s.lead_id = m.lead_id""",
+    "rule_prediction_histogram": _histogram(f"(SELECT lead_id, lead_source, d AS predicted_median_days FROM ({_RULE_MEDIANS}))", "predicted_median_days", 50, "lead_source"),
     "bronze_leads": "SELECT * FROM raw_leads",
     "bronze_opportunities": "SELECT * FROM raw_opportunities",
     "bronze_activities": "SELECT * FROM raw_activities",
@@ -619,3 +700,4 @@ _SELECTS: dict[str, str] = {
 }
 
 ORACLES = {name: _PREFIX + select for name, select in _SELECTS.items()}
+ORACLES |= {"logistic_coefficients": _logistic(_COEFFICIENTS), "logistic_scores": _logistic(_LOGISTIC_SCORES)}

@@ -18,6 +18,14 @@ def test_kaplan_meier_by_hand(spark):
     assert medians == {"a": 3.0, "b": 1.0}
 
 
+def test_constant_hazard_median(spark):
+    rows = spark.createDataFrame(
+        [("1", "a", 10, 1), ("2", "a", 30, 0), ("3", "b", 5, 0), ("4", None, 8, 1)],
+        "lead_id string, seg string, duration_days int, event_converted int")
+    got = {r["lead_id"]: r["predicted_median_days"] for r in kaplan_meier.constant_hazard_medians(rows, ["seg"]).collect()}
+    assert got == {"1": round(math.log(2) * 40, 6), "2": round(math.log(2) * 40, 6), "3": None, "4": round(math.log(2) * 8, 6)}
+
+
 def test_median_not_reached_and_top_segments(spark):
     rows = spark.createDataFrame(
         [("a", 1.0, 0), ("a", 2.0, 0), ("b", 1.0, 1), (None, 1.0, 1)],
