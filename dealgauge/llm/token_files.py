@@ -20,6 +20,7 @@ no blocks and no rows. Only doc_id and text are read, so other columns cannot cl
 from __future__ import annotations
 
 import codecs
+import gc
 import os
 import re
 import struct
@@ -67,7 +68,8 @@ class ByteTokenizer:
 
     EDGE = re.compile(rb" (?=[^\t-\r ])")
     BLUNT = re.compile(rb" (?=[\t-\r ]|\Z)")
-    WIDE_SPACE = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+    CONTROL_SPACE = re.compile(rb"[\x1c-\x1f]")
+    WIDE_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
     PLAIN = re.compile("[\x00-ɏ]*")
 
     def __init__(self, path: str):
@@ -108,21 +110,27 @@ class ByteTokenizer:
         text = word.decode()
         if not self.bare or not (text.isascii() or self.PLAIN.fullmatch(text)) or self.special.search(text):
             return self._whole(text)
+        pieces = self.PIECES.findall(text)
+        if len(pieces) == 1:
+            return self._piece(text)
         found = []
-        for piece in self.PIECES.findall(text):
-            ids = self.pieces.get(piece)
+        for piece in pieces:
+            # a piece with its space is a word too
+            store, key = (self.known, piece[1:].encode()) if piece[0] == " " else (self.pieces, piece)
+            ids = store.get(key)
             if ids is None:
-                ids = array(self.code, [t.id for t in self.inner.model.tokenize(self._mapped(piece))]).tobytes()
-                if len(piece) < 40:
-                    if len(self.pieces) >= REMEMBERED:
-                        self.pieces.clear()
-                    self.pieces[piece] = ids
+                ids = self._piece(piece)
+                if len(piece) < 40 and len(store) < REMEMBERED:
+                    store[key] = ids
             found.append(ids)
-        return found[0] if len(found) == 1 else b"".join(found)
+        return b"".join(found)
+
+    def _piece(self, piece: str) -> bytes:
+        return array(self.code, [t.id for t in self.inner.model.tokenize(self._mapped(piece))]).tobytes()
 
     def encode(self, data: bytes) -> bytes:
         """Ids of a UTF-8 text as little-endian numbers of `kind`."""
-        if self.WIDE_SPACE.search(data):
+        if self.CONTROL_SPACE.search(data) or not data.isascii() and self.WIDE_SPACE.search(data.decode()):
             return self._whole(data.decode())
         words = self.EDGE.split(data) if self.BLUNT.search(data) else data.split(b" ")
         head = self._word(words[0]) if words[0] else b""
@@ -138,13 +146,17 @@ def _tokenized(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Reco
         _TOKENIZERS[path] = ByteTokenizer(path)
     tokenizer = _TOKENIZERS[path]
     end, width = np.array([END_ID], tokenizer.kind).tobytes(), tokenizer.kind.itemsize
-    for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
-            ids = [tokenizer.encode(t) + end for t in part.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([len(i) // width for i in ids], pa.int64()), pa.array([width] * len(ids), pa.int32()),
-                 pa.array(ids, pa.binary())], names=["doc_id", "n_tokens", "width", "ids"])
+    gc.disable()  # each collection would walk all remembered words; nothing here makes cycles
+    try:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                ids = [tokenizer.encode(t) + end for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([len(i) // width for i in ids], pa.int64()), pa.array([width] * len(ids), pa.int32()),
+                     pa.array(ids, pa.binary())], names=["doc_id", "n_tokens", "width", "ids"])
+    finally:
+        gc.enable()
 
 
 def tokenize(documents: DataFrame, tokenizer_path: str) -> DataFrame:
