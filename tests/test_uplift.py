@@ -62,7 +62,7 @@ def test_qini_without_controls(spark):
 
 
 def test_two_arm_models_find_the_sign(cohort):
-    run = lead_models.train_two_arms(cohort, lead_models.ModelSettings(arm_rounds=4, arm_depth=2))
+    run = lead_models.train_two_arms(cohort, lead_models.ModelSettings(arm_rounds=40, arm_depth=2))
     assert {r["treatment_group"] for r in run.metrics.collect()} == {"Treatment", "Control"}
     means = {r[0]: r[1] for r in lead_models.score_two_arms(run, cohort).groupBy("lead_source").avg("uplift").collect()}
     assert means["Good"] > 0.1 and means["Bad"] < -0.1
