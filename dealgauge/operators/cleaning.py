@@ -48,13 +48,19 @@ def keep_first(rows: DataFrame, key: str, order: str = "ingest_seq") -> DataFram
     return rows.withColumn("copy_number", position).filter("copy_number = 1").drop("copy_number")
 
 
+def known_leads(leads: DataFrame) -> DataFrame:
+    """The lead ids as a written table without buckets: an exchange lies between them and a join, as on the
+    other side, so an id that very many rows share can be split."""
+    return measured(leads.select("lead_id").filter("lead_id is not null").distinct())
+
+
 def with_known_lead(rows: DataFrame, leads: DataFrame) -> DataFrame:
-    return rows.join(leads.select("lead_id"), "lead_id", "left_semi")
+    return rows.join(known_leads(leads), "lead_id", "left_semi")
 
 
 def without_known_lead(rows: DataFrame, leads: DataFrame) -> DataFrame:
     """Rows whose lead is unknown; a null lead id is unknown too."""
-    return rows.join(leads.select("lead_id"), "lead_id", "left_anti")
+    return rows.join(known_leads(leads), "lead_id", "left_anti")
 
 
 def clean_opportunities(raw_opportunities: DataFrame, leads: DataFrame) -> DataFrame:
@@ -76,8 +82,7 @@ def check_activities(raw_activities: DataFrame, leads: DataFrame) -> DataFrame:
     Valid and rejected rows come out of one pass; written partitioned by the reason, each side
     is then a folder of its own.
     """
-    # Written, so that only an exchange lies between the ids and the join, and a hot id can be split.
-    known = measured(leads.select("lead_id").filter("lead_id is not null").distinct().withColumn("known", F.lit(True)))
+    known = known_leads(leads).withColumn("known", F.lit(True))
     checked = keep_first(raw_activities, "activity_id").join(known, "lead_id", "left")
     reason = F.when(F.col("known").isNull(), ORPHAN_REASON)
     return checked.select(*ACTIVITY_COLUMNS, reason.alias("rejection_reason"))

@@ -43,10 +43,14 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def duplicate_keys(rows: DataFrame, table: str, key: str) -> DataFrame:
-    repeated = rows.groupBy(F.col(key).cast("string").alias("key_value")).agg(F.count(F.lit(1)).alias("copies"))
-    return repeated.filter((F.col("copies") > 1) | F.col("key_value").isNull()).select(
-        F.lit(table).alias("table_name"), F.lit(key).alias("key_column"), "key_value", "copies")
+def duplicate_keys(keys: DataFrame) -> DataFrame:
+    """Repeated or null keys among (table_name, key_column, key_value) rows."""
+    repeated = keys.groupBy("table_name", "key_column", "key_value").agg(F.count(F.lit(1)).alias("copies"))
+    return repeated.filter((F.col("copies") > 1) | F.col("key_value").isNull())
+
+
+def tagged_keys(rows: DataFrame, table: str, key: str) -> DataFrame:
+    return rows.select(F.lit(table).alias("table_name"), F.lit(key).alias("key_column"), F.col(key).cast("string").alias("key_value"))
 
 
 def _present(tables: Mapping[str, DataFrame], needed: Iterable[str]) -> None:
@@ -58,9 +62,10 @@ def _present(tables: Mapping[str, DataFrame], needed: Iterable[str]) -> None:
 def pk_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Repeated or null keys; every table with a rule has to be there."""
     _present(tables, [*PRIMARY_KEYS, *ONE_PER_LEAD])
-    parts = [duplicate_keys(tables[t], t, key) for t, keys in PRIMARY_KEYS.items() for key in keys]
-    parts += [duplicate_keys(tables[t].filter("lead_id is not null"), t, "lead_id") for t in ONE_PER_LEAD]
-    return _union(parts)
+    # All keys go through one aggregate: counted where they are read, then one exchange for all tables.
+    parts = [tagged_keys(tables[t], t, key) for t, keys in PRIMARY_KEYS.items() for key in keys]
+    parts += [tagged_keys(tables[t].filter("lead_id is not null"), t, "lead_id") for t in ONE_PER_LEAD]
+    return duplicate_keys(_union(parts))
 
 
 def missing_references(rows: DataFrame, table: str, column: str, target: DataFrame, target_key: str) -> DataFrame:

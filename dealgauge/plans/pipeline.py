@@ -1,7 +1,8 @@
 """The whole workload, stage by stage: raw, cleaned, star schema, scores, survival, value, uplift.
 
 Every stage reads written tables and writes its own, so a stage can be run again by itself and a
-second run leaves the same tables. ``target`` is a folder that all executors can reach.
+second run leaves the same tables. The tables of a stage become visible together when all are written; a stage
+that fails leaves the ones before. ``target`` is a folder that all executors can reach.
 """
 
 from __future__ import annotations
@@ -10,12 +11,11 @@ import time
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from dealgauge.operators import cleaning, clv, concordance, cox, kaplan_meier, lead_models, scoring, star, uplift
 from dealgauge.plans.workspace import Parameters
-from dealgauge.sources.files import PUBLISHED_TABLES, load_raw_folder, overwrite, publish, stamp, write_summary
-from dealgauge.sources.schemas import RAW_ACTIVITIES
+from dealgauge.sources.files import PUBLISHED_TABLES, load_raw_folder, publish, stamp, write_summary
+from dealgauge.sources.versions import TableSet
 
 CHECKED = "activities_checked"
 
@@ -25,20 +25,19 @@ class Pipeline:
         self.spark = spark
         self.target = target.rstrip("/")
         self.parameters = parameters
+        self.tables = TableSet(spark, self.target)
 
     def table(self, name: str) -> DataFrame:
         """A written table. Valid and rejected activities are two partitions of one folder."""
-        if name in ("activities_clean", "activities_rejected"):
-            # The schema is given: a folder without any row, or without rejects, cannot tell it.
-            schema = T.StructType([*RAW_ACTIVITIES.fields, T.StructField("rejection_reason", T.StringType())])
-            checked = self.spark.read.schema(schema).parquet(f"{self.target}/{CHECKED}")
-            if name == "activities_rejected":
-                return checked.filter("rejection_reason is not null")
-            return checked.filter("rejection_reason is null").select(cleaning.ACTIVITY_COLUMNS)
-        return self.spark.read.parquet(f"{self.target}/{name}")
+        if name == "activities_rejected":
+            return self.tables.table(CHECKED).filter("rejection_reason is not null")
+        if name == "activities_clean":
+            return self.tables.table(CHECKED).filter("rejection_reason is null").select(cleaning.ACTIVITY_COLUMNS)
+        return self.tables.table(name)
 
     def _write(self, name: str, rows: DataFrame) -> None:
-        overwrite(rows, f"{self.target}/{name}")
+        with self.tables.reload() as batch:
+            batch.write(name, rows)
 
     def _summarise(self, name: str, rows: DataFrame) -> None:
         write_summary(rows, f"{self.target}/summaries/{name}")
@@ -46,29 +45,30 @@ class Pipeline:
     def load_bronze(self, raw: str | Mapping[str, DataFrame]) -> None:
         """From a folder of CSV files, or from frames with the raw schemas."""
         if isinstance(raw, str):
-            load_raw_folder(self.spark, raw, self.target)
+            load_raw_folder(self.spark, raw, self.tables)
             return
-        for name, rows in raw.items():
-            self._write(name, rows)
+        with self.tables.reload() as batch:
+            for name, rows in raw.items():
+                batch.write(name, rows)
 
     def clean_to_silver(self) -> None:
-        self._write("leads_clean", cleaning.clean_leads(self.table("raw_leads")))
-        leads = self.table("leads_clean")
-        self._write("opportunities_clean", cleaning.clean_opportunities(self.table("raw_opportunities"), leads))
-        self._write("campaign_touches_clean", cleaning.clean_touches(self.table("raw_campaign_touches"), leads))
-        cleaning.check_activities(self.table("raw_activities"), leads).write.mode("overwrite").partitionBy(
-            "rejection_reason").parquet(f"{self.target}/{CHECKED}")
+        with self.tables.reload() as batch:
+            leads = batch.write("leads_clean", cleaning.clean_leads(batch.table("raw_leads")))
+            batch.write("opportunities_clean", cleaning.clean_opportunities(batch.table("raw_opportunities"), leads))
+            batch.write("campaign_touches_clean", cleaning.clean_touches(batch.table("raw_campaign_touches"), leads))
+            batch.write(CHECKED, cleaning.check_activities(batch.table("raw_activities"), leads), ["rejection_reason"])
 
     def build_gold(self) -> None:
         p = self.parameters
         leads, opportunities = self.table("leads_clean"), self.table("opportunities_clean")
         activities, touches = self.table("activities_clean"), self.table("campaign_touches_clean")
-        self._write("dim_time", star.calendar(self.spark, p.calendar_first, p.calendar_last))
-        self._write("dim_leads", star.dim_leads(leads))
-        self._write("fact_activities", star.fact_activities(activities))
-        self._write("fact_opportunities", star.fact_opportunities(opportunities))
-        self._write("fact_campaign_touches", star.fact_campaign_touches(touches))
-        self._write("lead_summary", star.lead_summary(leads, activities, opportunities, touches, p.snapshot))
+        with self.tables.reload() as batch:
+            batch.write("dim_time", star.calendar(self.spark, p.calendar_first, p.calendar_last))
+            batch.write("dim_leads", star.dim_leads(leads))
+            batch.write("fact_activities", star.fact_activities(activities))
+            batch.write("fact_opportunities", star.fact_opportunities(opportunities))
+            batch.write("fact_campaign_touches", star.fact_campaign_touches(touches))
+            batch.write("lead_summary", star.lead_summary(leads, activities, opportunities, touches, p.snapshot))
 
     def survival_view(self) -> DataFrame:
         view = star.survival_input(self.table("lead_summary"))

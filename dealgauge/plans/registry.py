@@ -77,6 +77,7 @@ QUERIES: dict[str, Query] = {
     "bronze_opportunities": lambda w: w.raw["raw_opportunities"],
     "bronze_activities": lambda w: w.raw["raw_activities"],
     "bronze_campaign_touches": lambda w: w.raw["raw_campaign_touches"],
+    "csv_activities": lambda w: w.csv_activities,
     # cleaned tables
     "silver_leads": lambda w: w.clean["leads_clean"],
     "silver_opportunities": lambda w: w.clean["opportunities_clean"],

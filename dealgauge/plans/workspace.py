@@ -7,6 +7,7 @@ summary, the scores and values, and everything that comes out of a model fit.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 from dealgauge.operators import cleaning, clv, concordance, cox, kaplan_meier, lead_models, logistic, scoring, star, uplift
 from dealgauge.operators.lead_models import ModelSettings
 from dealgauge.plans import reports
+from dealgauge.session import shared_dir
+from dealgauge.sources.files import read_raw_csv
 from dealgauge.sources.order_book import OrderBook
 from dealgauge.sources.stages import StageStore, measured
 
@@ -56,6 +59,16 @@ class Workspace:
             "raw_activities": book.raw_activities(), "raw_campaign_touches": book.raw_campaign_touches(),
         }
 
+    @cached_property
+    def csv_activities(self) -> DataFrame:
+        """The raw activities through CSV: written in read order as several files, read and numbered again."""
+        def build() -> DataFrame:
+            path = f"{shared_dir(self.spark)}/csv/{uuid.uuid4().hex}"
+            self.raw["raw_activities"].repartitionByRange(7, "ingest_seq").sortWithinPartitions("ingest_seq").drop("ingest_seq").write.csv(
+                path, header=True, escape='"')
+            return read_raw_csv(self.spark, path, "raw_activities", multi_line=False)
+        return self.stages.table("csv_activities", build)
+
     # ---- cleaned tables -------------------------------------------------------------------
 
     # Each cleaned table is the last step of its job, so an orphan id that holds a large part of

@@ -458,6 +458,7 @@ _RULE_MEDIANS = """
           FROM survival_input WINDOW g AS (PARTITION BY lead_source, industry))"""
 
 _SELECTS: dict[str, str] = {
+    "csv_activities": f"SELECT {ACT}, {_n('row_number() OVER (ORDER BY ingest_seq) - 1')} AS ingest_seq FROM raw_activities",
     "rule_auc": f"""
         SELECT {_n('sum(y)')} AS positives, {_n('sum(1 - y)')} AS negatives, {_r6('(sum(rank * y) - sum(y) * (sum(y) + 1) / 2) / (sum(y) * sum(1 - y))')} AS auc
         FROM (SELECT CAST(event_converted AS DOUBLE) AS y,

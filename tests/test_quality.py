@@ -1,15 +1,29 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from dealgauge.operators import quality
 from dealgauge.sources.schemas import TEXT_LIMITS
 
 
 def test_duplicate_and_missing_keys(spark):
     rows = spark.createDataFrame([("a",), ("a",), (None,), ("b",)], "lead_id string")
-    got = quality.duplicate_keys(rows, "leads_clean", "lead_id").collect()
+    got = quality.duplicate_keys(quality.tagged_keys(rows, "leads_clean", "lead_id")).collect()
     assert sorted((r["key_value"] or "", r["copies"]) for r in got) == [("", 1), ("a", 2)]
 
 
+def test_all_keys_take_one_exchange(spark, tmp_path):
+    keys = {**quality.PRIMARY_KEYS, **{t: [*quality.PRIMARY_KEYS[t], "lead_id"] for t in quality.ONE_PER_LEAD}}
+    tables = {}
+    for i, (t, columns) in enumerate(keys.items()):
+        spark.range(5).select(*[(F.col("id") % (5 - i % 2)).cast("string").alias(c) for c in dict.fromkeys(columns)]).write.parquet(str(tmp_path / t))
+        tables[t] = spark.read.parquet(str(tmp_path / t))
+    found = quality.pk_violations(tables)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    got = {(r["table_name"], r["key_column"]): (r["key_value"], r["copies"]) for r in found.collect()}
+    assert got == {(t, c): ("0", 2) for i, (t, columns) in enumerate(keys.items()) if i % 2 for c in columns}
+
+
 def test_missing_references(spark):
     rows = spark.createDataFrame([("L1",), ("L9",), ("L9",), (None,)], "lead_id string")
     leads = spark.createDataFrame([("L1",)], "lead_id string")

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from dealgauge.session import shared_dir
 from dealgauge.sources import files
 from dealgauge.sources.order_book import mix
+from dealgauge.sources.versions import TableSet
 
 
 def test_csv_folder_reload(spark, tmp_path):
@@ -11,11 +12,12 @@ def test_csv_folder_reload(spark, tmp_path):
     (tmp_path / "raw" / "raw_activities.csv").write_text(
         "activity_id,lead_id,activity_date,activity_type,channel,outcome\n"
         "T2,L1,2020-01-02,call,Phone,Neutral\nT1,,2020-01-03,call,Phone,\n")
-    target = str(tmp_path / "out")
+    tables = TableSet(spark, str(tmp_path / "out"))
     for _ in range(2):
-        outcome = files.load_raw_folder(spark, str(tmp_path / "raw"), target)
-        rows = spark.read.parquet(f"{target}/raw_activities").orderBy("ingest_seq").collect()
-        assert [(r["activity_id"], r["lead_id"]) for r in rows] == [("T2", "L1"), ("T1", None)]
+        outcome = files.load_raw_folder(spark, str(tmp_path / "raw"), tables)
+        rows = tables.table("raw_activities").orderBy("ingest_seq").collect()
+        assert [(r["activity_id"], r["lead_id"], r["ingest_seq"]) for r in rows] == [("T2", "L1", 0), ("T1", None, 1)]
+    assert tables.versions() == [1, 2] and tables.table("raw_leads").count() == 0
     assert outcome == {
         "raw_leads": "skipped", "raw_opportunities": "skipped", "raw_activities": "loaded", "raw_campaign_touches": "skipped"}
 
@@ -75,3 +77,62 @@ def test_csv_columns_by_name_quotes_and_bad_values(spark, tmp_path):
     (tmp_path / "b.csv").write_text("activity_id,lead_id,activity_date,activity_type,channel,outcome\nT1,L1,notadate,a,b,c\n")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         files.read_raw_csv(spark, str(tmp_path / "b.csv"), "raw_activities").collect()
+
+
+def test_csv_order_over_many_files_and_small_splits(spark, tmp_path):
+    path, size = tmp_path / "raw_activities.csv", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    path.mkdir()
+    expected = []
+    for file in ("b.csv", "a.csv", "c.csv"):  # read by name, whatever the order of writing and the sizes
+        lines = [f"{file[0]}{i:04d},L{i},2020-01-02,call,Phone,{'x' * (i % 40)}" for i in range(300 if file == "b.csv" else 40)]
+        (path / file).write_text("activity_id,lead_id,activity_date,activity_type,channel,outcome\n" + "\n".join(lines) + "\n")
+        expected += [line.split(",")[0] for line in lines]
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+        rows = files.read_raw_csv(spark, str(path), "raw_activities", multi_line=False)
+        got = sorted((r["ingest_seq"], r["activity_id"]) for r in rows.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert got == list(enumerate(sorted(expected)))
+    assert rows.columns == [*spark.createDataFrame([], files.RAW_TABLES["raw_activities"]).columns, "ingest_seq"]
+
+
+def test_a_failed_reload_leaves_the_old_tables(spark, tmp_path):
+    tables = TableSet(spark, str(tmp_path))
+    names = ["a", "b", "c", "d"]
+    with tables.reload() as batch:
+        for n in names:
+            batch.write(n, spark.range(3))
+    before = tables.table("c")
+    with pytest.raises(Exception, match="no such number"):
+        with tables.reload() as batch:
+            batch.write("a", spark.range(5))
+            assert batch.table("a").count() == 5 and tables.table("a").count() == 3  # staged, not yet visible
+            batch.write("b", spark.range(5))
+            batch.write("c", spark.range(5).select(F.raise_error(F.lit("no such number")).alias("id")))
+    assert [tables.table(n).count() for n in names] == [3] * 4 and tables.versions() == [1]
+    with tables.reload() as batch:
+        for n in names:
+            batch.write(n, spark.range(7))
+    assert [tables.table(n).count() for n in names] == [7] * 4
+    assert before.count() == 3 and tables.table("a", version=1).count() == 3  # a reader of the old version finishes
+
+
+def test_commits_at_once_and_vacuum(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    tables = TableSet(spark, str(tmp_path))
+
+    def load(i):
+        with tables.reload() as batch:
+            batch.write(f"t{i}", spark.range(i))
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(load, range(8)))
+    assert [tables.table(f"t{i}").count() for i in range(8)] == list(range(8)) and tables.versions() == list(range(1, 9))
+    load(1)
+    gone = tables.vacuum(keep=1)
+    assert len(gone) == 1 and tables.versions() == [9] and [tables.table(f"t{i}").count() for i in range(8)] == list(range(8))
+    assert tables._add_manifest(9, {}) is False and len(tables.manifest()) == 8
+    with pytest.raises(KeyError):
+        tables.table("absent")
