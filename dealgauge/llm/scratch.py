@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
 import gc
 import pathlib
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +46,20 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(application)
 
 
+_TRACKED: list[Scratch] | None = None
+
+
+@contextlib.contextmanager
+def tracked() -> Iterator[list[Scratch]]:
+    """The scratch folders that are made inside the block."""
+    global _TRACKED
+    before, _TRACKED = _TRACKED, []
+    try:
+        yield _TRACKED
+    finally:
+        _TRACKED = before
+
+
 class Scratch:
     """Tables of one run of an operator.
 
@@ -55,6 +71,8 @@ class Scratch:
         ship(spark)
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
+        if _TRACKED is not None:
+            _TRACKED.append(self)
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
@@ -67,6 +85,10 @@ class Scratch:
         gc.collect()
         self.spark.sparkContext._jvm.System.gc()
 
+    def remove(self) -> None:
+        """All tables of the run."""
+        self.drop("")
+
     def drop(self, *names: str) -> None:
         jvm = self.spark.sparkContext._jvm
         for name in names:
