@@ -14,10 +14,12 @@ pieces of their own. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import gc
 import os
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -90,14 +92,13 @@ class WordTokenizer:
 _TOKENIZERS: dict[str, WordTokenizer] = {}
 
 
-def cut_pieces(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 of whole texts."""
-    end = np.array([END_ID], "<u4").tobytes()
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if tokenizer_path not in _TOKENIZERS:
-            _TOKENIZERS[tokenizer_path] = WordTokenizer(tokenizer_path)
-        tokenizer = _TOKENIZERS[tokenizer_path]
+def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int) -> Iterator[pa.RecordBatch]:
+    # a module-level function goes to the worker by name, so its tokenizer serves all tasks there
+    if path not in _TOKENIZERS:
+        _TOKENIZERS[path] = WordTokenizer(path)
+    tokenizer, end = _TOKENIZERS[path], np.array([END_ID], "<u4").tobytes()
+    gc.disable()  # each collection would walk all remembered words; nothing here makes cycles
+    try:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
@@ -110,9 +111,14 @@ def cut_pieces(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACI
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
                 names = ["doc_id", "piece", "start", "length", "ids_crc32"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+    finally:
+        gc.enable()
 
+
+def cut_pieces(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 of whole texts."""
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
+        partial(_pieces, path=tokenizer_path, capacity=capacity), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 # --- one cell -----------------------------------------------------------------------------------------------
