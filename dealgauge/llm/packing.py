@@ -33,8 +33,8 @@ END_ID = 0
 CELL = 4000
 ISLANDS = 2
 EPOCHS = 2
-GENERATIONS = 2
-POPULATION = 2
+GENERATIONS = 3
+POPULATION = 3
 #: Best bins of an island that travel.
 ELITE_BINS = 400
 GOOD_FILL = 0.995
