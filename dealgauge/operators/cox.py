@@ -7,12 +7,13 @@ driver, whose size follows from the columns of the model, not from rows or days.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealgauge.operators import risk_sets
@@ -181,6 +182,19 @@ def _hazard_around_grid(scanned: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return np.array([d for d, _ in points]), np.array([h for _, h in points])
 
 
+def save_model(spark: SparkSession, model: CoxModel, path: str) -> None:
+    """As one JSON line, in any store that Spark writes."""
+    told = {f.name: getattr(model, f.name) for f in fields(CoxModel)}
+    told = {k: v.tolist() if isinstance(v, np.ndarray) else v for k, v in told.items()}
+    spark.createDataFrame([(json.dumps(told),)], "model string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def load_model(spark: SparkSession, path: str) -> CoxModel:
+    told = json.loads(spark.read.text(path, wholetext=True).first()[0])
+    arrays = ("means", "sds", "beta", "se", "days", "cumulative_hazard")
+    return CoxModel(**{k: np.array(v) if k in arrays else v for k, v in told.items()})
+
+
 def hazard_ratios(rows: DataFrame, model: CoxModel) -> DataFrame:
     """exp(beta), its 95 % bounds and two-sided p-value, largest ratio first."""
     z95 = 1.959963984540054

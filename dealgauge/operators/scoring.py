@@ -177,6 +177,7 @@ def class_report(counts: DataFrame) -> DataFrame:
 
 def calibration(scored: DataFrame) -> DataFrame:
     """Mean score and real rate in five right-closed score bins; a score of 0 is in none."""
+    # The labels that the report shows.
     labels = ["0-20%", "20-40%", "40-60%", "60-80%", "80-100%"]
     bins = right_closed_bins(F.col("conversion_probability"), [0.0, 0.2, 0.4, 0.6, 0.8, 1.0], labels)
     return (

@@ -10,11 +10,12 @@ from __future__ import annotations
 import time
 from collections.abc import Mapping
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from dealgauge.operators import cleaning, clv, concordance, cox, kaplan_meier, lead_models, scoring, star, uplift
 from dealgauge.plans.workspace import Parameters
-from dealgauge.sources.files import PUBLISHED_TABLES, load_raw_folder, publish, stamp, write_summary
+from dealgauge.sources.files import PUBLISHED_TABLES, load_raw_folder, publish, read_summary, stamp, write_summary
 from dealgauge.sources.versions import TableSet
 
 CHECKED = "activities_checked"
@@ -42,6 +43,13 @@ class Pipeline:
     def _summarise(self, name: str, rows: DataFrame) -> None:
         write_summary(rows, f"{self.target}/summaries/{name}")
 
+    def summary(self, name: str) -> DataFrame:
+        """A summary that an earlier stage, or an earlier run, has written."""
+        return read_summary(self.spark, f"{self.target}/summaries/{name}")
+
+    def _save_model(self, name: str, model: PipelineModel) -> None:
+        lead_models.save_model(model, f"{self.target}/models/{name.lower().replace(' ', '_')}")
+
     def load_bronze(self, raw: str | Mapping[str, DataFrame]) -> None:
         """From a folder of CSV files, or from frames with the raw schemas."""
         if isinstance(raw, str):
@@ -82,9 +90,15 @@ class Pipeline:
         self._write("model_scores", lead_models.score_all(run.best_model, features))
         outputs = scoring.business_outputs(self.table("model_scores"))
         self._write("ml_lead_scores", stamp(outputs, model_version=run.best_name))
-        lead_models.save_model(run.best_model, f"{self.target}/models/{run.best_name.lower().replace(' ', '_')}")
+        self._save_model(run.best_name, run.best_model)
         self._summarise("model_metrics", run.metrics)
+        self._summarise("model_class_report", run.report)
+        self._summarise("model_features", self.spark.createDataFrame(
+            [(c, kind) for kind, names in (("number", scoring.NUMERIC_FEATURES), ("category", scoring.CATEGORICAL_FEATURES)) for c in names],
+            "feature string, kind string"))
+        self._summarise("target_distribution", scoring.target_distribution(features))
         self._summarise("risk_tier_thresholds", scoring.tier_thresholds(self.table("model_scores")))
+        self._summarise("risk_tier_counts", scoring.tier_counts(outputs, "risk_tier", scoring.RISK_TIERS))
         scored = star.scored_summary(self.table("lead_summary"), self.table("ml_lead_scores"))
         scored.createOrReplaceTempView("vw_lead_summary_scored")
 
@@ -101,6 +115,9 @@ class Pipeline:
         self._write("ml_survival_predictions", stamp(
             self.table("survival_scores").select("lead_id", "predicted_median_days"), survival_model="CoxPH"))
         self._summarise("survival_cox", cox.hazard_ratios(rows, model))
+        self._summarise("survival_cohort", kaplan_meier.cohort(rows))
+        self._summarise("survival_prediction_stats", cox.prediction_stats(self.table("survival_scores")))
+        cox.save_model(self.spark, model, f"{self.target}/models/cox")
         scored = rows.join(self.table("survival_scores").select("lead_id", "log_hazard"), "lead_id")
         self._summarise("survival_concordance", concordance.concordance_index(
             concordance.concordance_pairs(scored, "log_hazard")))
@@ -122,8 +139,12 @@ class Pipeline:
         self._write("uplift_scores", lead_models.score_two_arms(run, cohort))
         segmented = uplift.with_segment(self.table("uplift_scores"))
         self._write("ml_uplift_predictions", stamp(segmented))
+        for arm, model in run.arms.items():
+            self._save_model(f"uplift {arm}", model)
         self._summarise("uplift_arms", run.metrics)
         self._summarise("uplift_summary", uplift.uplift_summary(segmented))
+        self._summarise("uplift_stats", uplift.uplift_stats(self.table("uplift_scores")))
+        self._summarise("uplift_segment_counts", scoring.tier_counts(segmented, "uplift_segment", uplift.SEGMENTS))
 
     def run(self, raw: str | Mapping[str, DataFrame]) -> dict[str, float]:
         """All stages; returns the seconds of each.

@@ -118,6 +118,7 @@ QUERIES: dict[str, Query] = {
     "tier_thresholds": lambda w: scoring.tier_thresholds(w.rule_scores),
     "expected_loss": lambda w: w.rule_outputs.select("lead_id", "expected_loss"),
     "risk_tier_counts": lambda w: scoring.tier_counts(w.rule_outputs, "risk_tier", scoring.RISK_TIERS),
+    "summary_report": lambda w: w.summary_report,
     "rule_auc": lambda w: scoring.mann_whitney(w.rule_scores),
     "rule_class_report": lambda w: scoring.class_report(scoring.confusion_metrics(w.rule_scores, threshold=0.2)),
     "logistic_coefficients": lambda w: logistic.coefficient_table(w.region_model, w.features),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -120,13 +121,14 @@ def proxy_risk(rows: DataFrame) -> DataFrame:
     ignored = F.when(F.coalesce("received_campaign", F.lit(False)) & silent, 1.0).otherwise(0.0)
     score = 0.45 * status + 0.20 * inactivity + 0.20 * F.col("duration_rank") + 0.15 * ignored
     usual_deal = F.coalesce(rows.filter("deal_value > 0").agg(F.avg("deal_value")).scalar(), F.lit(0.0))
-    # Rounding hides the order of additions at the tier limits.
-    scored = ranked.withColumn("risk_score", F.round(F.greatest(F.least(score, F.lit(1.0)), F.lit(0.0)), 6))
+    # Tiers are cut by the score as it is; six decimals are only shown.
+    scored = ranked.withColumn("whole_score", F.greatest(F.least(score, F.lit(1.0)), F.lit(0.0)))
     return scored.withColumn(
-        "risk_tier", right_closed_bins(F.col("risk_score"), [-0.01, 0.4, 0.7, 1.0], ["Low", "Medium", "High"])
+        "risk_tier", right_closed_bins(F.col("whole_score"), [-0.01, 0.4, 0.7, 1.0], ["Low", "Medium", "High"])
     ).withColumn(
         "exposure", F.when(F.col("deal_value") > 0, F.col("deal_value")).otherwise(usual_deal)
-    ).withColumn("expected_loss", F.col("risk_score") * F.col("exposure"))
+    ).withColumn("expected_loss", F.col("whole_score") * F.col("exposure")).withColumn(
+        "risk_score", F.round("whole_score", 6)).drop("whole_score")
 
 
 def risk_kpis(risks: DataFrame) -> DataFrame:
@@ -378,3 +380,11 @@ def fastest_leads(predictions: DataFrame, summary: DataFrame, n: int = 10) -> Da
         "lead_id", "lead_source", "industry", "region", "predicted_median_days",
         (F.col("predicted_median_days") / 365.25).alias("predicted_years"), "duration_days", "event_converted"
     ).orderBy("predicted_median_days", "lead_id")
+
+
+def summary_lines(summaries: Mapping[str, tuple[DataFrame, str, str]]) -> DataFrame:
+    """Labels and values of several summaries as one table: name -> (rows, label column, value column)."""
+    parts = [
+        rows.select(F.lit(name).alias("summary"), F.col(label).cast("string").alias("label"), F.col(value).cast("double").alias("value"))
+        for name, (rows, label, value) in summaries.items()]
+    return reduce(DataFrame.unionByName, parts)

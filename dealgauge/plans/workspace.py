@@ -14,12 +14,12 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dealgauge.fixtures.order_book import OrderBook
 from dealgauge.operators import cleaning, clv, concordance, cox, kaplan_meier, lead_models, logistic, scoring, star, uplift
 from dealgauge.operators.lead_models import ModelSettings
 from dealgauge.plans import reports
 from dealgauge.session import shared_dir
-from dealgauge.sources.files import read_raw_csv
-from dealgauge.sources.order_book import OrderBook
+from dealgauge.sources.files import read_raw_csv, read_summary, write_summary
 from dealgauge.sources.stages import StageStore, measured
 
 
@@ -211,6 +211,27 @@ class Workspace:
         return concordance.concordance_index(
             concordance.concordance_pairs(scored, "conversion_probability"))
 
+    @cached_property
+    def summary_report(self) -> DataFrame:
+        """Summaries of the rule-based outputs, written as JSON and read back for one report."""
+        thresholds = scoring.tier_thresholds(self.rule_scores).unpivot([], ["q20", "q80"], "quantile", "score")
+        summaries = {
+            "risk_tier_counts": (scoring.tier_counts(self.rule_outputs, "risk_tier", scoring.RISK_TIERS), "risk_tier", "leads"),
+            "risk_tier_thresholds": (thresholds, "quantile", "score"),
+            "class_report": (scoring.class_report(scoring.confusion_metrics(self.rule_scores, threshold=0.2)), "line", "f1"),
+            "clv_tier_counts": (scoring.tier_counts(self.values, "clv_tier", clv.VALUE_TIERS), "clv_tier", "leads"),
+            "uplift_segment_counts": (
+                scoring.tier_counts(self.uplift_segments, "uplift_segment", uplift.SEGMENTS), "uplift_segment", "leads"),
+        }
+
+        def build() -> DataFrame:
+            root, read = f"{shared_dir(self.spark)}/summaries/{uuid.uuid4().hex}", {}
+            for name, (rows, label, value) in summaries.items():
+                write_summary(rows, f"{root}/{name}")
+                read[name] = (read_summary(self.spark, f"{root}/{name}"), label, value)
+            return reports.summary_lines(read)
+        return self.stages.table("summary_report", build)
+
     # ---- fitted models --------------------------------------------------------------------
 
     @cached_property

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dealgauge.sources.schemas import RAW_TABLES
 from dealgauge.sources.stages import measured
@@ -78,12 +80,15 @@ def stamp(predictions: DataFrame, **constants: object) -> DataFrame:
 
 
 def write_summary(summary: DataFrame, path: str) -> None:
-    """Small summary (one row per metric or feature) as JSON lines."""
-    summary.write.mode("overwrite").json(path)
+    """Small summary (one row per metric or feature) as JSON lines, with its schema beside it."""
+    summary.write.mode("overwrite").json(f"{path}/rows")
+    told = summary.sparkSession.createDataFrame([(summary.schema.json(),)], "schema string")
+    told.coalesce(1).write.mode("overwrite").text(f"{path}/schema")
 
 
-def read_summary(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.json(path, schema=schema)
+def read_summary(spark: SparkSession, path: str) -> DataFrame:
+    told = spark.read.text(f"{path}/schema", wholetext=True).first()[0]
+    return spark.read.schema(T.StructType.fromJson(json.loads(told))).json(f"{path}/rows")
 
 
 def publish(tables: Mapping[str, DataFrame], target: str, fmt: str = "parquet", **options: str) -> list[str]:

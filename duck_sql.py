@@ -223,17 +223,17 @@ _CTES: list[tuple[str, str]] = [
         SELECT *, (rank() OVER (ORDER BY total_activities) + (count(*) OVER (PARTITION BY total_activities) - 1) / CAST(2 AS DOUBLE)) / count(*) OVER () AS activity_rank,
                   (rank() OVER (ORDER BY dd) + (count(*) OVER (PARTITION BY dd) - 1) / CAST(2 AS DOUBLE)) / count(*) OVER () AS duration_rank
         FROM rank_input"""),
-    ("risk_scored", f"""
-        SELECT *, {_p6('''least(greatest(
+    ("risk_scored", """
+        SELECT *, least(greatest(
             CAST(0.45 AS DOUBLE) * CASE status WHEN 'Lost' THEN 1.0 WHEN 'Unqualified' THEN 0.85 WHEN 'New' THEN 0.55 WHEN 'Contacted' THEN 0.45
                             WHEN 'Qualified' THEN 0.30 WHEN 'Converted' THEN 0.10 ELSE 0.5 END
             + CAST(0.20 AS DOUBLE) * (1 - activity_rank) + CAST(0.20 AS DOUBLE) * duration_rank
             + CAST(0.15 AS DOUBLE) * CASE WHEN received_campaign AND (campaign_response IS NULL OR campaign_response IN ('No Response', 'None')) THEN 1 ELSE 0 END,
-            0), 1)''')} AS risk_score
+            0), 1) AS whole_score
         FROM ranked"""),
-    ("risks", """
-        SELECT *, risk_score * exposure AS expected_loss FROM (
-            SELECT *, CASE WHEN risk_score <= 0.4 THEN 'Low' WHEN risk_score <= 0.7 THEN 'Medium' ELSE 'High' END AS risk_tier,
+    ("risks", f"""
+        SELECT * EXCLUDE whole_score, {_p6('whole_score')} AS risk_score, whole_score * exposure AS expected_loss FROM (
+            SELECT *, CASE WHEN whole_score <= 0.4 THEN 'Low' WHEN whole_score <= 0.7 THEN 'Medium' ELSE 'High' END AS risk_tier,
                    CASE WHEN deal_value > 0 THEN deal_value ELSE coalesce((SELECT avg(deal_value) FROM portfolio WHERE deal_value > 0), 0) END AS exposure
             FROM risk_scored)"""),
     # countries
@@ -700,5 +700,12 @@ _SELECTS: dict[str, str] = {
                            "received_campaign": "CAST(received_campaign AS VARCHAR)"}.items()),
 }
 
+_SUMMARIES = {
+    "risk_tier_counts": ("risk_tier", "leads"), "clv_tier_counts": ("clv_tier", "leads"),
+    "uplift_segment_counts": ("uplift_segment", "leads"), "rule_class_report": ("line", "f1")}
+_SELECTS["summary_report"] = " UNION ALL ".join([
+    *[f"SELECT '{name.removeprefix('rule_')}' AS summary, {label} AS label, {_r6(f'CAST({value} AS DOUBLE)')} AS value FROM ({_SELECTS[name]})"
+      for name, (label, value) in _SUMMARIES.items()],
+    *[f"SELECT 'risk_tier_thresholds' AS summary, '{q}' AS label, {_r6(q)} AS value FROM tier_cuts" for q in ("q20", "q80")]])
 ORACLES = {name: _PREFIX + select for name, select in _SELECTS.items()}
 ORACLES |= {"logistic_coefficients": _logistic(_COEFFICIENTS), "logistic_scores": _logistic(_LOGISTIC_SCORES)}

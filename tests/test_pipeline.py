@@ -43,6 +43,31 @@ def test_predictions_have_one_row_per_lead(finished):
     assert pipeline.table("ml_survival_predictions").columns == ["lead_id", "predicted_median_days", "survival_model", "scored_at"]
 
 
+def test_summaries_and_models_are_read_back(finished, spark):
+    from pyspark.ml import PipelineModel
+
+    from dealgauge.operators import cox, lead_models
+
+    pipeline, _ = finished
+    metrics = pipeline.summary("model_metrics")
+    assert metrics.filter("selected").count() == 1 and metrics.count() == 3
+    assert {r["line"] for r in pipeline.summary("model_class_report").collect()} == {"0", "1", "accuracy", "macro avg", "weighted avg"}
+    assert pipeline.summary("model_features").count() == 9
+    leads = pipeline.table("lead_summary").count()
+    for name in ("risk_tier_counts", "uplift_segment_counts"):
+        assert 0 < pipeline.summary(name).agg({"leads": "sum"}).first()[0] <= leads
+    assert pipeline.summary("survival_cohort").first()["leads"] == pipeline.table("survival_rows").count()
+    model = cox.load_model(spark, f"{pipeline.target}/models/cox")
+    again = cox.predicted_medians(pipeline.table("survival_rows"), model)
+    assert again.exceptAll(pipeline.table("survival_scores").select(again.columns)).count() == 0
+    arms = {arm: PipelineModel.load(f"{pipeline.target}/models/uplift_{arm.lower()}") for arm in lead_models.ARMS}
+    scored = lead_models.score_two_arms(lead_models.UpliftRun(arms, None), pipeline.table("campaign_cohort"))
+    both = scored.select("lead_id", "uplift").join(pipeline.table("uplift_scores").selectExpr("lead_id", "uplift AS before"), "lead_id")
+    assert both.count() == scored.count() and both.filter("abs(uplift - before) > 1e-12").count() == 0
+    best = metrics.filter("selected").first()["model"].lower().replace(" ", "_")
+    assert PipelineModel.load(f"{pipeline.target}/models/{best}").transform(pipeline.table("scoring_features")).count() == leads
+
+
 def test_views(finished, spark):
     assert spark.table("vw_survival_input").count() > 0
     assert spark.table("vw_lead_summary_scored").filter("risk_tier is null").count() == 0

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from dealgauge.session import shared_dir
 from dealgauge.sources import files
-from dealgauge.sources.order_book import mix
+from dealgauge.fixtures.order_book import mix
 from dealgauge.sources.versions import TableSet
 
 
@@ -23,9 +23,11 @@ def test_csv_folder_reload(spark, tmp_path):
 
 
 def test_summary_round_trip(spark, tmp_path):
-    rows = spark.createDataFrame([("auc", 0.7), ("f1", None)], "metric string, value double")
-    files.write_summary(rows, str(tmp_path / "s"))
-    assert set(files.read_summary(spark, str(tmp_path / "s"), "metric string, value double").collect()) == set(rows.collect())
+    rows = spark.createDataFrame([("auc", 0.1 + 0.2, 3, None), ("f1", None, None, True)], "metric string, value double, n long, seen boolean")
+    for _ in range(2):
+        files.write_summary(rows, str(tmp_path / "s"))
+    back = files.read_summary(spark, str(tmp_path / "s"))
+    assert back.schema == rows.schema and set(back.collect()) == set(rows.collect())
 
 
 def test_publish_replaces_in_order(spark, tmp_path):
