@@ -37,7 +37,7 @@ FORM_RATIO = 2
 #: Words of a list that is scanned as it is.
 LIST_WORDS = 4096
 #: Words that a task counts before it sends what it has; entries that one scan holds.
-COUNTED, SCANNED = 300_000, 20_000
+COUNTED, SCANNED = 200_000, 8_000
 
 # A letter is one byte of A-Z, a-z or two bytes from U+00C0 to U+00FF; runs are split at all else.
 _OTHER = re.compile(rb"[\xc2\xc4-\xff][\x80-\xbf]*")
