@@ -1,11 +1,12 @@
-"""MinHash near-dedup with an LSH forest.
+"""MinHash near-dedup over many short prefixes of signatures.
 
 A text is lower-cased (A-Z) and its set is that of its 5-word shingles; with fewer words, the whole sequence.
-Texts with equal sets are one class. A class has a signature of `SIGNATURE` minima. Each of `TREES` trees orders the
-classes by the signature from another place on; a region of a tree is a run of the order whose members have a
-common prefix of `DEPTH` places. A region with more than `REGION` members is cut into parts by hash, and every two
-parts meet in a task, so all of its members are compared. In a region, members are compared along the order by their
-signatures; likely links (a superset) give families. Links of a family are confirmed on full sets: members
+Texts with equal sets are one class. A class has a signature of `SIGNATURE` minima. Each of `TREES` trees takes its own
+`DEPTH` places of the signature; classes that agree in them are a region of the tree. That is banding: trees are not sorted, a
+region has one depth, and neighbours in an order are not looked at (see README). A region with more than `REGION`
+members is cut into parts by hash, and every two parts meet in a task, so all of its members are compared; the work of a
+region without links grows with the square of its members. In a region, members are compared by their signatures; likely
+links (a superset) give families. Links of a family are confirmed on full sets: members
 that are connected already are not compared again, so copies are not expanded to pairs. Families too
 large for one task are cut into parts that meet two by two, or, where that makes more copies of a text than there are
 trees, confirmed region by region. Components of the confirmed links are the groups.

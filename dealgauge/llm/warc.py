@@ -1,6 +1,6 @@
 """WARC archives of pages with revisit records for repeated payloads.
 
-Digests of payloads are shuffled without the payloads: of records with equal payloads of at least
+Digests of repeated payloads are found without the payloads; the join that marks revisits moves the pages with them. Of records with equal payloads of at least
 `MIN_REVISIT_BYTES` bytes the one with the largest page_id is the response, the others become revisit records that refer to
 it. Archives are written by Spark's text sink, whose line separator is the end of a WARC record, so they
 go to any store that Spark can write; files are gzip, as web archives usually are. They are read back record by record by
