@@ -14,9 +14,12 @@ pieces of their own. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import codecs
 import gc
 import os
+import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import partial
@@ -24,9 +27,11 @@ from functools import partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window, functions as F
 
 from dealgauge.llm.scratch import Scratch
+from dealgauge.llm.token_files import byte_letters
 
 CAPACITY = 2048
 END_ID = 0
@@ -40,53 +45,70 @@ ELITE_BINS = 400
 GOOD_FILL = 0.995
 ROUNDS = 3
 #: Words whose ids a task remembers before it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 1_200_000
 
 
 class WordTokenizer:
     """Token ids of texts by words between ASCII white space. The tokenizer drops white space and never merges
     across it, so a text's ids are its words' ids one after the other, and a word is encoded once.
 
-    New words go to the tokenizer joined by a mark that is one id. Where a word's ids hold that id too, the
-    count does not fit and the words are encoded one by one."""
+    The tokenizer lower-cases a word, cuts it into pieces and encodes each; pieces of words without rare characters go to
+    its model one by one and are remembered too. Other words go to the tokenizer whole."""
 
-    MARK = "\x01"
+    # fixed value: how the tokenizer cuts a word into pieces
+    PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+    #: Characters that normalization leaves as they are but for their case; white space among them is left out.
+    PLAIN = re.compile("[\x21-\x7e\xa1-\u024f]*")
+    SAMPLE = "Don't STOP: Él niño's 12, (we'll) go--now... Ça!"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores are Spark's
         self.inner = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-        mark = self.inner.encode(self.MARK, add_special_tokens=False).ids
-        self.mark = mark[0] if len(mark) == 1 else -1
-
-    def _learn(self, words: list[bytes]) -> None:
-        for at in range(0, len(words), 200):
-            some = words[at:at + 200]
-            ids = np.array(self.inner.encode_batch_fast(
-                [f" {self.MARK} ".join(w.decode() for w in some)], add_special_tokens=False)[0].ids, "<u4")
-            marks = np.flatnonzero(ids == self.mark)
-            if len(marks) == len(some) - 1:
-                raw, first = ids.tobytes(), 0
-                for word, end in zip(some, [*marks.tolist(), len(ids)]):
-                    self.known[word] = raw[4 * first:4 * end]
-                    first = end + 1
-            else:
-                for word in some:
-                    self.known[word] = np.array(self.inner.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        self.letters = byte_letters()
+        self.special = re.compile("|".join(re.escape(t.content) for t in self.inner.get_added_tokens_decoder().values()) or r"(?!)")
+        self.pieces: dict[str, bytes] = {}
+        # pieces go to the model alone only where the tokenizer is the one that the rule above describes
+        self.bare = True
+        self.bare = all(self._word(w.encode()) == self._whole(w) for w in self.SAMPLE.split())
+        owner = self
+
+        class Known(dict):
+            def __missing__(self, word: bytes) -> bytes:
+                if len(self) >= REMEMBERED:
+                    self.clear()
+                ids = owner._word(word)
+                if len(word) < 40:
+                    self[word] = ids
+                return ids
+
+        self.known = Known()
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.inner.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode()
+        if not self.bare or not self.PLAIN.fullmatch(text) or self.special.search(text):
+            return self._whole(text)
+        found = []
+        for piece in self.PIECES.findall(text.lower()):
+            ids = self.pieces.get(piece)
+            if ids is None:
+                letters = codecs.charmap_decode(piece.encode(), "strict", self.letters)[0]
+                ids = array("I", [t.id for t in self.inner.model.tokenize(letters)]).tobytes()
+                if len(piece) < 40:
+                    if len(self.pieces) >= REMEMBERED:
+                        self.pieces.clear()
+                    self.pieces[piece] = ids
+            found.append(ids)
+        return found[0] if len(found) == 1 else b"".join(found)
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
-        split = [(t or "").encode().split() for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        met: set[bytes] = set()
-        for words in split:
-            met.update(words)
-        self._learn([w for w in met if w not in self.known])
-        for words in split:
-            yield b"".join(map(self.known.__getitem__, words))
+        for text in texts:
+            yield b"".join(map(self.known.__getitem__, (text or "").encode().split()))
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}

@@ -53,6 +53,16 @@ MAGIC = b"TKB1"
 # --- ids of texts -------------------------------------------------------------------------------------------
 
 
+# fixed values: the bytes that a byte-level tokenizer writes as the character of the same number; the others follow from 256 on
+PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+
+
+def byte_letters() -> str:
+    """The character that a byte-level tokenizer writes for each byte."""
+    rest = iter(range(256, 512))
+    return "".join(chr(b) if b in PRINTABLE else chr(next(rest)) for b in range(256))
+
+
 class ByteTokenizer:
     """Ids of texts under a byte-level tokenizer, a word at a time.
 
@@ -62,10 +72,8 @@ class ByteTokenizer:
     could move an edge go to the tokenizer whole.
     """
 
-    # fixed values: how a byte-level tokenizer cuts text into pieces, and its characters for bytes
+    # fixed value: how a byte-level tokenizer cuts text into pieces
     PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-    PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
-
     EDGE = re.compile(rb" (?=[^\t-\r ])")
     BLUNT = re.compile(rb" (?=[\t-\r ]|\Z)")
     CONTROL_SPACE = re.compile(rb"[\x1c-\x1f]")
@@ -78,8 +86,7 @@ class ByteTokenizer:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores are Spark's
         self.inner = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.inner.get_vocab_size() <= 1 << 16 else "<u4")
-        rest = iter(range(256, 512))
-        self.letters = "".join(chr(b) if b in self.PRINTABLE else chr(next(rest)) for b in range(256))
+        self.letters = byte_letters()
         self.special = re.compile("|".join(re.escape(t.content) for t in self.inner.get_added_tokens_decoder().values()) or r"(?!)")
         # pieces go to the model alone only where the tokenizer is the plain one that the rule above describes
         bare = self.inner.normalizer is None and isinstance(self.inner.pre_tokenizer, pre_tokenizers.ByteLevel)

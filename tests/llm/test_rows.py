@@ -312,3 +312,18 @@ def test_lm_scores_of_any_order_equal_plain_counts(docs, monkeypatch, order):
                 factor *= 0.4
         expected.append((str(doc), len(w), round(value / len(w), 9) if w else None))
     assert Counter((str(r.doc_id), r.n_words, None if r.lm_score is None else round(r.lm_score, 9)) for r in found) == Counter(expected)
+
+
+def test_packing_tokenizer_by_words_equals_the_whole_text():
+    path = pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
+    ours = packing.WordTokenizer(path)
+    assert ours.bare
+    texts = [
+        None, "", " ", "Don't STOP, it's 12%", "\u0130stanbul \u01c5 \u0149 \ufb01ne x\u0301 \u00e9 \u00c0\u00c9 Stra\u00dfe \u0178", "a\xa0b \x85c x\x1cy",
+        "<|endoftext|> <|startoftext|>X", "\u00bd \u00b23 \u00aa \u00ba \u00a9\u00ae\u2122", "\u4f60\u597d ok \U0001f600", "\u017f \u212a \u212b",
+        "A" * 100 + " " + "b.c,d" * 30, "x\u00ady \u00b7", "tab\tand\nline  end ", "Don't STOP, it's 12%"]
+    for bare in (True, False):
+        ours.bare = bare
+        ours.known.clear()
+        for text, ids in zip(texts, ours.encode(texts)):
+            assert np.frombuffer(ids, "<u4").tolist() == ours.inner.encode(text or "", add_special_tokens=False).ids, text
