@@ -61,7 +61,7 @@ class TableSet:
             stream.close()
         gateway = self._spark.sparkContext._gateway
         context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-            self._path("").toUri() if "://" in self.root else self._jvm.java.net.URI.create("file:///"), self._spark.sparkContext._jsc.hadoopConfiguration())
+            fs.getUri(), self._spark.sparkContext._jsc.hadoopConfiguration())
         try:
             context.rename(staged, self._path(f"manifests/{version}.json"), gateway.new_array(self._jvm.org.apache.hadoop.fs.Options.Rename, 0))
         except Py4JJavaError as error:
