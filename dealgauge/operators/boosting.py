@@ -2,11 +2,13 @@
 
 Rows are kept as bin codes: numbers by quantile edges, categories by their place in the sorted list. A row that
 belongs to several fits is an entry of each. Per tree level one job sums gradients and Hessians per (fit, node, feature,
-bin) over all entries; the sums, whose number follows from fits, depth and bins, reach the driver, which picks the splits. A
+bin) over all entries. The sums of a feature meet in one task, which finds the feature's best cut of each node; only these
+reach the driver, so their number follows from fits, depth and features, not from blocks or bins. A
 split of a number sends low bins left; a split of a category sends that one category right, as a 0/1 column would.
 
-Blocks of entries stay in executor memory or on disk. A lost block is made again from the written rows and the trees
-so far; margins are brought up to date every ``KEPT_TREES`` trees, later trees are applied on the fly.
+Blocks of entries stay in executor memory or on disk. Margins are brought up to date after each tree, in the job of the next
+tree's first level. A lost block is made again from the blocks of the trees before, back to the last written ones: all blocks
+go to the checkpoint folder every ``KEPT_TREES`` trees.
 """
 
 from __future__ import annotations
@@ -18,7 +20,6 @@ import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import partial
-from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -34,11 +35,11 @@ from dealgauge.operators.ranks import quantiles
 from dealgauge.sources.stages import measured
 
 MAX_BINS = 256
-#: Entries of one block of rows, and blocks above which sums meet in the executors before the driver.
-BLOCK_ENTRIES = 50_000
-DIRECT_BLOCKS = 32
-#: Trees after which margins are brought up to date.
-KEPT_TREES = 8
+#: Entries of one block of rows, and blocks whose sums one task takes.
+BLOCK_ENTRIES = 64_000
+BLOCKS_PER_SUM = 8
+#: Trees after which blocks are written to the checkpoint folder.
+KEPT_TREES = 32
 UNKNOWN = "Unknown"
 
 
@@ -155,68 +156,79 @@ def _opened(row) -> dict:
     return block | {"margin": np.zeros(len(block["fit"]))}
 
 
-def _moved(block: dict, trees: list[dict], is_number: np.ndarray, depth: int) -> dict:
-    """The block with the margins after more trees."""
-    margin = block["margin"].copy()
-    for tree in trees:
-        margin += tree["value"][block["fit"], _leaf(tree, block["fit"], block["codes"], is_number, depth)]
-    return block | {"margin": margin}
-
-
-def _histogram(block: dict, trees: list[dict], tree: dict, level: int, offsets: np.ndarray, bins: int, is_number: np.ndarray, depth: int) -> np.ndarray:
-    """Gradient and Hessian sums (2, fits, nodes of the level, bins of all features) of one block."""
-    fits = len(tree["feature"])
-    margin = _moved(block, trees, is_number, depth)["margin"]
-    positive = 1 / (1 + np.exp(-margin))
-    gradient = block["weight"] * (positive - block["target"])
-    hessian = block["weight"] * np.maximum(positive * (1 - positive), 1e-16)
-    first, width = (1 << level) - 1, 1 << level
-    node = _leaf(tree, block["fit"], block["codes"], is_number, level) - first
-    here = np.flatnonzero(node >= 0)
-    group = (block["fit"][here] * width + node[here]) * bins
-    out = np.zeros((2, fits * width * bins))
-    for k, codes in enumerate(block["codes"]):
-        code = codes[here]
-        met = code >= 0
-        key = (group + offsets[k] + code)[met]
-        for i, value in enumerate((gradient, hessian)):
-            out[i] += np.bincount(key, value[here][met], out.shape[1])
-    # the totals of a node, whatever its features
-    for i, value in enumerate((gradient, hessian)):
-        out[i] += np.bincount(group + bins - 1, value[here], out.shape[1])
-    return out.reshape(2, fits, width, bins)
-
-
-def best_splits(sums: np.ndarray, offsets: np.ndarray, sizes: np.ndarray, is_number: np.ndarray, settings: BoostSettings) -> dict[str, np.ndarray]:
-    """Per (fit, node) the split of largest gain: gain, feature, cut, and the sums of both children (left, right).
+def _moved(block: dict, tree: dict, is_number: np.ndarray, depth: int) -> dict:
+    """The block with the margins after one more tree."""
+    return block | {"margin": block["margin"] + tree["value"][block["fit"], _leaf(tree, block["fit"], block["codes"], is_number, depth)]}
+
+
+def _histograms(
+    number: int, blocks: Iterator[dict], tree: dict, level: int, sizes: np.ndarray, is_number: np.ndarray,
+) -> Iterator[tuple[int, tuple[int, np.ndarray]]]:
+    """Per feature the gradient and Hessian sums (2, fits, nodes of the level, bins and the node's totals) of a partition."""
+    fits, first, width = len(tree["feature"]), (1 << level) - 1, 1 << level
+    sums = [np.zeros((2, fits * width * (size + 1))) for size in sizes]
+    for block in blocks:
+        positive = 1 / (1 + np.exp(-block["margin"]))
+        values = (block["weight"] * (positive - block["target"]), block["weight"] * np.maximum(positive * (1 - positive), 1e-16))
+        node = _leaf(tree, block["fit"], block["codes"], is_number, level) - first
+        group, codes = block["fit"] * width + node, block["codes"]
+        if (node < 0).any():
+            here = np.flatnonzero(node >= 0)
+            group, codes, values = group[here], codes[:, here], [v[here] for v in values]
+        totals = [np.bincount(group, v, fits * width) for v in values]
+        for out, size, code in zip(sums, sizes, codes):
+            key, met = group * (size + 1) + code, values
+            if len(code) and code.min() < 0:
+                known = code >= 0
+                key, met = key[known], [v[known] for v in values]
+            for i in range(2):
+                out[i] += np.bincount(key, met[i], out.shape[1])
+                # the totals of a node, whatever its features
+                out[i, size::size + 1] += totals[i]
+    for k, (out, size) in enumerate(zip(sums, sizes)):
+        yield k, (number, out.reshape(2, fits, width, size + 1))
+
+
+def _met(found: tuple[int, Iterator[tuple[int, np.ndarray]]], is_number: np.ndarray, settings: BoostSettings) -> tuple[int, dict]:
+    """A feature's best cuts over all partitions, whose sums are added in one order."""
+    k, parts = found
+    return k, best_cuts(sum(s for _, s in sorted(parts, key=lambda part: part[0])), bool(is_number[k]), settings)
+
+
+def best_cuts(sums: np.ndarray, is_number: bool, settings: BoostSettings) -> dict[str, np.ndarray]:
+    """Per (fit, node) the cut of one feature with the largest gain, the sums of both children (left, right) and the total.
 
     ``sums``: (2, fits, nodes, bins); the last bin holds the node's totals."""
-    total = sums[..., -1]
+    total, own = sums[..., -1], sums[..., :-1]
+    if is_number:
+        left = np.cumsum(own, -1)[..., :-1]
+        right = total[..., None] - left
+    else:
+        right = own
+        left = total[..., None] - right
+    if not left.shape[-1]:
+        nothing = np.zeros(total.shape)
+        return {"gain": np.full(total.shape[1:], -np.inf), "cut": np.zeros(total.shape[1:], np.int64), "left": nothing, "right": nothing, "total": total}
 
     def score(s: np.ndarray) -> np.ndarray:
         return s[0] ** 2 / (s[1] + settings.penalty)
 
-    shape = sums.shape[1:3]
+    gain = score(left) + score(right) - score(total)[..., None]
+    gain = np.where((left[1] >= settings.least_hessian) & (right[1] >= settings.least_hessian), gain, -np.inf)
+    cut = gain.argmax(-1)
+    sides = [np.take_along_axis(s, cut[None, ..., None], -1)[..., 0] for s in (left, right)]
+    return {"gain": np.take_along_axis(gain, cut[..., None], -1)[..., 0], "cut": cut, "left": sides[0], "right": sides[1], "total": total}
+
+
+def best_splits(found: Sequence[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
+    """Per (fit, node) the split of largest gain over the best cuts of all features; the first of equal ones."""
+    shape = found[0]["gain"].shape
     best = {"gain": np.zeros(shape), "feature": np.full(shape, -1), "cut": np.zeros(shape, np.int64), "left": np.zeros((2, *shape)), "right": np.zeros((2, *shape))}
-    for k, (at, size) in enumerate(zip(offsets, sizes)):
-        own = sums[..., at:at + size]
-        if is_number[k]:
-            left = np.cumsum(own, -1)[..., :-1]
-            right = total[..., None] - left
-        else:
-            right = own
-            left = total[..., None] - right
-        if not left.shape[-1]:
-            continue
-        gain = score(left) + score(right) - score(total)[..., None]
-        gain = np.where((left[1] >= settings.least_hessian) & (right[1] >= settings.least_hessian), gain, -np.inf)
-        cut = gain.argmax(-1)
-        take = np.take_along_axis(gain, cut[..., None], -1)[..., 0]
-        better = take > best["gain"] + 1e-9
-        best["gain"] = np.where(better, take, best["gain"])
-        best["feature"], best["cut"] = np.where(better, k, best["feature"]), np.where(better, cut, best["cut"])
-        for side, s in (("left", left), ("right", right)):
-            best[side] = np.where(better, np.take_along_axis(s, cut[None, ..., None], -1)[..., 0], best[side])
+    for k, own in enumerate(found):
+        better = own["gain"] > best["gain"] + 1e-9
+        best["feature"] = np.where(better, k, best["feature"])
+        for name in ("gain", "cut", "left", "right"):
+            best[name] = np.where(better, own[name], best[name])
     return best
 
 
@@ -267,23 +279,25 @@ def fit_boosters(
 def _grow(packed: DataFrame, fits: int, features: list[dict], settings: BoostSettings) -> list[dict[str, np.ndarray]]:
     is_number = np.array([f["kind"] == "number" for f in features])
     sizes = np.array([len(f["edges"]) + 1 if f["kind"] == "number" else len(f["levels"]) for f in features])
-    offsets = np.cumsum(sizes) - sizes
-    bins, depth, nodes = int(sizes.sum()) + 1, settings.depth, (1 << settings.depth + 1) - 1
+    depth, nodes = settings.depth, (1 << settings.depth + 1) - 1
     state = packed.rdd.map(_opened).persist(StorageLevel.MEMORY_AND_DISK)
-    meet = 1 if state.getNumPartitions() <= DIRECT_BLOCKS else 2
+    before, meet = None, min(len(features), -(-state.getNumPartitions() // BLOCKS_PER_SUM))
     trees: list[dict[str, np.ndarray]] = []
-    recent: list[dict[str, np.ndarray]] = []
     try:
         for _ in range(settings.rounds):
             tree = {"feature": np.full((fits, nodes), -1), "cut": np.zeros((fits, nodes), np.int64), "value": np.zeros((fits, nodes))}
             for level in range(depth):
-                sums = state.map(partial(
-                    _histogram, trees=recent, tree=tree, level=level, offsets=offsets, bins=bins, is_number=is_number, depth=depth,
-                )).treeReduce(add, depth=meet)
-                first, width = (1 << level) - 1, 1 << level
+                sums = state.mapPartitionsWithIndex(partial(_histograms, tree=tree, level=level, sizes=sizes, is_number=is_number))
+                sums = sums.groupByKey(meet) if state.getNumPartitions() > 1 else sums.mapValues(lambda part: [part])
+                found = [own for _, own in sorted(sums.map(partial(_met, is_number=is_number, settings=settings)).collect(), key=lambda f: f[0])]
+                if before is not None:
+                    before.unpersist()
+                    before = None
+                first = (1 << level) - 1
                 if not level:
-                    tree["value"][:, 0] = -settings.step * sums[0, :, 0, -1] / (sums[1, :, 0, -1] + settings.penalty)
-                best = best_splits(sums, offsets, sizes, is_number, settings)
+                    gradient, hessian = found[0]["total"][..., 0]
+                    tree["value"][:, 0] = -settings.step * gradient / (hessian + settings.penalty)
+                best = best_splits(found)
                 fit, node = np.nonzero(best["feature"] >= 0)
                 if not len(fit):
                     break
@@ -293,16 +307,15 @@ def _grow(packed: DataFrame, fits: int, features: list[dict], settings: BoostSet
                     gradient, hessian = best[side][:, fit, node]
                     tree["value"][fit, 2 * at + k] = -settings.step * gradient / (hessian + settings.penalty)
             trees.append(tree)
-            recent.append(tree)
-            if len(recent) == KEPT_TREES:
-                # blocks come from the blocks before; if those are lost too, from the written rows and all trees
-                before, state = state, state.map(partial(_moved, trees=recent, is_number=is_number, depth=depth)).persist(
-                    StorageLevel.MEMORY_AND_DISK)
-                state.count()
-                before.unpersist()
-                recent = []
+            if len(trees) < settings.rounds:
+                # the next job makes these blocks from the blocks before
+                before, state = state, state.map(partial(_moved, tree=tree, is_number=is_number, depth=depth)).persist(StorageLevel.MEMORY_AND_DISK)
+                if not len(trees) % KEPT_TREES:
+                    state.checkpoint()
     finally:
         state.unpersist()
+        if before is not None:
+            before.unpersist()
     return trees
 
 

@@ -1,5 +1,7 @@
 """Histogram boosting against a plain second-order boosting of the same rows."""
 
+import pickle
+
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
@@ -102,3 +104,24 @@ def test_one_class_and_no_rows(data):
     assert min(r.probability[1] for r in model.transform(frame).collect()) > 0.5
     with pytest.raises(ValueError):
         fit_boosters(frame.limit(0), [Fit("all", F.lit(True), F.lit(1.0))], ["b"], ["kind"], "y")
+
+
+def test_what_reaches_the_driver_does_not_grow_with_the_blocks(data, monkeypatch):
+    from pyspark import RDD
+
+    plain, sent = RDD.collect, []
+
+    def collect(self):
+        found = plain(self)
+        sent[-1] += len(pickle.dumps(found))
+        return found
+
+    monkeypatch.setattr(RDD, "collect", collect)
+    frame, _ = data
+    told = []
+    for entries in (300, 20):
+        monkeypatch.setattr(boosting, "BLOCK_ENTRIES", entries)
+        sent.append(0)
+        told.append(fit_boosters(frame, [Fit("all", F.lit(True), F.lit(1.0))], ["a", "b"], ["kind"], "y", BoostSettings(rounds=2, depth=3))[0])
+    assert sent[1] < 1.2 * sent[0]
+    assert np.allclose(margins(told[0], frame), margins(told[1], frame))
