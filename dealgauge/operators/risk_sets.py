@@ -239,8 +239,9 @@ def running_by_day(scanned: DataFrame, column: str) -> DataFrame:
     earlier = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)  # one row per slice
     starts = days.groupBy("slice").agg(F.sum(column).alias("total")).select(
         "slice", F.coalesce(F.sum("total").over(earlier), F.lit(0.0)).alias("start"))
-    return days.select("slice", "day", "inverse_part", F.sum(column).over(inside).alias("inside")).join(starts, "slice").select(
-        "slice", F.col("day").alias(DAY), "inverse_part", (F.col("inside") + F.col("start")).alias("running"))
+    # written, so that a join with the rows broadcasts the days or nothing, never the rows
+    return measured(days.select("slice", "day", "inverse_part", F.sum(column).over(inside).alias("inside")).join(starts, "slice").select(
+        "slice", F.col("day").alias(DAY), "inverse_part", (F.col("inside") + F.col("start")).alias("running")))
 
 
 def second_sums(prepared: DataFrame, scanned: DataFrame, beta: np.ndarray, centre: float, factors: int, numbers: int) -> DataFrame:

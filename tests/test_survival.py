@@ -239,3 +239,15 @@ def test_concordance_is_exact_with_an_outlier(spark):
                 concordant += s1 > s2
                 tied += s1 == s2
     assert (found["comparable"], found["concordant"], found["tied"]) == (comparable, concordant, tied)
+
+
+def test_running_totals_of_days_are_a_written_table(spark, tmp_path):
+    """Within a Newton step the rows join them; Catalyst broadcasts the smaller side if it knows the size of both."""
+    path = str(tmp_path / "prepared")
+    spark.range(20000).selectExpr(
+        "cast(id % 1500 as double) duration_days", "cast(id % 3 = 0 as int) event_converted", "cast(id % 2 as int) f0",
+        "id / 20000.0D x0", "1L n", "0 slice").write.parquet(path)
+    prepared, beta = spark.read.parquet(path), np.zeros(3)
+    scanned = risk_sets.scan_risk_sets(prepared, beta, 0.0, 1, 1)
+    days = risk_sets.running_by_day(scanned, "inverse")
+    assert days.count() == 1500 and set(days.inputFiles()).isdisjoint(scanned.inputFiles())
