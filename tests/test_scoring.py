@@ -105,3 +105,10 @@ def test_value_tiers(spark):
     rows = spark.createDataFrame([(f"L{i}", float(i)) for i in range(100)] + [("x", None)], "lead_id string, clv_discounted double")
     tiers = clv.with_value_tier(rows).groupBy("clv_tier").count()
     assert {r[0]: r[1] for r in tiers.collect()} == {"High": 20, "Medium": 30, "Low": 50, "Unscored": 1}
+
+
+def test_forest_tasks_grow_with_rows_but_not_with_each_two_thousand():
+    from dealgauge.operators.lead_models import forest_tasks
+
+    assert [forest_tasks(n) for n in (0, 1999, 12_000, 23_999)] == [1, 1, 7, 12]
+    assert forest_tasks(720_000) == 12 and forest_tasks(4_320_000) == 68
