@@ -31,11 +31,13 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from dealgauge.llm.scratch import Scratch
+from dealgauge.llm.text_arrays import Texts, slices
 
 END_ID = 0
 MAX_BITS = 20
@@ -44,6 +46,8 @@ BLOCK_BYTES = 1 << 18
 #: Rows of a file (blocks), and ids of a slice of the sorted documents.
 FILE_BLOCKS = 64
 SLICE_IDS = 8_000_000
+#: Texts whose words are looked up together, in bytes.
+LOOKUP_BYTES = 16 << 20
 #: Words whose ids a task remembers before it starts anew.
 REMEMBERED = 1_500_000
 BLOCK_END = "\x00END\x00"
@@ -69,13 +73,15 @@ class ByteTokenizer:
     The tokenizer first cuts a text into pieces and never merges across their edges. A single space before a
     character that is no white space always begins a piece, so a text is the chain of its words, each with that
     space. Words and pieces are encoded by the tokenizer once and remembered. Texts in which white space beyond ASCII
-    could move an edge go to the tokenizer whole.
+    could move an edge go to the tokenizer whole. `encode_all` looks up each distinct word of many texts once.
     """
 
     # fixed value: how a byte-level tokenizer cuts text into pieces
     PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
     EDGE = re.compile(rb" (?=[^\t-\r ])")
     BLUNT = re.compile(rb" (?=[\t-\r ]|\Z)")
+    #: A line end between two words is a piece of its own.
+    LINE_END = re.compile(rb"(?<=[^\t-\r ])\n(?=[^\t-\r ])")
     CONTROL_SPACE = re.compile(rb"[\x1c-\x1f]")
     WIDE_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
     PLAIN = re.compile("[\x00-ɏ]*")
@@ -85,13 +91,15 @@ class ByteTokenizer:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores are Spark's
         self.inner = Tokenizer.from_file(path)
+        self.model = self.inner.model
         self.kind = np.dtype("<u2" if self.inner.get_vocab_size() <= 1 << 16 else "<u4")
         self.letters = byte_letters()
         self.special = re.compile("|".join(re.escape(t.content) for t in self.inner.get_added_tokens_decoder().values()) or r"(?!)")
         # pieces go to the model alone only where the tokenizer is the plain one that the rule above describes
         bare = self.inner.normalizer is None and isinstance(self.inner.pre_tokenizer, pre_tokenizers.ByteLevel)
         self.bare = bare and self.inner.encode("a b'll\n\n c", add_special_tokens=False).ids == [
-            t.id for p in self.PIECES.findall("a b'll\n\n c") for t in self.inner.model.tokenize(self._mapped(p))]
+            t.id for p in self.PIECES.findall("a b'll\n\n c") for t in self.model.tokenize(self._mapped(p))]
+        self.plain = self.bare and all(re.search("[^A-Za-z.,;:!?]", t.content) for t in self.inner.get_added_tokens_decoder().values())
         self.code = "H" if self.kind.itemsize == 2 else "I"
         self.pieces: dict[str, bytes] = {}
         owner = self
@@ -100,8 +108,13 @@ class ByteTokenizer:
             def __missing__(self, word: bytes) -> bytes:
                 if len(self) >= REMEMBERED:
                     self.clear()
-                ids = owner._word(b" " + word)
-                if len(word) < 40 and b"\n" not in word:
+                if b"\n" in word and not word.startswith(b"\n"):
+                    first, *others = owner.LINE_END.split(word) if owner.bare else [word]
+                    if others:
+                        return self[first] + b"".join([self[b"\n" + w] for w in others])
+                # a key that starts with a line end is a line's first word with it, all others have a space before them
+                ids = owner._word(word if word.startswith(b"\n") else b" " + word)
+                if len(word) < 40 and b"\n" not in word[1:]:
                     self[word] = ids
                 return ids
 
@@ -110,10 +123,26 @@ class ByteTokenizer:
     def _mapped(self, piece: str) -> str:
         return codecs.charmap_decode(piece.encode(), "strict", self.letters)[0]
 
+    def _mapped_ids(self, piece: bytes) -> bytes:
+        return array(self.code, [t.id for t in self.model.tokenize(codecs.charmap_decode(piece, "strict", self.letters)[0])]).tobytes()
+
     def _whole(self, text: str) -> bytes:
         return array(self.code, self.inner.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _word(self, word: bytes) -> bytes:
+        if self.bare and self.plain:
+            # ASCII letters are one piece, and so are the marks behind them
+            letters = word.rstrip(b".,;:!?")
+            if letters[1:].isalpha() and (letters[0] == 32 or letters[:1].isalpha()):
+                if len(letters) == len(word):
+                    return self._mapped_ids(word)
+                marks = word[len(letters):].decode()
+                ids = self.pieces.get(marks)
+                if ids is None:
+                    ids = self._piece(marks)
+                    if len(marks) < 40 and len(self.pieces) < REMEMBERED:
+                        self.pieces[marks] = ids
+                return (self.known[letters[1:]] if letters[0] == 32 else self._mapped_ids(letters)) + ids
         text = word.decode()
         if not self.bare or not (text.isascii() or self.PLAIN.fullmatch(text)) or self.special.search(text):
             return self._whole(text)
@@ -133,7 +162,7 @@ class ByteTokenizer:
         return b"".join(found)
 
     def _piece(self, piece: str) -> bytes:
-        return array(self.code, [t.id for t in self.inner.model.tokenize(self._mapped(piece))]).tobytes()
+        return self._mapped_ids(piece.encode())
 
     def encode(self, data: bytes) -> bytes:
         """Ids of a UTF-8 text as little-endian numbers of `kind`."""
@@ -143,6 +172,48 @@ class ByteTokenizer:
         head = self._word(words[0]) if words[0] else b""
         return head + b"".join(map(self.known.__getitem__, words[1:]))
 
+    # fixed values: by their first byte, the characters that `encode` treats on their own
+    MARKS = np.isin(np.arange(256), [0x1c, 0x1d, 0x1e, 0x1f, 0xc2, 0xe1, 0xe2, 0xe3])
+    WHITE = np.isin(np.arange(256), [*range(9, 14), 32])
+
+    def _odd(self, texts: Texts) -> np.ndarray:
+        """Which texts may hold white space beyond ASCII or control spaces, or a space with no word behind it."""
+        data, ends = texts.data, texts.offsets[1:]
+        odd = np.zeros(len(texts), bool)
+        marks = np.flatnonzero(self.MARKS[data])
+        second = data[np.minimum(marks + 1, len(data) - 1)]
+        # of U+0080 to U+00BF only these two are white space
+        marks = marks[(data[marks] != 0xc2) | (second == 0x85) | (second == 0xa0)]
+        spaces = np.flatnonzero(data == 32)
+        last = np.zeros(len(data) + 1, bool)
+        last[ends] = True
+        spaces = spaces[last[spaces + 1] | self.WHITE[data[np.minimum(spaces + 1, len(data) - 1)]]]
+        odd[np.searchsorted(ends, np.concatenate([marks, spaces]), "right")] = True
+        return odd
+
+    def encode_all(self, column: pa.Array, texts: Texts) -> list[bytes]:
+        """`encode` of every text of a binary column without nulls; `texts` are its bytes."""
+        odd = self._odd(texts)
+        plain = column.filter(pa.array(~odd))
+        lists = pc.split_pattern(plain, " ")
+        coded = lists.flatten().dictionary_encode()
+        bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        place = coded.indices.to_numpy().copy()
+        # the first word of a text has no space before it
+        words = coded.dictionary
+        heads = words.take(pa.array(place[bounds[:-1]])).to_pylist()
+        place[bounds[:-1]] = len(words) + np.arange(len(heads))
+        known = self.known
+        _, ends, data = words.buffers()
+        cuts, raw = np.frombuffer(ends, np.int32)[:len(words) + 1].tolist() if len(words) else [0], data.to_pybytes() if data is not None else b""
+        ids = [known[raw[a:b]] if b > a else b"" for a, b in zip(cuts, cuts[1:])] + [self._word(w) if w else b"" for w in heads]
+        taken = pa.array(ids, pa.large_binary()).take(pa.array(place))
+        _, ends, data = taken.buffers()
+        cuts = np.frombuffer(ends, np.int64)[bounds].tolist() if len(heads) else [0]
+        raw = memoryview(data) if data is not None else b""
+        found = iter([bytes(raw[a:b]) for a, b in zip(cuts, cuts[1:])])
+        return [self.encode(texts.text_bytes(i)) if own else next(found) for i, own in enumerate(odd.tolist())]
+
 
 _TOKENIZERS: dict[str, ByteTokenizer] = {}
 
@@ -156,9 +227,8 @@ def _tokenized(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Reco
     gc.disable()  # each collection would walk all remembered words; nothing here makes cycles
     try:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = [tokenizer.encode(t) + end for t in part.column(1).to_pylist()]
+            for part, texts in slices([batch], limit=LOOKUP_BYTES):
+                ids = [i + end for i in tokenizer.encode_all(part.column(1), texts)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([len(i) // width for i in ids], pa.int64()), pa.array([width] * len(ids), pa.int32()),
                      pa.array(ids, pa.binary())], names=["doc_id", "n_tokens", "width", "ids"])

@@ -4,10 +4,12 @@ import itertools
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from dealgauge.llm import token_files as tf
 from dealgauge.llm.scratch import Scratch
+from dealgauge.llm.text_arrays import texts_of
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -132,3 +134,26 @@ def test_given_documents(spark, path):
     documents = spark.read.parquet(f"{TESTDATA}/documents.parquet")
     got = {r[0]: tuple(r[1:]) for r in tf.token_files(documents, path).collect()}
     assert got == expected([tuple(r) for r in documents.select("doc_id", "text").collect()], path)
+
+
+def test_words_of_many_texts_are_looked_up_once(path):
+    tokenizer = tf.ByteTokenizer(path)
+    rows = ["foo.\nBar baz", "a\n\nB c", "a\n\n\nB c", "x y\n", "foo\t\nBar a", " \nfoo a", "a b\nc\nd. \xe9\n\xfc", "a <|endoftext|>\nb", "", " ", "a  b",
+            "a\x1cb c", "　x y", "q z\n’s  x", "a\xa0b c\x85d", "abc\n1\xe9 12\n34", "don't we'll!!\n\n go", "你 好", "ab, c.. d?! e'!", " a"]
+    column = pa.array([r.encode() for r in rows * 3], pa.binary())
+    found = []
+    for part, texts in tf.slices([pa.RecordBatch.from_arrays([column.slice(2)], names=["text"])], limit=60):
+        found += tokenizer.encode_all(part.column(0), texts)
+    assert found == [np.array(tokenizer.inner.encode(r, add_special_tokens=False).ids, tokenizer.kind).tobytes() for r in (rows * 3)[2:]]
+
+    class Counted(dict):
+        asked = 0
+
+        def __getitem__(self, word):
+            Counted.asked += 1
+            return tokenizer._word(b" " + word)
+
+    tokenizer.known = Counted()
+    column = pa.array([b"the same few words " * 50 + b"end"] * 20, pa.binary())
+    tokenizer.encode_all(column, texts_of(column))
+    assert Counted.asked == 5
