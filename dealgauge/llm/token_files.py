@@ -48,7 +48,7 @@ FILE_BLOCKS = 64
 SLICE_IDS = 8_000_000
 #: Texts whose words are looked up together, in bytes.
 LOOKUP_BYTES = 16 << 20
-#: Words whose ids a task remembers before it starts anew.
+#: Words whose ids a worker remembers; of the older half those that are met again.
 REMEMBERED = 1_500_000
 BLOCK_END = "\x00END\x00"
 MAGIC = b"TKB1"
@@ -106,8 +106,13 @@ class ByteTokenizer:
 
         class Known(dict):
             def __missing__(self, word: bytes) -> bytes:
-                if len(self) >= REMEMBERED:
+                if len(self) >= REMEMBERED // 2:
+                    owner.older = dict(self)
                     self.clear()
+                ids = owner.older.get(word)
+                if ids is not None:
+                    self[word] = ids
+                    return ids
                 if b"\n" in word and not word.startswith(b"\n"):
                     first, *others = owner.LINE_END.split(word) if owner.bare else [word]
                     if others:
@@ -119,6 +124,7 @@ class ByteTokenizer:
                 return ids
 
         self.known = Known()
+        self.older: dict[bytes, bytes] = {}
 
     def _mapped(self, piece: str) -> str:
         return codecs.charmap_decode(piece.encode(), "strict", self.letters)[0]
@@ -340,7 +346,7 @@ class Code:
     def encode_all(self, ids: np.ndarray, counts: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, bytes, np.ndarray]:
         """Codes of documents of `counts` ids, none of them 0, each from a whole byte on, highest bit first: the bit offset of every
         `stride`-th id of each document, the bytes, and where each document ends in them."""
-        widths = self.lengths[ids]
+        widths = self.lengths.take(ids)
         if not widths.all():
             raise ValueError("an id without a code")
         last = np.cumsum(counts)
@@ -352,14 +358,16 @@ class Code:
         starts = sums - widths + np.repeat(filled, counts)
         # codes do not overlap, so the sum of what falls into a 32-bit word is the word
         word = starts >> 5
-        spread = self.codes[ids] << (64 - widths - (starts & 31)).astype(np.uint64)
+        spread = self.codes.take(ids) << (64 - widths - (starts & 31)).view(np.uint64)
         first = np.flatnonzero(np.diff(word, prepend=-1))
         joined = np.add.reduceat(spread, first)
         words = np.zeros(int(ends[-1]) // 4 + 2, ">u4")
         words[word[first]] = (joined >> np.uint64(32)).astype(np.uint32)
         words[word[first] + 1] |= (joined & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        place = np.arange(len(ids)) - np.repeat(last - counts, counts)
-        return starts[place % stride == 0], words.tobytes()[: int(ends[-1])], ends
+        runs = -(-counts // stride)
+        first_run = np.cumsum(runs) - runs
+        marked = np.repeat(last - counts - stride * first_run, runs) + stride * np.arange(int(runs.sum()))
+        return starts[marked], words.tobytes()[: int(ends[-1])], ends
 
     def encode(self, ids: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, bytes]:
         """One document: the bit offset of every `stride`-th id, and the bytes."""
