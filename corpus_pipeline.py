@@ -33,8 +33,9 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language_id.fit(docs)
     if model is None:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    told = language_id.identify(docs.select("text", F.struct("*").alias("row")), model)
-    return told.filter(told.lang_pred != language_id.UNKNOWN).select("row.*")
+    # other columns get names that cannot clash with those of the prediction; each text goes along once
+    told = language_id.identify(docs.toDF(*[c if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)]), model)
+    return told.filter(told.lang_pred != language_id.UNKNOWN).drop("lang_pred", "score").toDF(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -173,23 +173,35 @@ def fit(documents: DataFrame, training: str = "true", per_language: int = PER_LA
 
 
 def identify(documents: DataFrame, model: Model | None) -> DataFrame:
-    """All columns of `documents` with lang_pred and score."""
-    names = [c for c in documents.columns if c not in ("lang_pred", "score", "has_letter")]
-    rows = documents.select(*names, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("has_letter"))
+    """All columns of `documents` with lang_pred and score. Only texts go to Python and only predictions come back; the
+    rows stay in Spark."""
+    names = [c for c in documents.columns if c not in ("lang_pred", "score")]
     ship(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(model)  # a few weights per pair of languages
 
-    def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in _parts(batches):
-            told = batch.column("has_letter").to_numpy(zero_copy_only=False).astype(bool)
-            pred, score = np.full(batch.num_rows, UNKNOWN, object), np.zeros(batch.num_rows)
+    def predicted(text: pa.Array, has_letter: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([text, has_letter], names=["text", "has_letter"])
+        preds, scores = [], []
+        for part, texts in _parts([batch]):
+            told = part.column("has_letter").to_numpy(zero_copy_only=False).astype(bool)
+            pred, score = np.full(part.num_rows, UNKNOWN, object), np.zeros(part.num_rows)
             if shared.value is not None and told.any():
                 pred, score = shared.value.predict(features(texts))
                 pred[~told], score[~told] = UNKNOWN, 0.0
-            columns = [batch.column(c) for c in names] + [pa.array(pred, pa.string()), pa.array(score, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, "lang_pred", "score"])
+            preds.extend(pred)
+            scores.append(score)
+        return pa.StructArray.from_arrays(
+            [pa.array(preds, pa.string()), pa.array(np.concatenate([*scores, np.zeros(0)]), pa.float64())], names=["lang_pred", "score"])
+
+    # a filter on the prediction must not compute it again
+    told = F.arrow_udf(predicted, "lang_pred string, score double").asNondeterministic()
+    has_letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    rows = documents.select(*[F.col(_quoted(c)) for c in names], told("text", has_letter).alias(_TOLD))
+    return rows.select(*[F.col(_quoted(c)) for c in names], F.col(f"`{_TOLD}`.lang_pred"), F.col(f"`{_TOLD}`.score"))
+
+
+_TOLD = "told by the model"
 
-    from pyspark.sql.types import DoubleType, StringType, StructType
 
-    schema = StructType([f for f in rows.schema.fields if f.name in names]).add("lang_pred", StringType()).add("score", DoubleType())
-    return rows.mapInArrow(predicted, schema)
+def _quoted(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"

@@ -329,6 +329,19 @@ def test_packing_tokenizer_by_words_equals_the_whole_text():
             assert np.frombuffer(ids, "<u4").tolist() == ours.inner.encode(text or "", add_special_tokens=False).ids, text
 
 
+def test_language_id_sends_each_text_once(spark, docs, monkeypatch):
+    """Rows stay in Spark: Python gets a text and whether it has letters, and gives back the prediction."""
+    import corpus_pipeline
+
+    frame = docs(odd_rows(), True)
+    told = language_id.identify(frame, language_id.fit(frame))
+    kept = corpus_pipeline.languages(spark, frame, "")
+    for plan in (told, kept):
+        said = plan._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" not in said and said.count("ArrowEvalPython") == 1
+    assert kept.columns == frame.columns
+
+
 def test_lm_counts_take_one_exchange_a_length(docs, monkeypatch, tmp_path):
     """The count table and the rows that it is joined to share an exchange; texts are scored in parts."""
     plans = []
