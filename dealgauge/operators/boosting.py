@@ -2,7 +2,8 @@
 
 Rows are kept as bin codes: numbers by quantile edges, categories by their place in the sorted list. A row that
 belongs to several fits is an entry of each. Per tree level one job sums gradients and Hessians per (fit, node, feature,
-bin) over all entries. The sums of a feature meet in one task, which finds the feature's best cut of each node; only these
+bin) over all entries. Features with few bins are counted jointly, a few at a time, and their own sums are taken from the joint
+ones. The sums of a feature meet in one task, which finds the feature's best cut of each node; only these
 reach the driver, so their number follows from fits, depth and features, not from blocks or bins. A
 split of a number sends low bins left; a split of a category sends that one category right, as a 0/1 column would.
 
@@ -13,6 +14,7 @@ go to the checkpoint folder every ``KEPT_TREES`` trees.
 
 from __future__ import annotations
 
+import gc
 import json
 import math
 import pickle
@@ -35,9 +37,14 @@ from dealgauge.operators.ranks import quantiles
 from dealgauge.sources.stages import measured
 
 MAX_BINS = 256
-#: Entries of one block of rows, and blocks whose sums one task takes.
+#: Entries of one block of rows, the most blocks of one task, and partitions whose sums one task takes.
 BLOCK_ENTRIES = 64_000
-BLOCKS_PER_SUM = 8
+BLOCKS_PER_TASK = 16
+PARTITIONS_PER_SUM = 8
+#: The most cells of a node that features are counted in together.
+JOINT_CELLS = 1024
+#: Splits of a level up to which each split looks at all entries of a block.
+SPLITS_BY_MASK = 64
 #: Trees after which blocks are written to the checkpoint folder.
 KEPT_TREES = 32
 UNKNOWN = "Unknown"
@@ -105,16 +112,25 @@ def _bins(values: np.ndarray, feature: dict) -> np.ndarray:
     return values.astype(np.int64)
 
 
+def _kind(features: Sequence[dict]) -> type:
+    """The smallest integers that hold the codes of all features, and -1."""
+    return np.min_scalar_type(-max(bins_of(features), default=1) - 1)
+
+
+def bins_of(features: Sequence[dict]) -> list[int]:
+    return [len(f["edges"]) + 1 if f["kind"] == "number" else len(f["levels"]) for f in features]
+
+
 def _scored(batches: Iterator[pa.RecordBatch], told: dict) -> Iterator[pa.RecordBatch]:
-    names = _code_names(told)
+    names, kind = _code_names(told), _kind(told["features"])
     trees = [{k: np.array(v)[None] for k, v in t.items()} for t in told["trees"]]
     for batch in batches:
-        codes = [_bins(batch.column(n).to_numpy(zero_copy_only=False), f) for n, f in zip(names, told["features"])]
+        codes = [_bins(batch.column(n).to_numpy(zero_copy_only=False), f).astype(kind) for n, f in zip(names, told["features"])]
         codes = np.stack(codes) if codes else np.zeros((0, batch.num_rows), int)
         margin = np.zeros(batch.num_rows)
         which, is_number = np.zeros(batch.num_rows, int), np.array([f["kind"] == "number" for f in told["features"]])
         for tree in trees:
-            margin += tree["value"][which, _leaf(tree, which, codes, is_number, told["depth"])]
+            margin += tree["value"][0].take(_leaf(tree, which, codes, is_number, told["depth"]))
         kept = [k for k, n in enumerate(batch.schema.names) if n not in names]
         yield pa.RecordBatch.from_arrays(
             [*[batch.column(k) for k in kept], pa.array(1 / (1 + np.exp(-margin)))], names=[*[batch.schema.names[k] for k in kept], "positive"])
@@ -122,33 +138,65 @@ def _scored(batches: Iterator[pa.RecordBatch], told: dict) -> Iterator[pa.Record
 
 def _leaf(tree: dict[str, np.ndarray], fit: np.ndarray, codes: np.ndarray, is_number: np.ndarray, depth: int) -> np.ndarray:
     """Node of each entry after at most ``depth`` steps; tree arrays are (fit, node), node k has children 2k + 1, 2k + 2."""
-    node = np.zeros(len(fit), np.int64)
-    entry = np.arange(len(fit))
-    for _ in range(depth):
-        feature = tree["feature"][fit, node]
-        split = feature >= 0
-        code, cut = codes[feature, entry], tree["cut"][fit, node]
-        right = np.where(is_number[feature], code > cut, code == cut)
-        node = np.where(split, 2 * node + 1 + right, node)
-    return node
+    fits = len(tree["feature"])
+    node = np.zeros(codes.shape[1], np.min_scalar_type((2 << depth) - 1))
+    entry = None
+    for level in range(depth):
+        first = (1 << level) - 1
+        of_fit, place = np.nonzero(tree["feature"][:, first:2 * first + 1] >= 0)
+        if len(place) > SPLITS_BY_MASK:
+            entry = np.arange(len(node)) if entry is None else entry
+            feature, cut = tree["feature"][fit, node], tree["cut"][fit, node]
+            code = codes[feature, entry]
+            right = np.where(is_number[feature], code > cut, code == cut)
+            node = np.where(feature >= 0, 2 * node + 1 + right, node).astype(node.dtype)
+            continue
+        # 1 for entries that go left, 2 for those that go right
+        turn = np.zeros(len(node), np.uint8)
+        for i, k in zip(of_fit.tolist(), (first + place).tolist()):
+            feature, cut = int(tree["feature"][i, k]), int(tree["cut"][i, k])
+            right = codes[feature] > cut if is_number[feature] else codes[feature] == cut
+            here = node == k
+            if fits > 1:
+                here &= fit == i
+            turn += here.view(np.uint8) * (right.view(np.uint8) + np.uint8(1))
+        node = np.where(turn > 0, 2 * node + turn, node)
+    return node.astype(np.int64)
 
 
 # --- blocks of entries ---------------------------------------------------------------------------------------
 
 
-def _packed(batches: Iterator[pa.RecordBatch], features: list[dict], names: list[str]) -> Iterator[pa.RecordBatch]:
-    """One block per partition: fit, codes, target, weight."""
+def _joints(sizes: Sequence[int]) -> list[list[int]]:
+    """Features in groups whose bins multiply to at most ``JOINT_CELLS``, or of one feature."""
+    groups: list[list[int]] = []
+    for k in sorted(range(len(sizes)), key=lambda k: -sizes[k]):
+        for group in groups:
+            if math.prod(sizes[j] for j in group) * sizes[k] <= JOINT_CELLS:
+                group.append(k)
+                break
+        else:
+            groups.append([k])
+    return groups
+
+
+def _packed(batches: Iterator[pa.RecordBatch], features: list[dict], names: list[str], fits: int) -> Iterator[pa.RecordBatch]:
+    """Blocks of a partition: fit, codes, joint codes, target, weight."""
     tables = [b for b in batches if b.num_rows]
     if not tables:
         return
-    table = pa.Table.from_batches(tables)
-    wide = max([len(f["edges"]) + 1 if f["kind"] == "number" else len(f["levels"]) for f in features] or [1])
-    kind = np.int16 if wide < 1 << 15 else np.int32
-    codes = np.stack([_bins(table.column(n).to_numpy(), f).astype(kind) for n, f in zip(names, features)])
-    block = {
-        "fit": table.column("fit").to_numpy().astype(np.int32), "codes": codes,
-        "target": table.column("target").to_numpy().astype(float), "weight": table.column("weight").to_numpy()}
-    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(block)], pa.binary())], names=["block"])
+    whole, sizes = pa.Table.from_batches(tables), bins_of(features)
+    groups = _joints(sizes)
+    widest = max(math.prod(sizes[k] for k in group) for group in groups)
+    for start in range(0, whole.num_rows, BLOCK_ENTRIES):
+        table = whole.slice(start, BLOCK_ENTRIES)
+        codes = [_bins(table.column(n).to_numpy(), f) for n, f in zip(names, features)]
+        joint = np.stack([
+            np.ravel_multi_index([codes[k] for k in group], [sizes[k] for k in group]).astype(np.min_scalar_type(widest)) for group in groups])
+        block = {
+            "fit": table.column("fit").to_numpy().astype(np.min_scalar_type(fits - 1)), "codes": np.stack(codes).astype(np.min_scalar_type(max(sizes) - 1)),
+            "joint": joint, "target": table.column("target").to_numpy().astype(np.int8), "weight": table.column("weight").to_numpy()}
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(block)], pa.binary())], names=["block"])
 
 
 def _opened(row) -> dict:
@@ -156,41 +204,51 @@ def _opened(row) -> dict:
     return block | {"margin": np.zeros(len(block["fit"]))}
 
 
+def _settled() -> None:
+    """A worker collects garbage after every task; what it has loaded by its first one is left out of that from then on."""
+    if not gc.get_freeze_count():
+        gc.freeze()
+
+
 def _moved(block: dict, tree: dict, is_number: np.ndarray, depth: int) -> dict:
     """The block with the margins after one more tree."""
     return block | {"margin": block["margin"] + tree["value"][block["fit"], _leaf(tree, block["fit"], block["codes"], is_number, depth)]}
 
 
 def _histograms(
-    number: int, blocks: Iterator[dict], tree: dict, level: int, sizes: np.ndarray, is_number: np.ndarray,
+    number: int, blocks: Iterator[dict], tree: dict, level: int, sizes: Sequence[int], is_number: np.ndarray,
 ) -> Iterator[tuple[int, tuple[int, np.ndarray]]]:
     """Per feature the gradient and Hessian sums (2, fits, nodes of the level, bins and the node's totals) of a partition."""
+    _settled()
     fits, first, width = len(tree["feature"]), (1 << level) - 1, 1 << level
-    sums = [np.zeros((2, fits * width * (size + 1))) for size in sizes]
+    groups = _joints(sizes)
+    cells = [math.prod(sizes[k] for k in group) for group in groups]
+    sums = [np.zeros((2, fits * width * n)) for n in cells]
     for block in blocks:
         positive = 1 / (1 + np.exp(-block["margin"]))
         values = (block["weight"] * (positive - block["target"]), block["weight"] * np.maximum(positive * (1 - positive), 1e-16))
         node = _leaf(tree, block["fit"], block["codes"], is_number, level) - first
-        group, codes = block["fit"] * width + node, block["codes"]
+        place, joint = block["fit"].astype(np.int64) * width + node, block["joint"]
         if (node < 0).any():
             here = np.flatnonzero(node >= 0)
-            group, codes, values = group[here], codes[:, here], [v[here] for v in values]
-        totals = [np.bincount(group, v, fits * width) for v in values]
-        for out, size, code in zip(sums, sizes, codes):
-            key, met = group * (size + 1) + code, values
-            if len(code) and code.min() < 0:
-                known = code >= 0
-                key, met = key[known], [v[known] for v in values]
+            place, joint, values = place[here], joint[:, here], [v[here] for v in values]
+        for out, n, code in zip(sums, cells, joint):
+            key = place * n
+            key += code
             for i in range(2):
-                out[i] += np.bincount(key, met[i], out.shape[1])
-                # the totals of a node, whatever its features
-                out[i, size::size + 1] += totals[i]
-    for k, (out, size) in enumerate(zip(sums, sizes)):
-        yield k, (number, out.reshape(2, fits, width, size + 1))
+                out[i] += np.bincount(key, values[i], out.shape[1])
+    # one total of a node, whatever its features
+    total = sums[0].reshape(2, fits, width, -1).sum(-1, keepdims=True)
+    for out, group in zip(sums, groups):
+        out = out.reshape(2, fits, width, *[sizes[k] for k in group])
+        for at, k in enumerate(group):
+            others = tuple(3 + j for j in range(len(group)) if j != at)
+            yield k, (number, np.concatenate([out.sum(others), total], -1))
 
 
 def _met(found: tuple[int, Iterator[tuple[int, np.ndarray]]], is_number: np.ndarray, settings: BoostSettings) -> tuple[int, dict]:
     """A feature's best cuts over all partitions, whose sums are added in one order."""
+    _settled()
     k, parts = found
     return k, best_cuts(sum(s for _, s in sorted(parts, key=lambda part: part[0])), bool(is_number[k]), settings)
 
@@ -267,7 +325,9 @@ def fit_boosters(
     blocks = -(-entries.count() // BLOCK_ENTRIES)
     if not blocks:
         raise ValueError("no rows to fit")
-    packed = measured(coded.repartition(blocks).mapInArrow(partial(_packed, features=features, names=names), "block binary"))
+    # a level is a short job: its tasks run at once, as far as they are not too large
+    tasks = min(blocks, max(rows.sparkSession.sparkContext.defaultParallelism, -(-blocks // BLOCKS_PER_TASK)))
+    packed = measured(coded.repartition(tasks).mapInArrow(partial(_packed, features=features, names=names, fits=len(fits)), "block binary"))
     trees = _grow(packed, len(fits), features, settings)
     return [
         BoostedTreesModel({
@@ -278,10 +338,10 @@ def fit_boosters(
 
 def _grow(packed: DataFrame, fits: int, features: list[dict], settings: BoostSettings) -> list[dict[str, np.ndarray]]:
     is_number = np.array([f["kind"] == "number" for f in features])
-    sizes = np.array([len(f["edges"]) + 1 if f["kind"] == "number" else len(f["levels"]) for f in features])
+    sizes = bins_of(features)
     depth, nodes = settings.depth, (1 << settings.depth + 1) - 1
     state = packed.rdd.map(_opened).persist(StorageLevel.MEMORY_AND_DISK)
-    before, meet = None, min(len(features), -(-state.getNumPartitions() // BLOCKS_PER_SUM))
+    before, meet = None, min(len(features), -(-state.getNumPartitions() // PARTITIONS_PER_SUM))
     trees: list[dict[str, np.ndarray]] = []
     try:
         for _ in range(settings.rounds):

@@ -125,3 +125,44 @@ def test_what_reaches_the_driver_does_not_grow_with_the_blocks(data, monkeypatch
         told.append(fit_boosters(frame, [Fit("all", F.lit(True), F.lit(1.0))], ["a", "b"], ["kind"], "y", BoostSettings(rounds=2, depth=3))[0])
     assert sent[1] < 1.2 * sent[0]
     assert np.allclose(margins(told[0], frame), margins(told[1], frame))
+
+
+def test_features_are_counted_jointly():
+    sizes = [15, 256, 2, 5, 6, 5, 6, 3, 6]
+    groups = boosting._joints(sizes)
+    assert sorted(k for group in groups for k in group) == list(range(9)) and len(groups) <= 4
+    assert max(np.prod([sizes[k] for k in group]) for group in groups) <= boosting.JOINT_CELLS
+    assert boosting._joints([5000, 2]) == [[0], [1]]
+    rng = np.random.default_rng(5)
+    codes = [rng.integers(0, size, 3000) for size in sizes]
+    block = {
+        "fit": rng.integers(0, 2, 3000).astype(np.uint8), "codes": np.stack(codes).astype(np.uint8),
+        "joint": np.stack([np.ravel_multi_index([codes[k] for k in g], [sizes[k] for k in g]).astype(np.int16) for g in groups]),
+        "target": rng.integers(0, 2, 3000).astype(np.int8), "weight": rng.random(3000), "margin": rng.normal(size=3000)}
+    tree = {"feature": np.full((2, 3), -1), "cut": np.zeros((2, 3), int), "value": np.zeros((2, 3))}
+    tree["feature"][:, 0], tree["cut"][:, 0] = (1, 4), (100, 2)
+    found = dict(boosting._histograms(0, iter([block]), tree, 1, sizes, np.array([True] * 3 + [False] * 6)))
+    node = np.where(block["fit"] == 0, codes[1] > 100, codes[4] == 2).astype(int)
+    p = 1 / (1 + np.exp(-block["margin"]))
+    for k, size in enumerate(sizes):
+        for i, value in enumerate((block["weight"] * (p - block["target"]), block["weight"] * p * (1 - p))):
+            for fit in range(2):
+                for side in range(2):
+                    here = (block["fit"] == fit) & (node == side)
+                    plain = np.bincount(codes[k][here], value[here], size)
+                    assert np.allclose(found[k][1][i, fit, side], [*plain, plain.sum()])
+
+
+@pytest.mark.parametrize("by_mask", [0, 64])
+def test_leaves_of_deep_and_of_wide_levels(monkeypatch, by_mask):
+    monkeypatch.setattr(boosting, "SPLITS_BY_MASK", by_mask)
+    rng = np.random.default_rng(6)
+    codes, fit, is_number = rng.integers(-1, 6, (3, 500)), rng.integers(0, 2, 500), np.array([True, False, True])
+    tree = {"feature": rng.integers(-1, 3, (2, 511)), "cut": rng.integers(0, 5, (2, 511))}
+    expected = np.zeros(500, int)
+    for e in range(500):
+        for _ in range(7):
+            k, cut = tree["feature"][fit[e], expected[e]], tree["cut"][fit[e], expected[e]]
+            if k >= 0:
+                expected[e] = 2 * expected[e] + 1 + (codes[k, e] > cut if is_number[k] else codes[k, e] == cut)
+    assert (boosting._leaf(tree, fit, codes.astype(np.int8), is_number, 7) == expected).all()
