@@ -8,7 +8,6 @@ from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -16,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealgauge.operators.boosting import BoostSettings, Fit, fit_boosters
+from dealgauge.operators.forest import ForestModel, ForestSettings, fit_forest
 from dealgauge.operators.logistic import fit_logistic
 from dealgauge.operators.ranks import quantiles
 from dealgauge.operators.scoring import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET, class_report, confusion_metrics
@@ -25,8 +25,7 @@ from dealgauge.sources.stages import measured
 
 UPLIFT_NUMERIC = ["total_activities", "company_size"]
 UPLIFT_CATEGORICAL = ["industry", "lead_source", "region", "job_title"]
-#: Rows of a forest task, first up to as many tasks as given, then beyond them. Each task sends statistics of every open
-#: node of every tree, so small tasks over many rows cost more than their rows.
+#: Rows of a block of the forest, first up to as many blocks as given, then beyond them.
 ROWS_PER_TASK, SMALL_TASKS, ROWS_PER_LARGE_TASK = 2000, 12, 64_000
 METRICS = ["auc", "accuracy", "f1", "precision", "recall"]
 
@@ -114,7 +113,12 @@ def forest_tasks(n: int) -> int:
 
 
 def _with_probability(model: PipelineModel, rows: DataFrame, name: str) -> DataFrame:
-    scored = model.transform(rows)
+    *before, last = model.stages
+    prepared = PipelineModel(stages=before).transform(rows)
+    if isinstance(last, ForestModel):
+        # its rows go to Python: only the columns that are needed
+        prepared = prepared.select(*rows.columns, *[c for c in last.inputs() if c not in rows.columns])
+    scored = last.transform(prepared)
     return scored.select(*rows.columns, vector_to_array("probability")[1].alias(name))
 
 
@@ -141,21 +145,18 @@ def train_scoring(
     train, test = stratified_split(features, settings.test_part, settings.seed)
     train, n = _weighted(measured(train))
     prepared = Pipeline(stages=preprocessing(numeric, categorical)).fit(train)
-    # All learners share the prepared rows; without memory they spill, a lost part is recomputed.
-    ready = prepared.transform(train).select("features", TARGET, "balanced_weight", "boosting_weight")
-    # Bagging is seeded per partition: their number follows from the rows, not from the cores.
-    ready = ready.repartition(forest_tasks(n)).persist()
-    held = prepared.transform(test).select("lead_id", "features", TARGET, *numeric, *categorical).persist()
+    indexes = [f"{c}_index" for c in categorical]
+    held = prepared.transform(test).select("lead_id", "scaled", *indexes, TARGET, *numeric, *categorical).persist()
 
     def regress() -> PipelineModel:
         return PipelineModel(stages=[fit_logistic(
             train, numeric, categorical, TARGET, F.col("balanced_weight"), max_steps=settings.linear_steps)])
 
     def forest() -> PipelineModel:
-        learner = RandomForestClassifier(
-            featuresCol="features", labelCol=TARGET, numTrees=settings.forest_trees, maxDepth=settings.forest_depth,
-            featureSubsetStrategy="sqrt", seed=settings.seed, weightCol="balanced_weight")
-        return PipelineModel(stages=[*prepared.stages, learner.fit(ready)])
+        # a tree splits the scaled numbers, and each value of a category's index as a 0/1 column
+        sizes = ForestSettings(settings.forest_trees, settings.forest_depth, settings.seed)
+        return PipelineModel(stages=[*prepared.stages, fit_forest(
+            prepared.transform(train), "scaled", len(numeric), indexes, TARGET, F.col("balanced_weight"), "lead_id", sizes, forest_tasks(n))])
 
     def boost() -> PipelineModel:
         # trees take the columns as they are: missing values and bins are a matter of their fit
@@ -168,7 +169,9 @@ def train_scoring(
     try:
         models = fit_together(spark, list(learners.values()))
         for name, fitted in zip(learners, models):
-            scored = _with_probability(PipelineModel(stages=fitted.stages[-1:]), held, "conversion_probability")
+            # written, so that both measures take one pass through the model
+            scored = measured(_with_probability(PipelineModel(stages=fitted.stages[-1:]), held, "conversion_probability").select(
+                TARGET, "conversion_probability"))
             counts = confusion_metrics(scored).first()
             area = auc(scored)
             quality = {
@@ -180,7 +183,6 @@ def train_scoring(
             if best is None or area > best[1]:
                 best = (name, area, fitted)
     finally:
-        ready.unpersist()
         held.unpersist()
     schema = "model string, " + ", ".join(f"{m} double" for m in METRICS)
     metrics = spark.createDataFrame(rows, schema).withColumn("selected", F.col("model") == best[0])
